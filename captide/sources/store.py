@@ -19,7 +19,6 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from captide.operators.merge import timestamp
 from captide.operators.quality import ConstraintViolation, checked_columns, repeated_keys
@@ -90,13 +89,17 @@ class Store:
         return latest[1]
 
     def _write_commit(self, number: int, manifest: Manifest, run_ts: datetime | str) -> None:
-        rows = self.spark.createDataFrame(
-            list(manifest.items()), "table string, segments array<string>"
-        )
-        # mode "error": a commit number is never written twice.
-        rows.coalesce(1).withColumn("run_ts", timestamp(run_ts)).write.mode("error").parquet(
-            f"{self.root}/commits/commit={number}"
-        )
+        entries = [
+            F.struct(
+                F.lit(table).alias("table"),
+                F.array(*map(F.lit, segments)).cast("array<string>").alias("segments"),
+            )
+            for table, segments in manifest.items()
+        ]
+        # One partition, so one file.  mode "error": a commit number is never written twice.
+        self.spark.range(0, 1, 1, 1).select(F.inline(F.array(*entries))).withColumn(
+            "run_ts", timestamp(run_ts)
+        ).write.mode("error").parquet(f"{self.root}/commits/commit={number}")
 
     def commit(self, changes: Manifest, run_ts: datetime | str) -> None:
         """Make new segment lists of some tables current, all at once."""
@@ -125,7 +128,8 @@ class Store:
 
     def read(self, table: str, segments: list[str]) -> DataFrame:
         if not segments:
-            return self.spark.createDataFrame([], SCHEMAS[table])
+            columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in SCHEMAS[table]]
+            return self.spark.range(0).select(*columns).where(F.lit(False))
         return reduce(DataFrame.unionByName, [self._segment(table, s) for s in segments])
 
     def tables(self, manifest: Manifest | None = None) -> dict[str, DataFrame]:
@@ -250,15 +254,9 @@ class Store:
 
     def log_run(self, action: str, result: dict, run_ts: datetime | str) -> None:
         """Append a run's summary to the run log."""
-        row = self.spark.createDataFrame(
-            [(action, {k: str(v) for k, v in result.items()})],
-            T.StructType(
-                [
-                    T.StructField("action", T.StringType()),
-                    T.StructField("result", T.MapType(T.StringType(), T.StringType())),
-                ]
-            ),
-        )
-        row.coalesce(1).withColumn("run_ts", timestamp(run_ts)).write.mode("append").parquet(
-            f"{self.root}/run_log"
-        )
+        pairs = [F.lit(x) for key, value in result.items() for x in (key, str(value))]
+        self.spark.range(0, 1, 1, 1).select(
+            F.lit(action).alias("action"),
+            F.create_map(*pairs).alias("result"),
+            timestamp(run_ts).alias("run_ts"),
+        ).write.mode("append").parquet(f"{self.root}/run_log")
