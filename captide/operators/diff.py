@@ -31,11 +31,28 @@ def active_members(membership: DataFrame, playlist_id: str) -> DataFrame:
 
 
 def rows_in(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    return rows.join(ids.select(KEY), KEY, "left_semi")
+    """Rows of listed ids.  The list's repeats are merged before it is shuffled."""
+    return rows.join(ids.select(KEY).distinct(), KEY, "left_semi")
 
 
 def rows_not_in(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    return rows.join(ids.select(KEY), KEY, "left_anti")
+    """Rows of ids that are not listed."""
+    return rows.join(ids.select(KEY).distinct(), KEY, "left_anti")
+
+
+def with_known(ids: DataFrame, videos: DataFrame) -> DataFrame:
+    """Distinct ids with a flag for those that have a video row.
+
+    A semi or anti join would be moved below the grouping, where one id repeated
+    in much of a list meets in a single task; an outer join stays above it.
+    """
+    found = rows_in(videos.select(KEY), ids).withColumn("known", F.lit(True))
+    return (
+        ids.select(KEY)
+        .distinct()
+        .join(found, KEY, "left")
+        .select(KEY, F.coalesce("known", F.lit(False)).alias("known"))
+    )
 
 
 def awaiting_captions(videos: DataFrame, ids: DataFrame) -> DataFrame:
@@ -44,8 +61,8 @@ def awaiting_captions(videos: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def pending_transcripts(bronze: DataFrame, silver: DataFrame) -> DataFrame:
-    """Bronze rows without a Silver row."""
-    return rows_not_in(bronze, silver)
+    """Bronze rows without a Silver row; ids are unique on both sides."""
+    return bronze.join(silver.select(KEY), KEY, "left_anti")
 
 
 def label_snapshot(snapshot: DataFrame, members: DataFrame, videos: DataFrame) -> DataFrame:
@@ -54,21 +71,29 @@ def label_snapshot(snapshot: DataFrame, members: DataFrame, videos: DataFrame) -
     ``members`` are the playlist's rows (``video_id, removed_at``).  The labels are
     disjoint, so no id is fetched twice in a run.
     """
-    listed = snapshot.select(KEY).distinct().withColumn("listed", F.lit(True))
-    known_members = members.select(KEY, F.col("removed_at").isNull().alias("active"))
-    known_videos = videos.select(KEY, F.col("fetch_status").alias("status"))
-    return (
-        listed.join(known_members, KEY, "full_outer")
-        .join(known_videos, KEY, "left")
-        .select(
-            KEY,
-            F.when(F.col("listed") & F.col("status").isNull(), NEW)
-            .when(F.col("listed") & (F.col("status") == "no_subtitles"), RETRY)
-            .when(F.col("listed"), TOUCH)
-            .when(F.col("active"), TOMBSTONE)
-            .otherwise(INACTIVE)
-            .alias("label"),
-        )
+    nothing = F.lit(None).cast("boolean")
+    listed = snapshot.select(KEY, F.lit(True).alias("listed"), nothing.alias("active"))
+    belonging = members.select(
+        KEY, nothing.alias("listed"), F.col("removed_at").isNull().alias("active")
+    )
+    # One grouping merges repeated listings and both sides, and leaves the ids
+    # partitioned for the join with the videos.
+    ids = (
+        listed.unionByName(belonging)
+        .groupBy(KEY)
+        .agg(F.bool_or("listed").alias("listed"), F.bool_or("active").alias("active"))
+    )
+    # Reduced to the ids at hand first: a semi join reads each stored segment in
+    # place, an outer join would shuffle all videos.
+    known = rows_in(videos.select(KEY, F.col("fetch_status").alias("status")), ids)
+    return ids.join(known, KEY, "left").select(
+        KEY,
+        F.when(F.col("listed") & F.col("status").isNull(), NEW)
+        .when(F.col("listed") & (F.col("status") == "no_subtitles"), RETRY)
+        .when(F.col("listed"), TOUCH)
+        .when(F.col("active"), TOMBSTONE)
+        .otherwise(INACTIVE)
+        .alias("label"),
     )
 
 

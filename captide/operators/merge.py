@@ -67,12 +67,17 @@ def update_metadata(videos: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def rows_to_insert(target: DataFrame, source: DataFrame) -> DataFrame:
-    """First source row of each key the target does not hold."""
+    """First source row of each key the target does not hold.
+
+    The outer join stays above the grouping; an anti join would be moved below it
+    and shuffle every repeat of a key.
+    """
     columns = [c for c in source.columns if c not in (KEY, "seq")]
-    absent = source.join(target.select(KEY), KEY, "left_anti")
+    first = source.groupBy(KEY).agg(F.min_by(F.struct(*columns), "seq").alias("row"))
+    held = target.select(KEY, F.lit(True).alias("held"))
     return (
-        absent.groupBy(KEY)
-        .agg(F.min_by(F.struct(*columns), "seq").alias("row"))
+        first.join(held, KEY, "left")
+        .where(F.col("held").isNull())
         .select(KEY, *[F.col(f"row.{c}").alias(c) for c in columns])
     )
 
@@ -82,18 +87,39 @@ def insert_only(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.unionByName(rows_to_insert(target, source).select(*target.columns))
 
 
+def merge_membership(
+    membership: DataFrame, changes: DataFrame, run_ts: datetime | str
+) -> DataFrame:
+    """Apply ``playlist_id, video_id, gone`` changes.
+
+    Seen members are inserted or become active again; members that are gone get a
+    tombstone if they are active.  Both go through one join on the full key, which
+    is unique, so neither a large playlist nor a popular video makes a hot task.
+    """
+    change = changes.groupBy(*MEMBER_KEY).agg(F.bool_and("gone").alias("gone"))
+    now = timestamp(run_ts)
+    seen, gone = ~F.col("gone"), F.col("gone")
+    return (
+        membership.join(change, MEMBER_KEY, "full_outer")
+        .where(F.col("first_seen_at").isNotNull() | seen)
+        .select(
+            *MEMBER_KEY,
+            F.coalesce("first_seen_at", now).alias("first_seen_at"),
+            F.when(seen, now).otherwise(F.col("last_seen_at")).alias("last_seen_at"),
+            F.when(seen, None)
+            .when(gone & F.col("removed_at").isNull(), now)
+            .otherwise(F.col("removed_at"))
+            .alias("removed_at"),
+        )
+    )
+
+
 def upsert_membership(
     membership: DataFrame, source: DataFrame, run_ts: datetime | str
 ) -> DataFrame:
     """Record members as seen now; a tombstoned member becomes active again."""
-    seen = source.select(*MEMBER_KEY).distinct().withColumn("seen", F.lit(True))
-    now = timestamp(run_ts)
-    return membership.join(seen, MEMBER_KEY, "full_outer").select(
-        *MEMBER_KEY,
-        F.coalesce("first_seen_at", now).alias("first_seen_at"),
-        F.when(F.col("seen"), now).otherwise(F.col("last_seen_at")).alias("last_seen_at"),
-        F.when(F.col("seen"), None).otherwise(F.col("removed_at")).alias("removed_at"),
-    )
+    changes = source.select(*MEMBER_KEY, F.lit(False).alias("gone"))
+    return merge_membership(membership, changes, run_ts)
 
 
 def as_members(ids: DataFrame, playlist_id: str) -> DataFrame:
@@ -110,14 +136,8 @@ def tombstone(
     membership: DataFrame, playlist_id: str, ids: DataFrame, run_ts: datetime | str
 ) -> DataFrame:
     """Mark listed active members of one playlist as removed."""
-    gone = as_members(ids, playlist_id).distinct().withColumn("gone", F.lit(True))
-    newly = F.col("gone") & F.col("removed_at").isNull()
-    return membership.join(gone, MEMBER_KEY, "left").select(
-        *MEMBER_KEY,
-        "first_seen_at",
-        "last_seen_at",
-        F.when(newly, timestamp(run_ts)).otherwise(F.col("removed_at")).alias("removed_at"),
-    )
+    changes = as_members(ids, playlist_id).withColumn("gone", F.lit(True))
+    return merge_membership(membership, changes, run_ts)
 
 
 def count_removed(membership: DataFrame, playlist_id: str, ids: DataFrame) -> DataFrame:
@@ -125,10 +145,11 @@ def count_removed(membership: DataFrame, playlist_id: str, ids: DataFrame) -> Da
     removed = membership.where(
         (F.col("playlist_id") == playlist_id) & F.col("removed_at").isNotNull()
     )
-    return removed.join(ids.select(KEY), KEY, "left_semi").agg(F.count("*").alias("tombstoned"))
+    return removed.join(ids.select(KEY).distinct(), KEY, "left_semi").agg(F.count("*").alias("tombstoned"))
 
 
-def replace_rows(target: DataFrame, rows: DataFrame) -> DataFrame:
+def replace_rows(target: DataFrame, rows: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Rows take the place of those with the same key; the rest stay."""
-    kept = target.join(rows.select(KEY), KEY, "left_anti")
+    key = key or [KEY]
+    kept = target.join(rows.select(*key), key, "left_anti")
     return kept.unionByName(rows.select(*target.columns))

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 def spread(scan: DataFrame) -> DataFrame:
     """Give a small table scan one task per core before expensive text work.
 
-    Takes a plain scan.  One with at least as many splits as cores, which is any
-    table that matters in size, is returned unchanged and is not shuffled.
+    Takes a plain scan.  One with at least as many splits as cores is returned
+    unchanged, so what gets shuffled is bounded by cores times the split size.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= 2 * cores else scan.repartition(cores)
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

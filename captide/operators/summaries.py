@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from captide.operators.diff import NEW, RETRY, TOMBSTONE, TOUCH
+from captide.operators.diff import NEW, RETRY, TOMBSTONE, TOUCH, rows_in
 from captide.schema import FETCH_STATUSES
 
 # Removals above which a snapshot is taken for a truncated listing.
@@ -61,18 +61,21 @@ def refresh_summary(labels: DataFrame, outcomes: DataFrame) -> DataFrame:
 
 def metadata_summary(ids: DataFrame, videos: DataFrame, infos: DataFrame) -> DataFrame:
     """Of the listed ids: updated, skipped for want of a video row, failed for want of metadata."""
-    known = videos.select("video_id").withColumn("known", F.lit(True))
+    listed = ids.groupBy("video_id").agg(F.count("*").alias("times"))
+    known = rows_in(videos.select("video_id"), ids).withColumn("known", F.lit(True))
     found = infos.where("has_info").select("video_id").distinct().withColumn("found", F.lit(True))
-    known_col = F.coalesce("known", F.lit(False))
-    found_col = F.coalesce("found", F.lit(False))
+    is_known, is_found = F.col("known").isNotNull(), F.col("found").isNotNull()
+
+    def times(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("times"))), F.lit(0))
+
     return (
-        ids.select("video_id")
-        .join(known, "video_id", "left")
+        listed.join(known, "video_id", "left")
         .join(found, "video_id", "left")
         .agg(
-            F.count_if(known_col & found_col).alias("updated"),
-            F.count_if(~known_col).alias("skipped"),
-            F.count_if(known_col & ~found_col).alias("failed"),
+            times(is_known & is_found).alias("updated"),
+            times(~is_known).alias("skipped"),
+            times(is_known & ~is_found).alias("failed"),
         )
     )
 

@@ -48,8 +48,10 @@ def bronze_rows(
     return diff.rows_not_in(wanted, bronze).withColumn("fetched_at", merge.timestamp(run_ts))
 
 
-def merged_videos(videos: DataFrame, outcomes: DataFrame, run_ts: datetime | str) -> DataFrame:
-    return merge.upsert_videos(videos, diff.writable(outcomes), run_ts)
+def changed_videos(videos: DataFrame, outcomes: DataFrame, run_ts: datetime | str) -> DataFrame:
+    """New versions of the videos that have a recorded outcome."""
+    recorded = diff.writable(outcomes)
+    return merge.upsert_videos(diff.rows_in(videos, recorded), recorded, run_ts)
 
 
 def seen_ids(labels: DataFrame, outcomes: DataFrame, *touched: str) -> DataFrame:
@@ -57,6 +59,22 @@ def seen_ids(labels: DataFrame, outcomes: DataFrame, *touched: str) -> DataFrame
     return diff.with_label(labels, *touched).union(diff.writable(outcomes).select("video_id"))
 
 
+def changed_members(
+    membership: DataFrame,
+    playlist: str,
+    seen: DataFrame,
+    run_ts: datetime | str,
+    gone: DataFrame | None = None,
+) -> DataFrame:
+    """New versions of a playlist's members that were seen or are gone."""
+    changes = merge.as_members(seen, playlist).withColumn("gone", F.lit(False))
+    if gone is not None:
+        removed = merge.as_members(gone, playlist).withColumn("gone", F.lit(True))
+        changes = changes.union(removed)
+    touched = diff.rows_in(diff.members_of(membership, playlist), changes)
+    return merge.merge_membership(touched, changes, run_ts)
+
+
 def run_ingest(
     store: Store, playlist_url: str, landed: Landed, run_ts: datetime | str
 ) -> dict:
@@ -81,17 +99,14 @@ def run_ingest(
         ),
     )
     result = summaries.ingest_summary(labels, outcomes).first().asDict()
-    changes = {}
     seen = seen_ids(labels, outcomes, diff.RETRY, diff.TOUCH)
-    if not seen.isEmpty():
-        changes[MEMBERSHIP] = store.rewrite(
-            MEMBERSHIP, merge.touch_membership(tables[MEMBERSHIP], playlist, seen, run_ts)
-        )
+    members = changed_members(tables[MEMBERSHIP], playlist, seen, run_ts)
+    changes = {MEMBERSHIP: store.put(MEMBERSHIP, manifest, members)}
     if result["new"]:
-        changes[VIDEOS] = store.rewrite(VIDEOS, merged_videos(tables[VIDEOS], outcomes, run_ts))
+        videos = changed_videos(tables[VIDEOS], outcomes, run_ts)
+        changes[VIDEOS] = store.put(VIDEOS, manifest, videos)
         changes[BRONZE] = append_bronze(store, manifest, captions, outcomes, run_ts)
-    if changes:
-        store.commit(changes, run_ts)
+    store.commit(changes, run_ts)
     store.log_run("run_ingest", result, run_ts)
     return result
 

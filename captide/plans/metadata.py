@@ -21,8 +21,8 @@ def run_metadata_refresh(
     infos = store.stage("infos", diff.rows_in(infos, ids))
     result = summaries.metadata_summary(ids, videos, infos).first().asDict()
     if result["updated"]:
-        source = infos.withColumn("seq", F.lit(0))
-        rewritten = store.rewrite(VIDEOS, merge.update_metadata(videos, source))
-        store.commit({VIDEOS: rewritten}, run_ts)
+        source = infos.where("has_info").withColumn("seq", F.lit(0))
+        updated = merge.update_metadata(diff.rows_in(videos, source), source)
+        store.commit({VIDEOS: store.put(VIDEOS, manifest, updated)}, run_ts)
     store.log_run("refresh_metadata", result, run_ts)
     return result

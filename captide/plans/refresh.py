@@ -11,7 +11,8 @@ from captide.operators import diff, merge, summaries
 from captide.plans.ingest import (
     Landed,
     append_bronze,
-    merged_videos,
+    changed_members,
+    changed_videos,
     resolve_playlist_id,
     seen_ids,
 )
@@ -24,26 +25,10 @@ class TooManyRemovals(RuntimeError):
     """A snapshot drops so many members that it is taken for a truncated listing."""
 
 
-def merged_membership(
-    membership: DataFrame,
-    playlist: str,
-    labels: DataFrame,
-    outcomes: DataFrame,
-    run_ts: datetime | str,
-) -> DataFrame:
-    """Tombstones first, then everything seen; the two sets of ids are disjoint."""
-    gone = diff.with_label(labels, diff.TOMBSTONE)
-    return merge.touch_membership(
-        merge.tombstone(membership, playlist, gone, run_ts),
-        playlist,
-        seen_ids(labels, outcomes, diff.TOUCH),
-        run_ts,
-    )
-
-
 def metadata_source(labels: DataFrame, infos: DataFrame) -> DataFrame:
     """Landed metadata of ids that are only touched this run."""
-    return diff.rows_in(infos, diff.with_label(labels, diff.TOUCH)).withColumn("seq", F.lit(0))
+    filled = infos.where("has_info")
+    return diff.rows_in(filled, diff.with_label(labels, diff.TOUCH)).withColumn("seq", F.lit(0))
 
 
 def run_refresh(
@@ -74,37 +59,39 @@ def run_refresh(
             "pass force_tombstone to apply them"
         )
     captions = store.stage_texts(diff.first_captions(landed.captions))
+    infos = store.stage("infos", landed.infos)
     scheduled = diff.with_label(labels, diff.NEW, diff.RETRY)
     outcomes = store.stage(
-        "outcomes", diff.assemble_outcomes(scheduled, landed.fetches, captions, landed.infos)
+        "outcomes", diff.assemble_outcomes(scheduled, landed.fetches, captions, infos)
     )
     result = summaries.refresh_summary(labels, outcomes).first().asDict()
 
-    videos = merged_videos(tables[VIDEOS], outcomes, run_ts)
+    videos = changed_videos(tables[VIDEOS], outcomes, run_ts)
     if refresh_metadata:
-        source = metadata_source(labels, landed.infos)
-        videos = merge.update_metadata(videos, source)
-        result |= (
-            summaries.metadata_summary(
-                diff.with_label(labels, diff.TOUCH), tables[VIDEOS], landed.infos
-            )
-            .first()
-            .asDict()
-        )
+        # Touched ids were not fetched, so these rows and the fetched ones are disjoint.
+        touched = diff.with_label(labels, diff.TOUCH)
+        source = metadata_source(labels, infos)
+        updated = merge.update_metadata(diff.rows_in(tables[VIDEOS], source), source)
+        videos = videos.unionByName(updated)
+        counts = summaries.metadata_summary(touched, tables[VIDEOS], infos)
+        result |= counts.first().asDict()
+    members = changed_members(
+        tables[MEMBERSHIP],
+        playlist,
+        seen_ids(labels, outcomes, diff.TOUCH),
+        run_ts,
+        gone=diff.with_label(labels, diff.TOMBSTONE),
+    )
     changes = {
-        VIDEOS: store.rewrite(VIDEOS, videos),
-        MEMBERSHIP: store.rewrite(
-            MEMBERSHIP,
-            merged_membership(tables[MEMBERSHIP], playlist, labels, outcomes, run_ts),
-        ),
+        VIDEOS: store.put(VIDEOS, manifest, videos),
+        MEMBERSHIP: store.put(MEMBERSHIP, manifest, members),
     }
     if result["newly_captioned"]:
         changes[BRONZE] = append_bronze(store, manifest, captions, outcomes, run_ts)
         bronze = store.read(BRONZE, changes[BRONZE])
         captioned = outcomes.where("has_caption").select("video_id")
         rows = silver_rows(select_transcripts(bronze, tables[SILVER], ids=captioned), run_ts)
-        segment = store.write_segment(SILVER, rows, clustered=True)
-        changes[SILVER] = store.replace(SILVER, manifest[SILVER], segment)
+        changes[SILVER] = store.put(SILVER, manifest, rows)
     store.commit(changes, run_ts)
     store.log_run("run_refresh", result, run_ts)
     return result

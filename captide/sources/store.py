@@ -174,29 +174,39 @@ class Store:
         )
         return segment
 
-    def rewrite(self, table: str, rows: DataFrame) -> list[str]:
-        """New segment list in which ``rows`` are the whole table, audited."""
-        segments = [self.write_segment(table, rows, clustered=True)]
-        self._require_unique(table, segments, earlier=[])
-        return segments
+    def put(self, table: str, manifest: Manifest, rows: DataFrame) -> list[str]:
+        """Write changed rows, grouped by key, and return the table's new segment list."""
+        segment = self.write_segment(table, rows, clustered=True)
+        if self._segment(table, segment).isEmpty():
+            return manifest[table]
+        return self.replace(table, manifest[table], segment)
 
     def append(self, table: str, current: list[str], segment: str) -> list[str]:
         """Segment list with one more, audited: its keys must be new."""
-        self._require_unique(table, [segment], earlier=current)
+        keys = self._unique_keys(table, segment)
+        if self._segments_with(table, current, keys):
+            raise ConstraintViolation(f"{table}: keys already present")
         return [*current, segment]
 
     def replace(self, table: str, current: list[str], segment: str) -> list[str]:
         """Segment list in which a segment's rows take the place of equal keys.
 
-        Only the segments that hold such a key are rewritten.
+        Only the segments that hold such a key are rewritten; when none does this
+        is an append.
         """
-        new = self.read(table, [segment]).select(*KEYS[table])
-        hit = self._segments_with(table, current, new)
+        keys = self._unique_keys(table, segment)
+        hit = self._segments_with(table, current, keys)
         kept = [s for s in current if s not in hit]
         if hit:
-            rest = self.read(table, hit).join(new, list(KEYS[table]), "left_anti")
+            rest = self.read(table, hit).join(keys, list(KEYS[table]), "left_anti")
             kept.append(self.write_segment(table, rest, clustered=True))
-        return self.append(table, kept, segment)
+        return [*kept, segment]
+
+    def _unique_keys(self, table: str, segment: str) -> DataFrame:
+        keys = self._segment(table, segment).select(*KEYS[table])
+        if not repeated_keys(table, keys).isEmpty():
+            raise ConstraintViolation(f"{table}: repeated keys")
+        return keys
 
     def _segments_with(self, table: str, segments: list[str], keys: DataFrame) -> list[str]:
         found = [
@@ -212,19 +222,12 @@ class Store:
         return [r.segment for r in rows]
 
     def compact(self, table: str, run_ts: datetime | str) -> None:
-        """Merge a table's segments into one."""
+        """Merge a table's segments into one; a maintenance step between runs."""
         segments = self.manifest()[table]
         if len(segments) > 1:
             merged = self.write_segment(table, self.read(table, segments), clustered=True)
             self.commit({table: [merged]}, run_ts)
 
-    def _require_unique(self, table: str, segments: list[str], earlier: list[str]) -> None:
-        keys = self.read(table, segments).select(*KEYS[table])
-        if not repeated_keys(table, keys).isEmpty():
-            raise ConstraintViolation(f"{table}: repeated keys")
-        if self._segments_with(table, earlier, keys):
-            raise ConstraintViolation(f"{table}: keys already present")
-
     # -- run-scoped tables -----------------------------------------------------
 
     def _staging_path(self, name: str) -> str:

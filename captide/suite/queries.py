@@ -196,7 +196,7 @@ def _selected(spark, sf_dir, **mode) -> DataFrame:
     rows = transform.select_transcripts(
         I.transcripts_bronze(spark, sf_dir), I.transcripts_silver(spark, sf_dir), **mode
     )
-    return rows.select("video_id", F.length("raw_vtt").alias("n_chars"))
+    return rows.select("video_id", F.length("raw_vtt").cast("bigint").alias("n_chars"))
 
 
 @query
@@ -251,14 +251,14 @@ def tombstone_check(spark, sf_dir):
 
 @query
 def new_ids(spark, sf_dir):
-    snapshot = I.playlist_snapshot(spark, sf_dir).distinct()
-    return diff.rows_not_in(snapshot, I.videos(spark, sf_dir))
+    snapshot = I.playlist_snapshot(spark, sf_dir)
+    return diff.with_known(snapshot, I.videos(spark, sf_dir)).where("not known").select("video_id")
 
 
 @query
 def linked_ids(spark, sf_dir):
-    snapshot = I.playlist_snapshot(spark, sf_dir).distinct()
-    return diff.rows_in(snapshot, I.videos(spark, sf_dir))
+    snapshot = I.playlist_snapshot(spark, sf_dir)
+    return diff.with_known(snapshot, I.videos(spark, sf_dir)).where("known").select("video_id")
 
 
 @query
@@ -476,8 +476,9 @@ def constraint_audit(spark, sf_dir):
 
 @query
 def ingest_videos(spark, sf_dir):
-    outcomes = _outcomes(spark, sf_dir, diff.NEW)
-    return stamped(ingest.merged_videos(I.videos(spark, sf_dir), outcomes, I.RUN_TS))
+    videos, outcomes = I.videos(spark, sf_dir), _outcomes(spark, sf_dir, diff.NEW)
+    changed = ingest.changed_videos(videos, outcomes, I.RUN_TS)
+    return stamped(merge.replace_rows(videos, changed))
 
 
 @query
@@ -485,7 +486,8 @@ def ingest_membership(spark, sf_dir):
     labels, outcomes = _labels(spark, sf_dir), _outcomes(spark, sf_dir, diff.NEW)
     seen = ingest.seen_ids(labels, outcomes, diff.RETRY, diff.TOUCH)
     members = I.membership(spark, sf_dir)
-    return stamped(merge.touch_membership(members, I.PLAYLIST, seen, I.RUN_TS))
+    changed = ingest.changed_members(members, I.PLAYLIST, seen, I.RUN_TS)
+    return stamped(merge.replace_rows(members, changed, merge.MEMBER_KEY))
 
 
 @query
@@ -503,23 +505,26 @@ def ingest_bronze(spark, sf_dir):
 @query
 def refresh_videos(spark, sf_dir):
     """New and retried ids applied, then the metadata of the touched ones."""
-    labels, outcomes = _labels(spark, sf_dir), _outcomes(spark, sf_dir, diff.NEW, diff.RETRY)
-    videos = ingest.merged_videos(I.videos(spark, sf_dir), outcomes, I.RUN_TS)
+    videos, labels = I.videos(spark, sf_dir), _labels(spark, sf_dir)
+    outcomes = _outcomes(spark, sf_dir, diff.NEW, diff.RETRY)
     infos = landing.parse_infos(I.info_texts(spark, sf_dir))
-    return stamped(merge.update_metadata(videos, refresh.metadata_source(labels, infos)))
+    fetched = ingest.changed_videos(videos, outcomes, I.RUN_TS)
+    touched = merge.update_metadata(videos, refresh.metadata_source(labels, infos))
+    return stamped(merge.replace_rows(touched, fetched))
 
 
 @query
 def refresh_membership(spark, sf_dir):
-    return stamped(
-        refresh.merged_membership(
-            I.membership(spark, sf_dir),
-            I.PLAYLIST,
-            _labels(spark, sf_dir),
-            _outcomes(spark, sf_dir, diff.NEW, diff.RETRY),
-            I.RUN_TS,
-        )
+    members, labels = I.membership(spark, sf_dir), _labels(spark, sf_dir)
+    outcomes = _outcomes(spark, sf_dir, diff.NEW, diff.RETRY)
+    changed = ingest.changed_members(
+        members,
+        I.PLAYLIST,
+        ingest.seen_ids(labels, outcomes, diff.TOUCH),
+        I.RUN_TS,
+        gone=diff.with_label(labels, diff.TOMBSTONE),
     )
+    return stamped(merge.replace_rows(members, changed, merge.MEMBER_KEY))
 
 
 @query

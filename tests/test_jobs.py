@@ -249,7 +249,7 @@ def test_store_rejects_bad_rows(store, tmp_path):
     with pytest.raises(ConstraintViolation, match="already"):
         store.append(BRONZE, current[BRONZE], store.write_segment(BRONZE, bronze))
     with pytest.raises(ConstraintViolation, match="repeated"):
-        store.rewrite(BRONZE, bronze.union(bronze))
+        store.append(BRONZE, [], store.write_segment(BRONZE, bronze.union(bronze)))
     with pytest.raises(Exception, match="is null"):
         store.write_segment(BRONZE, bronze.selectExpr("video_id", "null raw_vtt", "source_language", "fetched_at"))
     videos = store.tables()[VIDEOS].selectExpr("* except (fetch_status)", "'odd' fetch_status")
