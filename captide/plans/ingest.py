@@ -12,6 +12,7 @@ from captide.functions.outcomes import playlist_id
 from captide.operators import diff, merge, summaries
 from captide.schema import BRONZE, MEMBERSHIP, VIDEOS
 from captide.sources import landing
+from captide.sources.staging import stage
 from captide.sources.store import Store
 
 
@@ -83,25 +84,17 @@ def run_ingest(
     playlist = resolve_playlist_id(store.spark, playlist_url)
     manifest = store.manifest()
     tables = store.tables(manifest)
-    labels = store.stage(
-        "labels",
-        diff.label_snapshot(
-            landed.snapshot,
-            diff.members_of(tables[MEMBERSHIP], playlist),
-            tables[VIDEOS],
-        ),
-    )
+    members = diff.members_of(tables[MEMBERSHIP], playlist)
+    labels = stage(diff.label_snapshot(landed.snapshot, members, tables[VIDEOS]), "labels")
     captions = store.stage_texts(diff.first_captions(landed.captions))
-    outcomes = store.stage(
-        "outcomes",
-        diff.assemble_outcomes(
-            diff.with_label(labels, diff.NEW), landed.fetches, captions, landed.infos
-        ),
+    scheduled = diff.with_label(labels, diff.NEW)
+    outcomes = stage(
+        diff.assemble_outcomes(scheduled, landed.fetches, captions, landed.infos), "outcomes"
     )
     result = summaries.ingest_summary(labels, outcomes).first().asDict()
     seen = seen_ids(labels, outcomes, diff.RETRY, diff.TOUCH)
-    members = changed_members(tables[MEMBERSHIP], playlist, seen, run_ts)
-    changes = {MEMBERSHIP: store.put(MEMBERSHIP, manifest, members)}
+    linked = changed_members(tables[MEMBERSHIP], playlist, seen, run_ts)
+    changes = {MEMBERSHIP: store.put(MEMBERSHIP, manifest, linked)}
     if result["new"]:
         videos = changed_videos(tables[VIDEOS], outcomes, run_ts)
         changes[VIDEOS] = store.put(VIDEOS, manifest, videos)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from captide.operators import diff, merge, summaries
 from captide.schema import VIDEOS
+from captide.sources.staging import stage
 from captide.sources.store import Store
 
 
@@ -18,7 +19,7 @@ def run_metadata_refresh(
     """Overwrite metadata of listed existing videos from landed metadata files."""
     manifest = store.manifest()
     videos = store.read(VIDEOS, manifest[VIDEOS])
-    infos = store.stage("infos", diff.rows_in(infos, ids))
+    infos = stage(diff.rows_in(infos, ids), "infos")
     result = summaries.metadata_summary(ids, videos, infos).first().asDict()
     if result["updated"]:
         source = infos.where("has_info").withColumn("seq", F.lit(0))

@@ -18,6 +18,7 @@ from captide.plans.ingest import (
 )
 from captide.plans.transform import select_transcripts, silver_rows
 from captide.schema import BRONZE, MEMBERSHIP, SILVER, VIDEOS
+from captide.sources.staging import stage
 from captide.sources.store import Store
 
 
@@ -44,14 +45,8 @@ def run_refresh(
     playlist = resolve_playlist_id(store.spark, playlist_url)
     manifest = store.manifest()
     tables = store.tables(manifest)
-    labels = store.stage(
-        "labels",
-        diff.label_snapshot(
-            landed.snapshot,
-            diff.members_of(tables[MEMBERSHIP], playlist),
-            tables[VIDEOS],
-        ),
-    )
+    members = diff.members_of(tables[MEMBERSHIP], playlist)
+    labels = stage(diff.label_snapshot(landed.snapshot, members, tables[VIDEOS]), "labels")
     removals = summaries.tombstone_check(labels).first()
     if removals.tripped and not force_tombstone:
         raise TooManyRemovals(
@@ -59,10 +54,10 @@ def run_refresh(
             "pass force_tombstone to apply them"
         )
     captions = store.stage_texts(diff.first_captions(landed.captions))
-    infos = store.stage("infos", landed.infos)
+    infos = stage(landed.infos, "infos")
     scheduled = diff.with_label(labels, diff.NEW, diff.RETRY)
-    outcomes = store.stage(
-        "outcomes", diff.assemble_outcomes(scheduled, landed.fetches, captions, infos)
+    outcomes = stage(
+        diff.assemble_outcomes(scheduled, landed.fetches, captions, infos), "outcomes"
     )
     result = summaries.refresh_summary(labels, outcomes).first().asDict()
 
@@ -75,7 +70,7 @@ def run_refresh(
         videos = videos.unionByName(updated)
         counts = summaries.metadata_summary(touched, tables[VIDEOS], infos)
         result |= counts.first().asDict()
-    members = changed_members(
+    synchronised = changed_members(
         tables[MEMBERSHIP],
         playlist,
         seen_ids(labels, outcomes, diff.TOUCH),
@@ -84,7 +79,7 @@ def run_refresh(
     )
     changes = {
         VIDEOS: store.put(VIDEOS, manifest, videos),
-        MEMBERSHIP: store.put(MEMBERSHIP, manifest, members),
+        MEMBERSHIP: store.put(MEMBERSHIP, manifest, synchronised),
     }
     if result["newly_captioned"]:
         changes[BRONZE] = append_bronze(store, manifest, captions, outcomes, run_ts)

@@ -81,7 +81,11 @@ def caption_name(file_name: Column) -> Column:
 
 
 def read_captions(spark: SparkSession, path: str) -> DataFrame:
-    """One row per caption file, line ends read as newlines."""
+    """One row per caption file, line ends read as newlines.
+
+    A zero-byte file, which is what an interrupted download leaves, is not read:
+    its video counts as having no caption and its exit code decides.
+    """
     files = spark.read.text(path, wholetext=True, pathGlobFilter=f"*{CAPTION_SUFFIX}")
     return files.select(
         caption_name(F.col("_metadata.file_name")).alias("name"),

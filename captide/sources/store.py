@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from captide.operators.merge import timestamp
 from captide.operators.quality import ConstraintViolation, checked_columns, repeated_keys
 from captide.schema import BRONZE, KEYS, SCHEMAS, SILVER
+from captide.sources.staging import staging_path
 
 Manifest = dict[str, list[str]]
 
@@ -230,21 +231,6 @@ class Store:
 
     # -- run-scoped tables -----------------------------------------------------
 
-    def _staging_path(self, name: str) -> str:
-        base = self.spark.conf.get("spark.checkpoint.dir", None) or f"{self.root}/staging"
-        return f"{base}/captide-{uuid.uuid4().hex}/{name}"
-
-    def stage(self, name: str, rows: DataFrame) -> DataFrame:
-        """Write an intermediate result and read it back.
-
-        This cuts lineage, survives lost executors, and gives later joins a true
-        size to choose a strategy by.  It goes to the cluster's shared checkpoint
-        folder when one is set.
-        """
-        path = self._staging_path(name)
-        rows.write.parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
-
     def stage_texts(self, rows: DataFrame) -> DataFrame:
         """Stage transcripts grouped by video, bucketed like the transcript tables.
 
@@ -252,7 +238,8 @@ class Store:
         read them in place.
         """
         name = f"{self._prefix}_staged_{uuid.uuid4().hex[:16]}"
-        self._write_bucketed(BRONZE, name, self._staging_path("texts"), rows, clustered=True)
+        path = staging_path(self.spark, "texts")
+        self._write_bucketed(BRONZE, name, path, rows, clustered=True)
         return self.spark.table(name)
 
     def log_run(self, action: str, result: dict, run_ts: datetime | str) -> None:

@@ -14,6 +14,7 @@ from captide.operators.parallel import spread
 from captide.plans import ingest, refresh, transform
 from captide.schema import BRONZE, MEMBERSHIP, SILVER, VIDEOS
 from captide.sources import landing
+from captide.sources.staging import stage
 from captide.suite import inputs as I
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -288,25 +289,33 @@ def active_members(spark, sf_dir):
     return diff.active_members(I.membership(spark, sf_dir), I.PLAYLIST)
 
 
-def _outcomes(spark, sf_dir, *labels) -> DataFrame:
+def _outcomes(spark, sf_dir, labels: DataFrame, *wanted: str) -> DataFrame:
     return diff.assemble_outcomes(
-        diff.with_label(_labels(spark, sf_dir), *labels),
+        diff.with_label(labels, *wanted),
         I.fetches(spark, sf_dir),
         I.captions(spark, sf_dir),
         landing.parse_infos(I.info_texts(spark, sf_dir)),
     )
 
 
+def _run(spark, sf_dir, *wanted: str) -> tuple[DataFrame, DataFrame]:
+    """Labels and outcomes staged as a job does, because several outputs need them."""
+    labels = stage(_labels(spark, sf_dir), "labels")
+    return labels, stage(_outcomes(spark, sf_dir, labels, *wanted), "outcomes")
+
+
 @query
 def resolved_outcomes(spark, sf_dir):
     """Outcome, caption presence and metadata of the scheduled ids."""
-    return _outcomes(spark, sf_dir, diff.NEW, diff.RETRY).drop("seq")
+    labels = _labels(spark, sf_dir)
+    return _outcomes(spark, sf_dir, labels, diff.NEW, diff.RETRY).drop("seq")
 
 
 @query
 def recorded_outcomes(spark, sf_dir):
     """Fetches of all listed ids except the rate-limited ones."""
-    scheduled = _outcomes(spark, sf_dir, diff.NEW, diff.RETRY, diff.TOUCH)
+    labels = _labels(spark, sf_dir)
+    scheduled = _outcomes(spark, sf_dir, labels, diff.NEW, diff.RETRY, diff.TOUCH)
     return diff.writable(scheduled).select("video_id", "fetch_status")
 
 
@@ -319,8 +328,9 @@ def outcome_tally(spark, sf_dir):
 @query
 def captioned_ids(spark, sf_dir):
     """Ids of both fetch batches that brought a caption."""
+    labels = stage(_labels(spark, sf_dir), "labels")
     new, retried = (
-        _outcomes(spark, sf_dir, label).where("has_caption").select("video_id")
+        _outcomes(spark, sf_dir, labels, label).where("has_caption").select("video_id")
         for label in (diff.NEW, diff.RETRY)
     )
     return new.unionByName(retried)
@@ -399,14 +409,12 @@ def replace_silver(spark, sf_dir):
 
 @query
 def ingest_summary(spark, sf_dir):
-    return summaries.ingest_summary(_labels(spark, sf_dir), _outcomes(spark, sf_dir, diff.NEW))
+    return summaries.ingest_summary(*_run(spark, sf_dir, diff.NEW))
 
 
 @query
 def refresh_summary(spark, sf_dir):
-    return summaries.refresh_summary(
-        _labels(spark, sf_dir), _outcomes(spark, sf_dir, diff.NEW, diff.RETRY)
-    )
+    return summaries.refresh_summary(*_run(spark, sf_dir, diff.NEW, diff.RETRY))
 
 
 @query
@@ -476,14 +484,14 @@ def constraint_audit(spark, sf_dir):
 
 @query
 def ingest_videos(spark, sf_dir):
-    videos, outcomes = I.videos(spark, sf_dir), _outcomes(spark, sf_dir, diff.NEW)
+    videos, (_, outcomes) = I.videos(spark, sf_dir), _run(spark, sf_dir, diff.NEW)
     changed = ingest.changed_videos(videos, outcomes, I.RUN_TS)
     return stamped(merge.replace_rows(videos, changed))
 
 
 @query
 def ingest_membership(spark, sf_dir):
-    labels, outcomes = _labels(spark, sf_dir), _outcomes(spark, sf_dir, diff.NEW)
+    labels, outcomes = _run(spark, sf_dir, diff.NEW)
     seen = ingest.seen_ids(labels, outcomes, diff.RETRY, diff.TOUCH)
     members = I.membership(spark, sf_dir)
     changed = ingest.changed_members(members, I.PLAYLIST, seen, I.RUN_TS)
@@ -496,7 +504,7 @@ def ingest_bronze(spark, sf_dir):
     rows = ingest.bronze_rows(
         I.transcripts_silver(spark, sf_dir),
         I.captions(spark, sf_dir),
-        _outcomes(spark, sf_dir, diff.NEW),
+        _run(spark, sf_dir, diff.NEW)[1],
         I.RUN_TS,
     )
     return stamped(rows)
@@ -505,8 +513,8 @@ def ingest_bronze(spark, sf_dir):
 @query
 def refresh_videos(spark, sf_dir):
     """New and retried ids applied, then the metadata of the touched ones."""
-    videos, labels = I.videos(spark, sf_dir), _labels(spark, sf_dir)
-    outcomes = _outcomes(spark, sf_dir, diff.NEW, diff.RETRY)
+    videos = I.videos(spark, sf_dir)
+    labels, outcomes = _run(spark, sf_dir, diff.NEW, diff.RETRY)
     infos = landing.parse_infos(I.info_texts(spark, sf_dir))
     fetched = ingest.changed_videos(videos, outcomes, I.RUN_TS)
     touched = merge.update_metadata(videos, refresh.metadata_source(labels, infos))
@@ -515,8 +523,8 @@ def refresh_videos(spark, sf_dir):
 
 @query
 def refresh_membership(spark, sf_dir):
-    members, labels = I.membership(spark, sf_dir), _labels(spark, sf_dir)
-    outcomes = _outcomes(spark, sf_dir, diff.NEW, diff.RETRY)
+    members = I.membership(spark, sf_dir)
+    labels, outcomes = _run(spark, sf_dir, diff.NEW, diff.RETRY)
     changed = ingest.changed_members(
         members,
         I.PLAYLIST,

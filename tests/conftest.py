@@ -14,11 +14,14 @@ def spark(tmp_path_factory):
     session = build_session(
         "captide-tests",
         **{
-            "spark.master": "local[8]",
+            "spark.master": "local[4]",
             "spark.driver.memory": "6g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
+            # Compiling a plan costs more than running it on a handful of rows.
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
             "spark.sql.warehouse.dir": str(work / "warehouse"),
             "spark.checkpoint.dir": str(work / "checkpoints"),
         },
