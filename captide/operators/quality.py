@@ -53,6 +53,7 @@ def table_counts(videos: DataFrame, bronze: DataFrame, silver: DataFrame) -> Dat
     return stacked.agg(*[F.sum(c).alias(c) for c in stacked.columns])
 
 
+# The wording of report errors, here and in validation_report.
 def _count_error(left: str, right: Column, label: str) -> Column:
     count = F.col(f"{left}_count")
     return F.when(count != right, F.format_string(f"{left} count (%d) != {label} (%d)", count, right))

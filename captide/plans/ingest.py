@@ -41,6 +41,13 @@ def resolve_playlist_id(spark: SparkSession, url: str) -> str:
     return spark.range(1).select(playlist_id(F.lit(url))).first()[0]
 
 
+def staged_captions(store: Store, landed: Landed, needed: bool) -> DataFrame:
+    """One landed caption per video, read once; none when nothing is to be fetched."""
+    if not needed:
+        return landed.captions.where(F.lit(False))
+    return store.stage_texts(diff.first_captions(landed.captions))
+
+
 def bronze_rows(
     bronze: DataFrame, captions: DataFrame, outcomes: DataFrame, run_ts: datetime | str
 ) -> DataFrame:
@@ -86,7 +93,8 @@ def run_ingest(
     tables = store.tables(manifest)
     members = diff.members_of(tables[MEMBERSHIP], playlist)
     labels = stage(diff.label_snapshot(landed.snapshot, members, tables[VIDEOS]), "labels")
-    captions = store.stage_texts(diff.first_captions(landed.captions))
+    counts = summaries.diff_counts(labels).first()
+    captions = staged_captions(store, landed, needed=counts.new > 0)
     scheduled = diff.with_label(labels, diff.NEW)
     outcomes = stage(
         diff.assemble_outcomes(scheduled, landed.fetches, captions, landed.infos), "outcomes"
@@ -95,7 +103,7 @@ def run_ingest(
     seen = seen_ids(labels, outcomes, diff.RETRY, diff.TOUCH)
     linked = changed_members(tables[MEMBERSHIP], playlist, seen, run_ts)
     changes = {MEMBERSHIP: store.put(MEMBERSHIP, manifest, linked)}
-    if result["new"]:
+    if counts.new:
         videos = changed_videos(tables[VIDEOS], outcomes, run_ts)
         changes[VIDEOS] = store.put(VIDEOS, manifest, videos)
         changes[BRONZE] = append_bronze(store, manifest, captions, outcomes, run_ts)

@@ -15,6 +15,7 @@ from captide.plans.ingest import (
     changed_videos,
     resolve_playlist_id,
     seen_ids,
+    staged_captions,
 )
 from captide.plans.transform import select_transcripts, silver_rows
 from captide.schema import BRONZE, MEMBERSHIP, SILVER, VIDEOS
@@ -47,13 +48,14 @@ def run_refresh(
     tables = store.tables(manifest)
     members = diff.members_of(tables[MEMBERSHIP], playlist)
     labels = stage(diff.label_snapshot(landed.snapshot, members, tables[VIDEOS]), "labels")
-    removals = summaries.tombstone_check(labels).first()
-    if removals.tripped and not force_tombstone:
+    counts = summaries.diff_counts(labels).first()
+    if counts.tombstone > summaries.MAX_TOMBSTONES and not force_tombstone:
         raise TooManyRemovals(
-            f"{removals.candidates} removals exceed {summaries.MAX_TOMBSTONES}; "
+            f"{counts.tombstone} removals exceed {summaries.MAX_TOMBSTONES}; "
             "pass force_tombstone to apply them"
         )
-    captions = store.stage_texts(diff.first_captions(landed.captions))
+    fetching = counts.new + counts.retry_no_subtitles > 0
+    captions = staged_captions(store, landed, needed=fetching)
     infos = stage(landed.infos, "infos")
     scheduled = diff.with_label(labels, diff.NEW, diff.RETRY)
     outcomes = stage(
@@ -68,8 +70,8 @@ def run_refresh(
         source = metadata_source(labels, infos)
         updated = merge.update_metadata(diff.rows_in(tables[VIDEOS], source), source)
         videos = videos.unionByName(updated)
-        counts = summaries.metadata_summary(touched, tables[VIDEOS], infos)
-        result |= counts.first().asDict()
+        refreshed = summaries.metadata_summary(touched, tables[VIDEOS], infos)
+        result |= refreshed.first().asDict()
     synchronised = changed_members(
         tables[MEMBERSHIP],
         playlist,
