@@ -103,14 +103,19 @@ def clean_captions(raw: Column) -> Column:
     return mark_speakers(decode_entities(strip_markup(raw)))
 
 
-def collapse_phrases(text: Column, max_ngram: int = MAX_NGRAM) -> Column:
-    """Emit each consecutively repeated phrase of up to ``max_ngram`` words once."""
+def collapse_words(text: Column, max_ngram: int = MAX_NGRAM) -> Column:
+    """``collapse_phrases`` for a text that is single-spaced already."""
 
     @F.arrow_udf("string")
     def collapse(texts: pa.Array) -> pa.Array:
         return batches.collapse(texts, max_ngram)
 
-    return collapse(normalise_spaces(text))
+    return collapse(text)
+
+
+def collapse_phrases(text: Column, max_ngram: int = MAX_NGRAM) -> Column:
+    """Emit each consecutively repeated phrase of up to ``max_ngram`` words once."""
+    return collapse_words(normalise_spaces(text), max_ngram)
 
 
 def transcript_text(raw: Column) -> Column:

@@ -51,9 +51,14 @@ def staged_captions(store: Store, landed: Landed, needed: bool) -> DataFrame:
 def bronze_rows(
     bronze: DataFrame, captions: DataFrame, outcomes: DataFrame, run_ts: datetime | str
 ) -> DataFrame:
-    """Captions of this run's ids that Bronze does not hold; one row per id on both sides."""
-    wanted = diff.rows_in(captions, outcomes.where("has_caption"))
-    return diff.rows_not_in(wanted, bronze).withColumn("fetched_at", merge.timestamp(run_ts))
+    """Captions of this run's ids that Bronze does not hold; one row per id on both sides.
+
+    Bronze is first reduced to this run's ids, which reads its segments in place.
+    """
+    captioned = outcomes.where("has_caption")
+    held = diff.rows_in(bronze.select("video_id"), captioned)
+    wanted = diff.rows_not_in(diff.rows_in(captions, captioned), held)
+    return wanted.withColumn("fetched_at", merge.timestamp(run_ts))
 
 
 def changed_videos(videos: DataFrame, outcomes: DataFrame, run_ts: datetime | str) -> DataFrame:

@@ -66,9 +66,19 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 def require_complete(spark: SparkSession, status_path: str) -> None:
     """Raise unless the listing's recorded exit code is zero, even if it left ids behind."""
-    status = spark.read.schema(EXIT_STATUS_SCHEMA).json(status_path).first()
-    if status is None or status.returncode != 0:
-        raise IncompleteSnapshot(f"snapshot listing did not finish: {status}")
+    finished = F.coalesce(F.col("returncode") == 0, F.lit(False))
+    status = (
+        spark.read.schema(EXIT_STATUS_SCHEMA)
+        .json(status_path)
+        .agg(
+            F.count("*").alias("listings"),
+            F.count_if(~finished).alias("unfinished"),
+            F.max("stderr").alias("stderr"),
+        )
+        .first()
+    )
+    if status.listings == 0 or status.unfinished > 0:
+        raise IncompleteSnapshot(f"snapshot listing did not finish: {status.asDict()}")
 
 
 def caption_name(file_name: Column) -> Column:

@@ -60,10 +60,10 @@ def collapse_phrases(spark, sf_dir):
 @query
 def phrase_stats_by_lang(spark, sf_dir):
     """Words before and after phrase collapse, per language."""
-    before = X.normalise_spaces(F.col("text"))
     return (
         documents(spark, sf_dir)
-        .select("lang", before.alias("before"), X.collapse_phrases(F.col("text")).alias("after"))
+        .select("lang", X.normalise_spaces(F.col("text")).alias("before"))
+        .withColumn("after", X.collapse_words(F.col("before")))
         .groupBy("lang")
         .agg(
             F.count("*").alias("n_docs"),
