@@ -63,7 +63,7 @@ def membership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users that signed up early, with a status from their last event before the cut."""
-    last = F.max_by(F.struct("event_type", "value", "ts"), F.struct("ts", "event_id"))
+    last = F.max_by(F.struct("event_type", "value", "event_id"), F.struct("ts", "event_id"))
     users = (
         events(spark, sf_dir)
         .where(F.col("ts") < day(MEMBERS_UNTIL))
@@ -82,7 +82,7 @@ def videos(spark: SparkSession, sf_dir: str) -> DataFrame:
         kind.alias("channel_id"),
         F.col("signed_up").cast("date").alias("upload_date"),
         F.floor("last.value").cast("int").alias("duration"),
-        F.unix_micros(F.col("last.ts").cast("timestamp")).alias("view_count"),
+        F.col("last.event_id").alias("view_count"),
         F.when(kind == "error", "unavailable")
         .when(kind == "view", "no_subtitles")
         .otherwise("ok")

@@ -131,14 +131,14 @@ VIDEOS = f"""
 videos AS (
   SELECT video_id, 'Video ' || video_id AS title, 'by ' || kind AS channel_name,
     kind AS channel_id, CAST(signed_up AS DATE) AS upload_date,
-    CAST(floor(value) AS INTEGER) AS duration, epoch_us(last_ts) AS view_count,
+    CAST(floor(value) AS INTEGER) AS duration, event_id AS view_count,
     CASE kind WHEN 'error' THEN 'unavailable' WHEN 'view' THEN 'no_subtitles' ELSE 'ok' END
       AS fetch_status,
     signed_up AS ingested_at
   FROM (
     SELECT CAST(user_id AS VARCHAR) AS video_id,
       arg_max(event_type, (ts, event_id)) AS kind, arg_max(value, (ts, event_id)) AS value,
-      max(ts) AS last_ts, min(ts) FILTER (event_type = 'signup') AS signed_up
+      arg_max(event_id, (ts, event_id)) AS event_id, min(ts) FILTER (event_type = 'signup') AS signed_up
     FROM events WHERE ts < TIMESTAMP '{MEMBERS_UNTIL}' GROUP BY user_id)
   WHERE signed_up < TIMESTAMP '{KNOWN_UNTIL}')"""
 
