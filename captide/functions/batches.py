@@ -1,4 +1,6 @@
-"""Text work on Arrow batches, for the parts Spark has no expression for.
+"""Text work on Arrow batches, and the patterns of caption markup.
+
+The patterns are written for both Java's and Arrow's regular expressions.
 
 Phrase collapse: a phrase of ``n`` words repeats at word ``i`` exactly when word
 ``i + k`` equals word ``i + k + n`` for the next ``n`` values of ``k``.  For one
@@ -19,7 +21,40 @@ import pyarrow.compute as pc
 # Longest phrase looked for, in words.
 MAX_NGRAM = 12
 
-# Texts collapsed together; bounds the working arrays whatever the batch size.
+# Characters that end a line, other white space, decimal digits.
+LINE_BREAKS = r"\n-\r\x1c-\x1e\x{85}\x{2028}\x{2029}"
+IN_LINE_SPACES = r"\t\x1f \x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}"
+DIGIT = r"\p{Nd}"
+# First words of caption file header lines.
+HEADER_PREFIXES = ("WEBVTT", "Kind:", "Language:")
+
+_REST_OF_LINE = f"[^{LINE_BREAKS}]*"
+_CLOCK = f"{DIGIT}{{2}}:{DIGIT}{{2}}:{DIGIT}{{2}}\\."
+
+CUE_RANGE = (
+    f"{_CLOCK}{DIGIT}{{3}}[{IN_LINE_SPACES}]*-->[{IN_LINE_SPACES}]*"
+    f"{_CLOCK}{DIGIT}{{3}}{_REST_OF_LINE}"
+)
+INLINE_TIMESTAMP = f"<{_CLOCK}{DIGIT}+>"
+CAPTION_TAG = "</?c>"
+
+
+def header_line(other_breaks: str) -> str:
+    """Pattern of a header line; ``other_breaks`` are those that ``^`` does not see."""
+    return (
+        f"(?m)(?:^|[{other_breaks}])[{IN_LINE_SPACES}]*"
+        f"(?:{'|'.join(HEADER_PREFIXES)}){_REST_OF_LINE}"
+    )
+
+
+_MARKUP = (
+    CUE_RANGE,
+    INLINE_TIMESTAMP,
+    CAPTION_TAG,
+    header_line(r"\x0b-\r\x1c-\x1e\x{85}\x{2028}\x{2029}"),
+)
+
+# Texts worked on together; bounds memory whatever the batch size.
 _SLICE_BYTES = 4 << 20
 
 
@@ -83,35 +118,41 @@ def _collapse_slice(texts: pa.Array, max_ngram: int) -> pa.Array:
     return pc.binary_join(kept, pa.scalar(" ", pa.large_string())).cast(texts.type)
 
 
-def collapse(texts: pa.Array, max_ngram: int = MAX_NGRAM) -> pa.Array:
-    """Emit consecutive repeats of 1..max_ngram words once, in single-spaced texts."""
+def _in_slices(texts: pa.Array, work) -> pa.Array:
     rows = max(1, len(texts) * _SLICE_BYTES // max(1, texts.nbytes))
-    parts = [
-        _collapse_slice(texts.slice(at, rows), max_ngram) for at in range(0, len(texts), rows)
-    ]
+    parts = [work(texts.slice(at, rows)) for at in range(0, len(texts), rows)]
     return pa.concat_arrays(parts) if parts else texts
 
 
-def _rewrite_where(texts: pa.Array, mask: pa.Array, rewrite) -> pa.Array:
-    mask = pc.fill_null(mask, False)
-    chosen = texts.filter(mask)
-    if not len(chosen):
-        return texts
-    return pc.replace_with_mask(
-        texts, mask, pa.array([rewrite(t) for t in chosen.to_pylist()], texts.type)
-    )
+def _rewritten(texts: pa.Array, rewrite) -> pa.Array:
+    for pattern in _MARKUP:
+        texts = pc.replace_substring_regex(texts, pattern, "")
+    return pa.array([None if t is None else rewrite(t) for t in texts.to_pylist()], texts.type)
+
+
+def _prose(text: str) -> str:
+    text = " ".join(text.split())
+    if "&" in text:
+        text = html.unescape(text)
+    return text.replace(">>", "\n>> ")
+
 
+def _single_spaced_prose(text: str) -> str:
+    return " ".join(_prose(text).split())
 
-def decode_entities(texts: pa.Array) -> pa.Array:
-    """HTML5 entities to characters."""
-    return _rewrite_where(texts, pc.match_substring(texts, "&"), html.unescape)
 
+def collapse(texts: pa.Array, max_ngram: int = MAX_NGRAM) -> pa.Array:
+    """Emit consecutive repeats of 1..max_ngram words once, in single-spaced texts."""
+    return _in_slices(texts, lambda part: _collapse_slice(part, max_ngram))
 
-def _decoded_words(text: str) -> str:
-    return " ".join(html.unescape(text).replace(">>", "\n>> ").split())
+
+def clean(texts: pa.Array) -> pa.Array:
+    """Raw caption files to prose: markup out, entities decoded, speakers marked."""
+    return _in_slices(texts, lambda part: _rewritten(part, _prose))
 
 
 def finish(texts: pa.Array) -> pa.Array:
-    """Entities, speaker marks, white space and phrase collapse for stripped texts."""
-    special = pc.or_(pc.match_substring(texts, "&"), pc.match_substring(texts, ">>"))
-    return collapse(_rewrite_where(texts, special, _decoded_words))
+    """Raw caption files to single-spaced prose with repeated phrases collapsed."""
+    return _in_slices(
+        texts, lambda part: _collapse_slice(_rewritten(part, _single_spaced_prose), MAX_NGRAM)
+    )

@@ -1,9 +1,10 @@
 """Caption text cleaning as column expressions.
 
-Markup removal works on whole texts with built-in regular expressions instead of
-splitting into lines: every pattern stays inside one line by its character
-classes, so no per-line arrays are built.  Entity decoding and phrase collapse
-share one Arrow pass.
+Markup removal works on whole texts instead of splitting into lines: every
+pattern stays inside one line by its character classes, so no per-line arrays are
+built.  ``strip_markup`` is built from Spark's own expressions.  What needs entity
+decoding or phrase collapse has to visit Python once, and then does all its
+cleaning there, on Arrow batches with the same patterns.
 """
 
 from __future__ import annotations
@@ -20,41 +21,22 @@ from captide.functions.batches import MAX_NGRAM
 # installed on executors.
 cloudpickle.register_pickle_by_value(batches)
 
-# Characters that end a line, other white space, decimal digits.
-LINE_BREAKS = r"\n-\r\x1c-\x1e\x85\x{2028}\x{2029}"
-IN_LINE_SPACES = r"\t\x1f \xa0\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}"
-DIGIT = r"\p{Nd}"
-# First words of caption file header lines.
-HEADER_PREFIXES = ("WEBVTT", "Kind:", "Language:")
-
 # All white space.  Java's class is cheap to test but leaves out four separators.
 _SPACE = r"[\s\x1c-\x1f]"
-_REST_OF_LINE = f"[^{LINE_BREAKS}]*"
-_CLOCK = f"{DIGIT}{{2}}:{DIGIT}{{2}}:{DIGIT}{{2}}\\."
-
-_CUE_RANGE = (
-    f"{_CLOCK}{DIGIT}{{3}}[{IN_LINE_SPACES}]*-->[{IN_LINE_SPACES}]*"
-    f"{_CLOCK}{DIGIT}{{3}}{_REST_OF_LINE}"
-)
-_INLINE_TIMESTAMP = f"<{_CLOCK}{DIGIT}+>"
-_CAPTION_TAG = "</?c>"
-# Java's line start covers the common line breaks; the rest are matched as characters.
-_HEADER_LINE = (
-    rf"(?m)(?:^|[\x0b\x0c\x1c-\x1e])[{IN_LINE_SPACES}]*"
-    f"(?:{'|'.join(HEADER_PREFIXES)}){_REST_OF_LINE}"
-)
+# Java's line start covers the other line breaks.
+_HEADER_LINE = batches.header_line(r"\x0b\x0c\x1c-\x1e")
 
 
 def strip_cue_ranges(text: Column) -> Column:
-    return F.regexp_replace(text, _CUE_RANGE, "")
+    return F.regexp_replace(text, batches.CUE_RANGE, "")
 
 
 def strip_inline_timestamps(text: Column) -> Column:
-    return F.regexp_replace(text, _INLINE_TIMESTAMP, "")
+    return F.regexp_replace(text, batches.INLINE_TIMESTAMP, "")
 
 
 def strip_caption_tags(text: Column) -> Column:
-    return F.regexp_replace(text, _CAPTION_TAG, "")
+    return F.regexp_replace(text, batches.CAPTION_TAG, "")
 
 
 def drop_header_lines(text: Column) -> Column:
@@ -84,23 +66,14 @@ def strip_markup(raw: Column) -> Column:
     return raw
 
 
-def mark_speakers(text: Column) -> Column:
-    return F.replace(text, F.lit(">>"), F.lit("\n>> "))
-
-
-def decode_entities(text: Column) -> Column:
-    """HTML5 entities to characters; Spark has no built-in for it."""
+def clean_captions(raw: Column) -> Column:
+    """Raw caption file text to prose with a line break before each speaker mark."""
 
     @F.arrow_udf("string")
-    def decode(texts: pa.Array) -> pa.Array:
-        return batches.decode_entities(texts)
+    def clean(texts: pa.Array) -> pa.Array:
+        return batches.clean(texts)
 
-    return decode(text)
-
-
-def clean_captions(raw: Column) -> Column:
-    """Raw caption file text to prose with a line break before each speaker mark."""
-    return mark_speakers(decode_entities(strip_markup(raw)))
+    return clean(raw)
 
 
 def collapse_words(text: Column, max_ngram: int = MAX_NGRAM) -> Column:
@@ -119,13 +92,13 @@ def collapse_phrases(text: Column, max_ngram: int = MAX_NGRAM) -> Column:
 
 
 def transcript_text(raw: Column) -> Column:
-    """``collapse_phrases(clean_captions(raw))`` with one trip to Python workers."""
+    """``collapse_phrases(clean_captions(raw))`` in one pass."""
 
     @F.arrow_udf("string")
     def finish(texts: pa.Array) -> pa.Array:
         return batches.finish(texts)
 
-    return finish(strip_markup(raw))
+    return finish(raw)
 
 
 def is_blank(text: Column) -> Column:

@@ -75,6 +75,11 @@ def test_one_pass_transcript_equals_clean_then_collapse(spark, noise):
     assert apply(spark, X.transcript_text, noise) == want
 
 
+def test_markup_removal_in_spark_expressions_agrees(spark, noise):
+    plain = [t for t in noise if "&" not in t and ">>" not in t]
+    assert apply(spark, X.strip_markup, plain) == [clean_by_hand(t) for t in plain]
+
+
 @pytest.mark.parametrize(
     ("raw", "want"),
     [
