@@ -7,23 +7,22 @@ size to choose a strategy by.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Used by local sessions that name no folder, whose tasks all see this machine's disk.
+_LOCAL_FOLDER = "file:///tmp/checkpoints/captide"
 
-def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder the cluster names for checkpoints.
 
-    Only a local session, whose tasks all see this machine's disk, may go without.
-    """
+def staging_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder the cluster names for checkpoints."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="captide-")
-    return f"{base}/captide-{uuid.uuid4().hex}/{name}"
+        base = _LOCAL_FOLDER
+    return f"{base.rstrip('/')}/captide-{uuid.uuid4().hex}/{name}"
 
 
 def stage(rows: DataFrame, name: str) -> DataFrame:
