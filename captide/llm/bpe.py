@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from captide.llm.common import row_slices, text_column
+from captide.llm.common import row_slices, share, shared, text_column
 
 # Remembered pre-tokens per task.
 _MEMO = 400_000
@@ -171,15 +171,14 @@ def encode(
     Only named columns are read, so others may have any name; repeated rows are encoded
     like any other.  An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((PerfectHash(ranks), ranks, pattern))
+    vocabulary = share(docs.sparkSession, PerfectHash(ranks), ranks, pattern)
     source = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], text_column().alias("text"))
     kept = source.schema.fields[:-1]
     results = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded binary"
     schema = ", ".join([f"k{i} {f.dataType.simpleString()}" for i, f in enumerate(kept)] + ["n_tokens long", results])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(*shared.value)
+        codec = Codec(*shared(vocabulary))
         for whole in batches:
             for batch in row_slices(whole, column=len(kept)):
                 ids = [codec.encode(t) for t in batch.column(len(kept)).to_pylist()]

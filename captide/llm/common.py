@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from captide.sources.staging import stage
-
-__all__ = ["crc_fold", "documents", "pages", "row_slices", "stage", "text_column", "WordHashes"]
+from captide.sources.staging import stage  # noqa: F401
 
 # White space that ends a word, as a character class body.
 BLANKS = r"\x20\x09-\x0D"
@@ -36,6 +36,18 @@ def text_column(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def share(spark: SparkSession, *values: object) -> Broadcast:
+    """Broadcast values that may hold classes of this package; read with ``shared``.
+
+    A plain broadcast would need the package on the executors.
+    """
+    return spark.sparkContext.broadcast(cloudpickle.dumps(values))
+
+
+def shared(values: Broadcast) -> tuple:
+    return pickle.loads(values.value)
+
+
 def crc_fold(id_column: str, folds: int) -> Column:
     """Remainder of the CRC-32 of an id written as text; null for a null id."""
     return F.pmod(F.crc32(F.col(id_column).cast("string")), F.lit(folds))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from captide.llm import bpe, exact, minhash
-from captide.llm.common import documents
+from captide.llm import bpe, exact, fingerprints, language, minhash, mixing, secret_scan
+from captide.llm.common import crc_fold, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,3 +38,27 @@ def op2_byte_bpe(spark, sf_dir):
 @query
 def op4_exact_dedup(spark, sf_dir):
     return exact.exact_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op5_language_id(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    fold = crc_fold("doc_id", 4)
+    predicted = language.predict(docs, language.learn(docs.where(fold != 2)))
+    held_out = F.coalesce(fold == 2, F.lit(False))
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "languages", "shares")
+
+
+@query
+def op6_secret_scan(spark, sf_dir):
+    return secret_scan.secret_report(documents(spark, sf_dir))
+
+
+@query
+def op7_source_mix(spark, sf_dir):
+    return mixing.mix_report(documents(spark, sf_dir))
+
+
+@query
+def op10_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprints(documents(spark, sf_dir)).drop("edited_entries")
