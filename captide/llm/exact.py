@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from captide.llm.common import text_column
+from captide.llm.common import stage, text_column
 
 SALTS = 16
 
@@ -46,26 +46,28 @@ def exact_duplicates(
     Other columns are not read.  An empty table gives an empty result.
     """
     groups = text_groups(docs, id_column, text_name)
-    by_digest = groups.groupBy("digest").agg(
-        F.max("keep_id").alias("keep_id"),
-        F.max("group_size").alias("group_size"),
-        F.count("*").alias("texts"),
+    by_digest = stage(
+        groups.groupBy("digest").agg(
+            F.max("keep_id").alias("keep_id"),
+            F.max("group_size").alias("group_size"),
+            F.count("*").alias("texts"),
+        ),
+        "digests",
     )
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.sha2(text_column(text_name), 256).alias("digest"),
         text_column(text_name).alias("text"),
     )
+    columns = ["doc_id", "keep_id", "group_size", "digest"]
     alone = by_digest.where("texts = 1").select("digest", "keep_id", "group_size")
+    found = rows.select("doc_id", "digest").join(alone, "digest").select(*columns)
     shared = by_digest.where("texts > 1").select("digest")
-    columns = ["doc_id", "keep_id", "group_size", "digest"]
-    settled = rows.select("doc_id", "digest").join(alone, "digest").select(*columns)
-    compared = (
-        rows.join(shared, "digest", "left_semi")
-        .join(groups, ["digest", "text"])
-        .select(*columns)
-    )
-    return settled.union(compared).select(
+    if not shared.isEmpty():
+        # Only texts whose digest several texts have are moved again.
+        compared = rows.join(shared, "digest", "left_semi").join(groups, ["digest", "text"])
+        found = found.union(compared.select(*columns))
+    return found.select(
         "doc_id",
         "keep_id",
         "group_size",
