@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from captide.llm import bpe, exact, fingerprints, language, minhash, mixing, secret_scan
-from captide.llm.common import crc_fold, documents
+from captide.llm import bpe, exact, fingerprints, language, minhash, mixing, ngrams, secret_scan, templates, toxicity
+from captide.llm.common import crc_fold, documents, pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,3 +62,23 @@ def op7_source_mix(spark, sf_dir):
 @query
 def op10_fingerprints(spark, sf_dir):
     return fingerprints.fingerprints(documents(spark, sf_dir)).drop("edited_entries")
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    fold = crc_fold("doc_id", 5)
+    model = toxicity.learn(docs, labels.where(fold != 0))
+    held_out = F.coalesce(fold == 0, F.lit(False))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op8_lm_score(spark, sf_dir):
+    return ngrams.score(documents(spark, sf_dir))
+
+
+@query
+def op3_html_extraction(spark, sf_dir):
+    return templates.main_text(pages(spark, sf_dir))
