@@ -6,13 +6,24 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from captide.llm import bpe, exact, minhash
-from captide.llm.common import documents, stage
+from captide.llm import bpe, exact, language, minhash, mixing
+from captide.llm.common import crc_fold, documents, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; those without a letter go.
+
+    Profiles come from the labelled documents outside the held-out fold.
+    """
+    profiles = language.learn(docs.where(crc_fold("doc_id", 4) != 2))
+    predicted = language.predict(docs, profiles, keep=tuple(docs.columns))
+    return predicted.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per distinct text."""
     return exact.without_copies(docs)
@@ -23,6 +34,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return minhash.without_near_copies(docs)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    return mixing.mixed_rows(docs)
+
+
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and its text decoded from them."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -30,8 +46,10 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language id", keep_known_languages),
     ("exact dedup", drop_copies),
     ("minhash near-dedup", drop_near_copies),
+    ("source mix", mix_sources),
     ("byte bpe", tokenize),
 ]
 
