@@ -89,14 +89,14 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, perce
 def fit_lengths(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each length to take so that their words come nearest to a budget.
 
-    Most of the budget is taken in proportion from all lengths.  The rest is a bounded
-    knapsack: sums that some choice reaches are bits of one integer, items are powers of
+    What exceeds the reach of the exact search is taken in proportion from all lengths, so
+    a budget within it is met as closely as any choice can.  The rest is a bounded knapsack: sums that some choice reaches are bits of one integer, items are powers of
     two of a length's remaining documents, and the choice is read back item by item.
     """
     total = int((sizes * counts).sum())
     if budget >= total:
         return counts.copy()
-    taken = counts * max(0, budget) // max(1, total)
+    taken = counts * max(0, budget - _REACH) // max(1, total)
     left = max(0, budget) - int((sizes * taken).sum())
     # Whole documents, longest first, until the rest is within reach of the exact search.
     for k in np.argsort(-sizes, kind="stable").tolist():
