@@ -360,6 +360,12 @@ def _block_links(width: int, percent: int):
     return run
 
 
+def _relabelled(rows: DataFrame, labels: DataFrame, column: str) -> DataFrame:
+    """Rows with a node's component in place of the node."""
+    found = rows.join(labels.toDF(column, "__label"), column, "left")
+    return found.withColumn(column, F.coalesce("__label", column)).drop("__label").select(*rows.columns)
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -410,20 +416,13 @@ def near_duplicates(
     texts = stage(_class_texts(involved, source, width), "texts")
 
     first = stage(_pivot_links(members, classes, texts, width, percent), "first")
-    further = stage(
-        _cross_links(members, components(first), classes, texts, width, percent), "further"
-    )
-    labels = components(first.union(further))
-    least = (
-        labels.join(classes.select("cid", "doc_id"), "cid")
-        .groupBy("component")
-        .agg(F.min("doc_id").alias("component_id"))
-    )
-    named = (
-        classes.select("cid", "digest", "doc_id")
-        .join(labels.join(least, "component").select("cid", "component_id"), "cid", "left")
-        .select("digest", F.coalesce("component_id", "doc_id").alias("component_id"))
-    )
+    early = components(first)
+    further = _cross_links(members, early, classes, texts, width, percent)
+    # Later links join whole components, so only those take part in the second round.
+    late = components(_relabelled(_relabelled(further, early, "a"), early, "b").where("a <> b").distinct())
+    labelled = _relabelled(_relabelled(classes.select("cid", "digest", "doc_id"), early, "cid"), late, "cid")
+    least = labelled.groupBy("cid").agg(F.min("doc_id").alias("component_id"))
+    named = labelled.join(least, "cid").select("digest", "component_id")
     linked = full.select("doc_id", "n_shingles", "digest").join(named, "digest")
     empty = sketched.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
     columns = ["doc_id", "n_shingles", "component_id"]
