@@ -29,7 +29,7 @@ DIMENSIONS = 8
 NGRAMS = (3, 4, 5, 6)
 WINDOW = 32
 # Bounds of the training sample: documents per label, and windows per document.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_WINDOWS = 2500, 7500, 14
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_WINDOWS = 2000, 6000, 12
 _STEPS, _WARM_UP, _RATE = 60, 20, 0.2
 _DOCUMENTS_AT_ONCE = 200
 # Weight of the prior against an n-gram, in documents.
