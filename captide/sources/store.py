@@ -50,11 +50,27 @@ class Store:
         self.spark = spark
         self.root = root.rstrip("/")
         self._shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        narrow = buckets or self._shuffles
-        text = text_buckets or narrow
-        self.buckets = {t: text if t in (BRONZE, SILVER) else narrow for t in SCHEMAS}
+        asked = {t: (text_buckets or buckets) if t in (BRONZE, SILVER) else buckets for t in SCHEMAS}
+        stored = self._layout()
+        # Written files keep the bucket count they were written with, whatever the session says.
+        for table, n in (stored or {}).items():
+            if asked[table] not in (None, n):
+                raise ValueError(f"{table} is stored in {n} buckets, not {asked[table]}")
+        self.buckets = stored or {t: n or self._shuffles for t, n in asked.items()}
         self._prefix = f"{database}.captide_{hashlib.sha1(self.root.encode()).hexdigest()[:10]}"
 
+    # -- layout ----------------------------------------------------------------
+
+    def _layout(self) -> dict[str, int] | None:
+        """Bucket counts saved when the store was created."""
+        try:
+            rows = self.spark.read.schema("table string, buckets int").parquet(f"{self.root}/layout")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return {r.table: r.buckets for r in rows.collect()} or None  # one row per table
+
     # -- commits ---------------------------------------------------------------
 
     def _commits(self) -> DataFrame | None:
@@ -81,6 +97,12 @@ class Store:
     def create(self, run_ts: datetime | str) -> None:
         """Start an empty store; does nothing when one exists."""
         if self._latest() is None:
+            entries = [
+                F.struct(F.lit(t).alias("table"), F.lit(n).alias("buckets")) for t, n in self.buckets.items()
+            ]
+            self.spark.range(0, 1, 1, 1).select(F.inline(F.array(*entries))).write.mode(
+                "overwrite"
+            ).parquet(f"{self.root}/layout")
             self._write_commit(0, {t: [] for t in SCHEMAS}, run_ts)
 
     def manifest(self) -> Manifest:

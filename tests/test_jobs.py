@@ -304,3 +304,32 @@ def test_stored_transcripts_are_not_shuffled(store, tmp_path):
 def pending_plan(tables):
     rows = select_transcripts(tables[BRONZE], tables[SILVER])
     return rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_rows_survive_another_partition_setting(spark, tmp_path):
+    """A store keeps the bucket counts it was created with."""
+    from captide.schema import BRONZE
+    from captide.sources.store import Store
+
+    root = f"file://{tmp_path}/layout"
+    rows = spark.range(300).selectExpr(
+        "cast(id as string) AS video_id", "'x' AS raw_vtt", "'en' AS source_language",
+        "timestamp'2024-01-01' AS fetched_at",
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        store = Store(spark, root)
+        store.create("2024-01-01")
+        store.commit({BRONZE: [store.write_segment(BRONZE, rows)]}, "2024-01-01")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for setting in ("2", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", setting)
+            stored = Store(spark, root).tables()[BRONZE]
+            assert stored.join(rows.select("video_id"), "video_id").count() == 300
+        with pytest.raises(ValueError):
+            Store(spark, root, buckets=3)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
