@@ -256,7 +256,8 @@ def _cross_links(
 
     The pivot has been compared with all, so it is left out.  Members of a value's largest
     component are only looked up; the others ask.  Both are dealt into blocks, and each
-    pair of blocks is one group of bounded size.
+    pair of blocks is one group of bounded size.  A block gives links that span what its
+    links join, not all of them.
     """
     label = F.coalesce("component", "cid")
     rest = (
@@ -338,9 +339,12 @@ def _block_links(width: int, percent: int):
             return sets[cid[at]]
 
         held = np.flatnonzero(~asks)
+        # Components merge as links are found: what is joined already is not compared again,
+        # and one link is kept for each merge, so a block gives fewer links than it has rows.
+        _, merged = np.unique(component, return_inverse=True)
         found = []
         for at in np.flatnonzero(asks):
-            other = held[component[held] != component[at]]
+            other = held[merged[held] != merged[at]]
             small, large = np.minimum(size[other], size[at]), np.maximum(size[other], size[at])
             other = other[100 * small >= percent * large]
             equal = (registers[other] == registers[at]).sum(axis=1)
@@ -353,7 +357,9 @@ def _block_links(width: int, percent: int):
             near = np.minimum(np.searchsorted(mine, pooled), len(mine) - 1)
             both = np.add.reduceat((mine[near] == pooled).astype(np.int64), starts)
             linked = other[100 * both >= percent * (size[other] + size[at] - both)]
-            found += [(min(cid[at], cid[o]), max(cid[at], cid[o])) for o in linked]
+            joined, first = np.unique(merged[linked], return_index=True)
+            found += [(min(cid[at], cid[o]), max(cid[at], cid[o])) for o in linked[first]]
+            merged[np.isin(merged, joined)] = merged[at]
         a, b = zip(*found, strict=True) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
