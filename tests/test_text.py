@@ -1,6 +1,5 @@
-"""Text expressions against plain row-at-a-time readings of the same rules."""
+"""Text expressions on texts built from a known result, and against a back-reference expression."""
 
-import html
 import random
 import re
 
@@ -12,52 +11,57 @@ from captide.functions import batches
 from captide.functions import text as X
 
 
-def collapse_by_hand(text, longest=12):
-    words, out, at = text.split(), [], 0
-    while at < len(words):
-        for n in range(longest, 0, -1):
-            times = 1
-            while words[at + n * times : at + n * times + n] == words[at : at + n] and (
-                at + n * (times + 1) <= len(words)
-            ):
-                times += 1
-            if times > 1:
-                out += words[at : at + n]
-                at += n * times
-                break
-        else:
-            out.append(words[at])
-            at += 1
-    return " ".join(out)
-
-
-def clean_by_hand(raw):
-    clock = r"\d{2}:\d{2}:\d{2}\.\d{3}"
-    kept = []
-    for line in raw.splitlines():
-        line = re.sub(rf"{clock}\s*-->\s*{clock}.*", "", line, flags=re.S)
-        line = re.sub(r"<\d{2}:\d{2}:\d{2}\.\d+>", "", line).replace("<c>", "").replace("</c>", "")
-        line = " ".join(line.split())
-        if line and not re.match("WEBVTT|Kind:|Language:", line):
-            kept.append(line)
-    return html.unescape(" ".join(kept)).replace(">>", "\n>> ")
-
-
-ATOMS = (
-    ["WEBVTT", "Kind: captions", "Language: en", "Kind:", "xKind:", "00:00:01.000 --> 00:00:02.500"]
-    + ["00:00:01.000-->00:00:02.500 align:start", "00:01.000 --> 00:02.000", "<00:00:01.5>", "12:"]
-    + ["<c>", "</c>", "<c.x>", "<<c>c>", "<<00:00:00.1>c>", "&amp;", "&gt;&gt;", ">>", ">", "&nbsp;"]
-    + ["&lt;c&gt;", "&#39;", "&copy", "&notit;", "word", "the fox", "fox", "a", "a", "b", "é"]
-    + ["\n", "\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", " ", "  ", "\t"]
-    + [chr(c) for c in (0xA0, 0x2028, 0x2029, 0x3000, 0x2003, 0xFEFF, 0x200B, 0x661)]
-    + ["".join(chr(0x660 + int(d)) if d.isdigit() else d for d in "12:34:56.789")]
-)
+def repeats_once(text, longest=12):
+    """Second opinion on collapse: one expression with a branch per phrase length, longest first."""
+    phrases = (rf"((?:\S+ ){{{n - 1}}}\S+)(?: \{k})+(?!\S)" for k, n in enumerate(range(longest, 0, -1), 1))
+    repeat = re.compile(rf"(?<!\S)(?:{'|'.join(phrases)})")
+    return repeat.sub(lambda found: found[found.lastindex], " ".join(text.split()))
+
+
+# What ends a line, what is white space within one, and what vanishes from one.
+BREAKS = ["\n", "\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029"]
+SPACES = [" ", "  ", "\t", "\x1f", "\xa0", "\u2003", "\u3000"]
+MARKS = ["<c>", "</c>", "<00:00:01.5>", "<00:00:01.120>", "<\u0661\u0662:\u0663\u0664:\u0665\u0666.\u0667>"]
+HEADERS = ["WEBVTT", "WEBVTTx", "Kind: captions", "Kind:", "Language: en <c>", "<c>Kind: x", " \tLanguage:"]
+CUES = ["00:00:01.000 --> 00:00:02.500", "00:00:01.000-->00:00:02.500 align:start word",
+        "<c>00:00:01.000\xa0-->\t00:00:02.500 &amp;"]
+# Words as they are written and as they must come out.
+WORDS = {w: w for w in ("word", "fox", "a", "b", "\xe9", "xKind:", "12:", ">", "<c.x>", "00:01.000", "\ufeff", "\u0661")} | {
+    "&lt;c&gt;": "<c>",
+    "&#39;": "'",
+    "&copy": "\xa9",
+    "&notit;": "\xacit;",
+    "x&amp;y": "x&y",
+    ">>": "\n>> ",
+    "&gt;&gt;": "\n>> ",
+    "&nbsp;": "\xa0",
+}
+
+
+def caption(pick, words=WORDS):
+    """A caption file made from its known prose: markup, headers and cue ranges are added to it."""
+    written, prose = [], []
+    for _ in range(pick.randint(0, 6)):
+        kind = pick.random()
+        if kind < 0.25:
+            written.append(pick.choice(HEADERS + CUES))
+            continue
+        line = []
+        for word in pick.choices(list(words), k=pick.randint(0, 6)):
+            # Words keep white space between them; marks may stand anywhere around.
+            line += [pick.choice([*MARKS, ""]), word, pick.choice([*MARKS, ""]), pick.choice(SPACES)]
+            prose.append(words[word])
+        if kind < 0.4:
+            line.append(pick.choice(CUES[:2]))
+        written.append("".join(line))
+    raw = "".join(line + pick.choice(BREAKS) for line in written)
+    return raw, " ".join(prose)
 
 
 @pytest.fixture(scope="module")
-def noise():
+def made():
     pick = random.Random(11)
-    return ["".join(pick.choice(ATOMS) for _ in range(pick.randint(0, 25))) for _ in range(4000)]
+    return [caption(pick) for _ in range(4000)]
 
 
 def apply(spark, expression, texts):
@@ -66,18 +70,31 @@ def apply(spark, expression, texts):
     return [r.out for r in sorted(got)]
 
 
-def test_cleaning_matches_line_by_line_reading(spark, noise):
-    assert apply(spark, X.clean_captions, noise) == [clean_by_hand(t) for t in noise]
+def test_cleaning_gives_back_the_prose(spark, made):
+    assert apply(spark, X.clean_captions, [raw for raw, _ in made]) == [prose for _, prose in made]
+
+
+def test_one_pass_transcript_equals_clean_then_collapse(spark, made):
+    want = [repeats_once(prose) for _, prose in made]
+    assert apply(spark, X.transcript_text, [raw for raw, _ in made]) == want
 
 
-def test_one_pass_transcript_equals_clean_then_collapse(spark, noise):
-    want = [collapse_by_hand(clean_by_hand(t)) for t in noise]
-    assert apply(spark, X.transcript_text, noise) == want
+def test_markup_removal_in_spark_expressions_agrees(spark):
+    pick = random.Random(12)
+    same = {w: w for w, out in WORDS.items() if w == out}
+    made = [caption(pick, same) for _ in range(2000)]
+    assert apply(spark, X.strip_markup, [raw for raw, _ in made]) == [prose for _, prose in made]
 
 
-def test_markup_removal_in_spark_expressions_agrees(spark, noise):
-    plain = [t for t in noise if "&" not in t and ">>" not in t]
-    assert apply(spark, X.strip_markup, plain) == [clean_by_hand(t) for t in plain]
+def test_repeats_added_to_a_text_vanish():
+    # Up to three times: four of a phrase are two of its double, which is longer.
+    pick = random.Random(13)
+    for _ in range(500):
+        once = [f"w{k}" for k in range(pick.randint(1, 40))]
+        start, times = pick.randrange(len(once)), pick.randint(2, 3)
+        end = min(len(once), start + pick.randint(1, 12))
+        repeated = once[:start] + once[start:end] * times + once[end:]
+        assert batches.collapse(pa.array([" ".join(repeated)])).to_pylist() == [" ".join(once)]
 
 
 @pytest.mark.parametrize(
@@ -107,7 +124,7 @@ def test_collapse_on_dense_repeats(longest):
         for _ in range(5000)
     ]
     got = batches.collapse(pa.array(texts), longest).to_pylist()
-    assert got == [collapse_by_hand(t, longest) for t in texts]
+    assert got == [repeats_once(t, longest) for t in texts]
 
 
 @pytest.mark.parametrize(
@@ -139,7 +156,7 @@ def test_long_text_and_small_slices(monkeypatch):
     pick = random.Random(5)
     texts = [" ".join(pick.choice("ab cd ef".split()) for _ in range(n)) for n in (30000, 0, 7, 900)]
     texts.append("w " * 20000 + "end")
-    want = [collapse_by_hand(t) for t in texts]
+    want = [repeats_once(t) for t in texts]
     texts = [" ".join(t.split()) for t in texts]
     for size in (1, 4 << 20):
         monkeypatch.setattr(batches, "_SLICE_BYTES", size)
