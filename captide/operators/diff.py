@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from captide.functions.outcomes import resolve_outcome
+from captide.functions.outcomes import error_detail, resolve_outcome
 from captide.schema import METADATA_COLUMNS
 
 KEY = "video_id"
@@ -110,6 +110,34 @@ def first_captions(captions: DataFrame) -> DataFrame:
     )
 
 
+def wanted_captions(ids: DataFrame, captions: DataFrame, empty: DataFrame) -> DataFrame:
+    """``first_captions`` of listed ids; an id of ``empty`` without one has an empty text.
+
+    The captions are grouped before they meet the ids, so one id repeated in much of
+    them is combined first; the outer join stays above that grouping.
+    """
+    named = empty.select(KEY, F.col("source_language").alias("named"))
+    return (
+        ids.select(KEY)
+        .distinct()
+        .join(named, KEY, "left")
+        .join(first_captions(captions), KEY, "left")
+        .where(F.col("raw_vtt").isNotNull() | F.col("named").isNotNull())
+        .select(
+            KEY,
+            F.coalesce("source_language", "named").alias("source_language"),
+            F.coalesce("raw_vtt", F.lit("")).alias("raw_vtt"),
+        )
+    )
+
+
+def failures(outcomes: DataFrame) -> DataFrame:
+    """Failed fetches with what to report of each: id, status and a short error text."""
+    return outcomes.where((F.col("returncode") != 0) & ~F.col("has_caption")).select(
+        KEY, "fetch_status", error_detail(F.col("stderr")).alias("detail")
+    )
+
+
 def assemble_outcomes(
     ids: DataFrame, fetches: DataFrame, captions: DataFrame, infos: DataFrame
 ) -> DataFrame:

@@ -30,10 +30,13 @@ def diff_counts(labels: DataFrame) -> DataFrame:
     )
 
 
-def tombstone_check(labels: DataFrame) -> DataFrame:
-    """Removal candidates and whether there are too many to believe."""
+def tombstone_check(labels: DataFrame, limit: int = MAX_TOMBSTONES) -> DataFrame:
+    """Removal candidates and whether there are more than ``limit``, too many to believe.
+
+    The default suits playlists of some hundred videos; larger ones need a larger limit.
+    """
     return labels.agg(_labelled(TOMBSTONE).alias("candidates")).select(
-        "candidates", (F.col("candidates") > MAX_TOMBSTONES).alias("tripped")
+        "candidates", (F.col("candidates") > limit).alias("tripped")
     )
 
 

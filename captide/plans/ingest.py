@@ -41,11 +41,19 @@ def resolve_playlist_id(spark: SparkSession, url: str) -> str:
     return spark.range(1).select(playlist_id(F.lit(url))).first()[0]
 
 
-def staged_captions(store: Store, landed: Landed, needed: bool) -> DataFrame:
-    """One landed caption per video, read once; none when nothing is to be fetched."""
+def staged_captions(
+    store: Store, landed: Landed, scheduled: DataFrame, needed: bool
+) -> DataFrame:
+    """One landed caption per scheduled video, read once; none when nothing is to be fetched.
+
+    Only texts of scheduled ids are written.
+    """
     if not needed:
         return landed.captions.where(F.lit(False))
-    return store.stage_texts(diff.first_captions(landed.captions))
+    captions = diff.wanted_captions(
+        scheduled, landed.captions, landing.empty_captions(landed.fetches)
+    )
+    return store.stage_texts(captions)
 
 
 def bronze_rows(
@@ -99,8 +107,8 @@ def run_ingest(
     members = diff.members_of(tables[MEMBERSHIP], playlist)
     labels = stage(diff.label_snapshot(landed.snapshot, members, tables[VIDEOS]), "labels")
     counts = summaries.diff_counts(labels).first()
-    captions = staged_captions(store, landed, needed=counts.new > 0)
     scheduled = diff.with_label(labels, diff.NEW)
+    captions = staged_captions(store, landed, scheduled, needed=counts.new > 0)
     outcomes = stage(
         diff.assemble_outcomes(scheduled, landed.fetches, captions, landed.infos), "outcomes"
     )
@@ -113,6 +121,7 @@ def run_ingest(
         changes[VIDEOS] = store.put(VIDEOS, manifest, videos)
         changes[BRONZE] = append_bronze(store, manifest, captions, outcomes, run_ts)
     store.commit(changes, run_ts)
+    store.log_failures(diff.failures(outcomes), run_ts)
     store.log_run("run_ingest", result, run_ts)
     return result
 

@@ -40,8 +40,12 @@ def run_refresh(
     run_ts: datetime | str,
     refresh_metadata: bool = False,
     force_tombstone: bool = False,
+    max_tombstones: int = summaries.MAX_TOMBSTONES,
 ) -> dict:
-    """Apply a snapshot; all differences are taken from one version before any write."""
+    """Apply a snapshot; all differences are taken from one version before any write.
+
+    More than ``max_tombstones`` removals stop the run before it writes a table.
+    """
     store.create(run_ts)
     playlist = resolve_playlist_id(store.spark, playlist_url)
     manifest = store.manifest()
@@ -49,15 +53,16 @@ def run_refresh(
     members = diff.members_of(tables[MEMBERSHIP], playlist)
     labels = stage(diff.label_snapshot(landed.snapshot, members, tables[VIDEOS]), "labels")
     counts = summaries.diff_counts(labels).first()
-    if counts.tombstone > summaries.MAX_TOMBSTONES and not force_tombstone:
+    if counts.tombstone > max_tombstones and not force_tombstone:
         raise TooManyRemovals(
-            f"{counts.tombstone} removals exceed {summaries.MAX_TOMBSTONES}; "
+            f"{counts.tombstone} removals exceed {max_tombstones}; "
             "pass force_tombstone to apply them"
         )
     fetching = counts.new + counts.retry_no_subtitles > 0
-    captions = staged_captions(store, landed, needed=fetching)
-    infos = stage(landed.infos, "infos")
     scheduled = diff.with_label(labels, diff.NEW, diff.RETRY)
+    captions = staged_captions(store, landed, scheduled, needed=fetching)
+    described = (diff.NEW, diff.RETRY, diff.TOUCH) if refresh_metadata else (diff.NEW, diff.RETRY)
+    infos = stage(diff.rows_in(landed.infos, diff.with_label(labels, *described)), "infos")
     outcomes = stage(
         diff.assemble_outcomes(scheduled, landed.fetches, captions, infos), "outcomes"
     )
@@ -90,5 +95,6 @@ def run_refresh(
         rows = silver_rows(select_transcripts(bronze, tables[SILVER], ids=captioned), run_ts)
         changes[SILVER] = store.put(SILVER, manifest, rows)
     store.commit(changes, run_ts)
+    store.log_failures(diff.failures(outcomes), run_ts)
     store.log_run("run_refresh", result, run_ts)
     return result

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from captide.functions.outcomes import compact_date, first_filled, whole_number
 from captide.schema import METADATA_COLUMNS
 
-FETCH_RESULT_SCHEMA = "video_id string, returncode int, stderr string, seq long"
+FETCH_RESULT_SCHEMA = (
+    "video_id string, returncode int, stderr string, seq long, caption_files array<string>"
+)
 EXIT_STATUS_SCHEMA = "returncode int, stderr string"
 
 # Metadata file keys that are read; numbers are read as text.
@@ -93,8 +95,8 @@ def caption_name(file_name: Column) -> Column:
 def read_captions(spark: SparkSession, path: str) -> DataFrame:
     """One row per caption file, line ends read as newlines.
 
-    A zero-byte file, which is what an interrupted download leaves, is not read:
-    its video counts as having no caption and its exit code decides.
+    File sources do not list zero-byte files; ``empty_captions`` adds those that the
+    fetcher names.
     """
     files = spark.read.text(path, wholetext=True, pathGlobFilter=f"*{CAPTION_SUFFIX}")
     return files.select(
@@ -103,6 +105,19 @@ def read_captions(spark: SparkSession, path: str) -> DataFrame:
     ).select("name.video_id", "name.source_language", "raw_vtt")
 
 
+def empty_captions(fetches: DataFrame) -> DataFrame:
+    """One row per video for which the fetcher names caption files, its first language.
+
+    Such a video has a caption even if no file of it has content.
+    """
+    languages = F.transform("caption_files", lambda name: caption_name(name)["source_language"])
+    return (
+        fetches.where(F.size("caption_files") > 0)
+        .groupBy("video_id")
+        .agg(F.min(F.array_min(languages)).alias("source_language"))
+    )
+
+
 def parse_infos(texts: DataFrame) -> DataFrame:
     """``video_id, value`` rows of metadata JSON to table columns.
 

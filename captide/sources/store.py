@@ -119,10 +119,11 @@ class Store:
             )
             for table, segments in manifest.items()
         ]
-        # One partition, so one file.  mode "error": a commit number is never written twice.
+        # One partition, so one file.  A folder that an interrupted write left without that
+        # file is no commit: its number is taken again and the folder replaced.
         self.spark.range(0, 1, 1, 1).select(F.inline(F.array(*entries))).withColumn(
             "run_ts", timestamp(run_ts)
-        ).write.mode("error").parquet(f"{self.root}/commits/commit={number}")
+        ).write.mode("overwrite").parquet(f"{self.root}/commits/commit={number}")
 
     def commit(self, changes: Manifest, run_ts: datetime | str) -> None:
         """Make new segment lists of some tables current, all at once."""
@@ -264,6 +265,12 @@ class Store:
         self._write_bucketed(BRONZE, name, path, rows, clustered=True)
         return self.spark.table(name)
 
+    def log_failures(self, failures: DataFrame, run_ts: datetime | str) -> None:
+        """Append a run's failed fetches to the failure log."""
+        failures.withColumn("run_ts", timestamp(run_ts)).write.mode("append").parquet(
+            f"{self.root}/fetch_failures"
+        )
+
     def log_run(self, action: str, result: dict, run_ts: datetime | str) -> None:
         """Append a run's summary to the run log."""
         pairs = [F.lit(x) for key, value in result.items() for x in (key, str(value))]

@@ -333,3 +333,54 @@ def test_stored_rows_survive_another_partition_setting(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+
+
+def test_an_empty_caption_is_a_caption(store, tmp_path):
+    path = tmp_path / "a"
+    land(path, ["v1", "v2"], captions=["v2"])
+    (path / "files" / "v1.de.vtt").write_text("")
+    lines = [
+        {"video_id": "v1", "returncode": 0, "stderr": "", "seq": 0, "caption_files": ["v1.de.vtt"]},
+        {"video_id": "v2", "returncode": 0, "stderr": "", "seq": 1, "caption_files": ["v2.en.vtt"]},
+    ]
+    (path / "fetch_results" / "r.jsonl").write_text("\n".join(map(json.dumps, lines)))
+    result = run_ingest(store, "PL1", read_landing(store.spark, str(path)), T1)
+    assert (result["ok"], result["no_subtitles"]) == (2, 0)
+    assert rows(store, BRONZE, "video_id", "source_language", "raw_vtt") == [
+        ("v1", "de", ""),
+        ("v2", "en", CAPTION),
+    ]
+
+
+def test_captions_of_unscheduled_ids_are_not_stored(store, tmp_path):
+    ingest(store, tmp_path / "a", ["v1"], captions=["v1", "other"])
+    assert rows(store, BRONZE, "video_id") == [("v1",)]
+
+
+def test_an_interrupted_commit_does_not_block_the_next(store, tmp_path):
+    ingest(store, tmp_path / "a", ["v1"], captions=["v1"])
+    number, _ = store._latest()
+    left = tmp_path / "store" / "commits" / f"commit={number + 1}" / "_temporary" / "0"
+    left.mkdir(parents=True)
+    assert refresh(store, tmp_path / "b", ["v1", "v2"], captions=["v2"])["added"] == 1
+    assert rows(store, BRONZE, "video_id") == [("v1",), ("v2",)]
+
+
+def test_failed_fetches_are_reported(store, tmp_path):
+    ingest(
+        store,
+        tmp_path / "a",
+        ["v1", "v2"],
+        captions=["v1"],
+        fetches={"v1": (1, "late"), "v2": (1, "  ERROR: Video unavailable " + "x" * 200)},
+    )
+    logged = store.spark.read.parquet(f"{store.root}/fetch_failures").collect()
+    assert [(r.video_id, r.fetch_status, len(r.detail)) for r in logged] == [("v2", "unavailable", 120)]
+
+
+def test_removal_limit_is_a_parameter(store, tmp_path):
+    ingest(store, tmp_path / "a", ["v1", "v2", "v3"], captions=["v1"])
+    landed = read_landing(store.spark, land(tmp_path / "b", ["v1"]))
+    with pytest.raises(TooManyRemovals, match="2 removals exceed 1"):
+        run_refresh(store, "PL1", landed, T2, max_tombstones=1)
+    assert run_refresh(store, "PL1", landed, T2, max_tombstones=2)["tombstoned"] == 2
