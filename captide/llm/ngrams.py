@@ -1,24 +1,22 @@
 """Language-model scores by a weighted backoff automaton over word n-grams.
 
-Training counts every word of every training document.  n-grams up to ``ORDER`` are kept
-where all their words and the n-gram itself reach a share of all training tokens, which
-bounds the automaton whatever the corpus (at most ``1 / WORD_SHARE`` words and
-``1 / GRAM_SHARE`` n-grams an order), so it can be broadcast.  The word counts cannot:
-they grow with the corpus, so they meet the texts in a join.
+Every n-gram of up to ``ORDER`` words of every training text is counted, whatever its
+frequency, so the model grows with the corpus and is never gathered: counts meet the texts
+in exchanges.
 
 A task packs some documents at a time: their words once each, as hashes, and the texts as
-places in that list.  Packs are written; their word lists are joined with the corpus
-counts, one row per distinct word and pack, and the counts return to their pack, where
-each text is traversed once, left to right.  No word meets more rows than there are packs.
+places in that list.  Packs are written.  Each pack sends its distinct n-grams, as hashes
+dealt into buckets, and gets back their corpus counts; a second exchange adds up how many
+different words follow each context.  From these a task builds its pack's own part of the
+automaton, and each text is traversed once.  No n-gram meets more rows than there are packs.
 
-Probabilities are absolute-discounted and interpolated: a kept n-gram is an arc; otherwise
+Probabilities are absolute-discounted and interpolated: a counted n-gram is an arc; otherwise
 the failure arc's weight is added and the shorter context asked, down to the root, which
-holds every word, known or not.
+holds every word, known or not.  An n-gram is told by 62 bits of a hash and its length.
 """
 
 from __future__ import annotations
 
-import math
 import zlib
 from collections.abc import Iterator
 
@@ -26,23 +24,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from captide.llm.common import WordHashes, crc_fold, lowered_words, row_slices, share, shared, stage, text_column
+from captide.llm.common import WordHashes, crc_fold, lowered_words, mix, row_slices, stage, text_column
 
 ORDER = 3
 SMOOTHING = 0.1
 DISCOUNT = 0.75
-WORD_SHARE = 1e-4
-GRAM_SHARE = 2e-6
 # The end of a text, which no word can be as it holds a blank.
 END = b" end"
+# Buckets of an exchange: at least so many, and one more for each so many tokens.
+_BUCKETS, _BUCKET_TOKENS = 8192, 1 << 16
+# n-grams added up together inside a task.
+_KEYS_AT_ONCE = 400_000
 
-_PACK = (
-    "pack long, docs array<long>, held_out array<boolean>, lengths array<int>, codes binary, "
-    "words array<long>, n array<int>"
-)
+_PACK = "pack long, docs array<long>, held_out array<boolean>, lengths array<int>, codes binary, words array<long>, tokens long, taught long"
+_ASKED = "bucket long, pack long, keys binary, n binary"
+_TOLD = "bucket long, pack long, sums binary, firsts binary, words long"
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,7 +57,6 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             place[order] = np.arange(len(order), dtype=np.int32)
             codes = place[codes]
             held = batch.column(2).to_numpy(zero_copy_only=False)
-            training = codes[np.repeat(~held, lengths)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([(part << 24) + serial], pa.int64()),
@@ -68,203 +65,307 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array([lengths], pa.list_(pa.int32())),
                     pa.array([zlib.compress(codes.tobytes(), 1)], pa.binary()),
                     pa.array([words[order].view(np.int64)], pa.list_(pa.int64())),
-                    pa.array([np.bincount(training, minlength=len(order)).astype(np.int32)], pa.list_(pa.int32())),
+                    pa.array([lengths.sum()], pa.int64()),
+                    pa.array([lengths[~held].sum()], pa.int64()),
                 ],
-                ["pack", "docs", "held_out", "lengths", "codes", "words", "n"],
+                ["pack", "docs", "held_out", "lengths", "codes", "words", "tokens", "taught"],
             )
             serial += 1
 
 
-def _codes(packed: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(packed), np.int32)
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers byte by byte, all first bytes first, so that high bytes compress."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _numbers(planes: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _joined(parts: list[np.ndarray], kind: type) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.empty(0, kind)
+
+
+class Pack:
+    """Texts of a pack as places in its lists of distinct words, pairs and triples."""
+
+    def __init__(self, row: dict):
+        self.lengths = np.array(row["lengths"], np.int64)
+        self.starts = np.concatenate(([0], np.cumsum(self.lengths)[:-1]))
+        self.codes = np.frombuffer(zlib.decompress(row["codes"]), np.int32)
+        self.words = np.array(row["words"], np.int64).view(np.uint64)
+        self.teaches = np.repeat(~np.array(row["held_out"], bool), self.lengths)
+        # Of each token, how many of its text stand before it.
+        place = np.arange(len(self.codes), dtype=np.int32) - np.repeat(self.starts.astype(np.int32), self.lengths)
+        n_words = len(self.words)
+        # Of each token, the place of the pair and the triple that end in it, or -1.
+        self.pairs, self.pair = self._ending(self.codes, np.flatnonzero(place >= 1))
+        self.triples, self.triple = self._ending(self.pair, np.flatnonzero(place >= 2))
+        self.sizes = np.cumsum([n_words, len(self.pairs)])
+
+    def _ending(self, before: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct numbers of what stands before tokens and the tokens, and each one's place."""
+        found, inverse = np.unique(before[at - 1].astype(np.int64) * len(self.words) + self.codes[at], return_inverse=True)
+        place = np.full(len(self.codes), -1, np.int32)
+        place[at] = inverse
+        return found, place
+
+    def contexts(self) -> np.ndarray:
+        """The word before each pair and the place, after all words, of the pair before each triple."""
+        n_words = len(self.words)
+        return np.concatenate((self.pairs // n_words, n_words + self.triples // n_words))
+
+    def keys(self) -> np.ndarray:
+        """A hash of each word, pair and triple, with its length in the lowest bits."""
+        n_words, few, step = len(self.words), ~np.uint64(3), np.uint64(0x9E3779B97F4A7C15)
+        first, last = np.divmod(self.pairs, n_words)
+        pairs = mix(mix(self.words)[first] * step + self.words[last])
+        first, last = np.divmod(self.triples, n_words)
+        triples = mix(mix(pairs)[first] * step + self.words[last])
+        return np.concatenate([k & few | np.uint64(n) for n, k in enumerate((self.words, pairs, triples), 1)])
+
+    def taught(self) -> np.ndarray:
+        """How often each is in training texts."""
+        return np.concatenate(
+            [
+                np.bincount(at[self.teaches & (at >= 0)], minlength=n)
+                for at, n in ((self.codes, len(self.words)), (self.pair, len(self.pairs)), (self.triple, len(self.triples)))
+            ]
+        )
+
+
+def _asked(pack: int, keys: np.ndarray, n: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Sorted keys of a pack and their numbers, a row for each bucket."""
+    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    cuts, n = np.flatnonzero(np.diff(bucket, prepend=-1)), n.astype(np.int32)
+    ends = np.append(cuts, len(keys))[1:].tolist()
+    yield pa.record_batch(
+        [
+            pa.array(bucket[cuts], pa.int64()),
+            pa.array(np.full(len(cuts), pack), pa.int64()),
+            pa.array([_planes(keys[a:b]) for a, b in zip(cuts.tolist(), ends, strict=True)], pa.binary()),
+            pa.array([_planes(n[a:b]) for a, b in zip(cuts.tolist(), ends, strict=True)], pa.binary()),
+        ],
+        ["bucket", "pack", "keys", "n"],
+    )
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows asked, by bucket, to each key's sum, and marks of the row that speaks for the key."""
+
+    def told(rows: list[tuple]) -> pa.RecordBatch:
+        parts = [_numbers(r[2], np.uint64) for r in rows]
+        keys, first, inverse = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
+        n = np.concatenate([_numbers(r[3], np.int32) for r in rows])
+        sums = np.bincount(inverse, n, len(keys)).astype(np.int64)
+        speaks = np.zeros(len(n), bool)
+        speaks[first[sums > 0]] = True
+        words = speaks & (keys[inverse] & np.uint64(3) == 1)
+        ends = np.cumsum([len(p) for p in parts])
+        cuts = list(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True))
+        sums = sums[inverse]
+        return pa.record_batch(
+            [
+                pa.array([r[0] for r in rows], pa.int64()),
+                pa.array([r[1] for r in rows], pa.int64()),
+                pa.array([_planes(sums[a:b]) for a, b in cuts], pa.binary()),
+                pa.array([np.packbits(speaks[a:b]).tobytes() for a, b in cuts], pa.binary()),
+                pa.array([int(words[a:b].sum()) for a, b in cuts], pa.int64()),
+            ],
+            ["bucket", "pack", "sums", "firsts", "words"],
+        )
+
+    rows, held = [], 0
+    for batch in batches:
+        for row in zip(*batch.columns, strict=True):
+            row = tuple(v.as_py() for v in row)
+            if held >= _KEYS_AT_ONCE and row[0] != rows[-1][0]:
+                yield told(rows)
+                rows, held = [], 0
+            rows.append(row)
+            held += len(row[2]) // 8
+    if rows:
+        yield told(rows)
 
 
-def _frequent_places(words: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of a pack's frequent words, and their numbers from 1 on; ``frequent`` is sorted."""
-    if not len(frequent):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    at = np.minimum(np.searchsorted(frequent, words), len(frequent) - 1)
-    places = np.flatnonzero(frequent[at] == words)
-    return places, at[places] + 1
+def _exchanged(asked: DataFrame) -> DataFrame:
+    """Sums of keys over all packs, per bucket and pack in the order asked."""
+    return asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_added, _TOLD)
 
 
-def _gram_counts(model):
-    """Packs to ``gram, n``: n-grams of frequent words in training texts, as base-F numbers."""
+def _counted(buckets: int):
+    """Packs to their distinct n-grams and how often each is in training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (frequent,) = shared(model)
-        base = len(frequent) + 1
         for batch in batches:
-            for row in batch.to_pylist():
-                places, numbers = _frequent_places(np.array(row["words"], np.int64), frequent)
-                number = np.zeros(len(row["words"]), np.int64)
-                number[places] = numbers
-                lengths = np.array(row["lengths"])
-                tokens = number[_codes(row["codes"])]
-                document = np.repeat(np.arange(len(lengths)), lengths)
-                tokens[np.repeat(np.array(row["held_out"], bool), lengths)] = 0
-                gram, alive = tokens, tokens > 0
-                for n in range(2, ORDER + 1):
-                    gram = gram[:-1] * base + tokens[n - 1 :]
-                    same = document[n - 1 :] == document[: len(document) - n + 1]
-                    alive = alive[:-1] & (tokens[n - 1 :] > 0) & same
-                    found, counts = np.unique(gram[alive], return_counts=True)
-                    yield pa.record_batch(
-                        [pa.array(np.full(len(found), n, np.int32)), pa.array(found), pa.array(counts)],
-                        ["length", "gram", "n"],
-                    )
+            for at in range(batch.num_rows):
+                (row,) = batch.slice(at, 1).to_pylist()
+                pack = Pack(row)
+                keys = pack.keys()
+                order = np.argsort(keys)
+                yield from _asked(row["pack"], keys[order], pack.taught()[order], buckets)
 
     return run
 
 
-class Automaton:
-    """States are kept contexts; 0 is the root, ``i`` the context of frequent word ``i``."""
+def _told(told: pa.Table, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key's sum, and whether this pack speaks for it."""
+    told = told.sort_by("bucket")
+    parts = [_numbers(s, np.int64) for s in told["sums"].to_pylist()]
+    marks = [
+        np.unpackbits(np.frombuffer(f, np.uint8), count=len(p)).astype(bool)
+        for f, p in zip(told["firsts"].to_pylist(), parts, strict=True)
+    ]
+    order = np.argsort(keys)
+    sums, firsts = np.empty(len(keys), np.int64), np.empty(len(keys), bool)
+    sums[order], firsts[order] = _joined(parts, np.int64), _joined(marks, bool)
+    return sums, firsts
 
-    def __init__(self, word_counts: np.ndarray, total: int, distinct: int, grams: dict[int, dict[int, int]]):
-        """``word_counts`` by frequent word; ``grams`` by length, with base-F numbers as keys."""
-        self.total, self.distinct = total, distinct
-        n_words, base = len(word_counts), len(word_counts) + 1
-        self.base = base
-        norm = total + SMOOTHING * (distinct + 1)
-        # Probability of a frequent word after each context seen so far, shortest first.
-        single = [0.0, *((word_counts + SMOOTHING) / norm).tolist()]
-        self.arcs: dict[int, tuple[float, int]] = {}
-        self.fail, self.fail_weight = [0] * base, [0.0] * base
-        states: dict[tuple[int, ...], int] = {(i,): i for i in range(1, base)}
-        counts: dict[tuple[int, ...], int] = {(i + 1,): int(c) for i, c in enumerate(word_counts.tolist())}
-
-        def split(gram: int, n: int) -> tuple[int, ...]:
-            parts = []
-            for _ in range(n):
-                gram, last = divmod(gram, base)
-                parts.append(last)
-            return tuple(reversed(parts))
-
-        longer = {n: {split(g, n): c for g, c in grams.get(n, {}).items()} for n in range(2, ORDER + 1)}
-        left: dict[tuple[int, ...], float] = {}
-        for n in range(2, ORDER + 1):
-            mass: dict[tuple[int, ...], float] = {}
-            for gram, c in longer[n].items():
-                context = gram[:-1]
-                if context in counts:
-                    mass[context] = mass.get(context, 0.0) + (c - DISCOUNT) / counts[context]
-            for context, used in mass.items():
-                left[context] = max(1e-12, 1.0 - used)
-            for gram, c in longer[n].items():
-                counts[gram] = c
-
-        def probability(context: tuple[int, ...], word: int) -> float:
-            if not context:
-                return single[word]
-            shorter = probability(context[1:], word)
-            if context not in left:
-                return shorter
-            own = longer[len(context) + 1].get((*context, word))
-            kept = (own - DISCOUNT) / counts[context] if own else 0.0
-            return kept + left[context] * shorter
-
-        # Contexts of two and more words that have arcs of their own become states.
-        for context in left:
-            if len(context) > 1:
-                states[context] = len(self.fail)
-                self.fail.append(0)
-                self.fail_weight.append(0.0)
-
-        def longest(words: tuple[int, ...]) -> int:
-            while words and words not in states:
-                words = words[1:]
-            return states[words] if words else 0
-
-        for context, state in states.items():
-            self.fail[state] = longest(context[1:])
-            self.fail_weight[state] = math.log10(left[context]) if context in left else 0.0
-        for n in range(2, ORDER + 1):
-            for gram in longer[n]:
-                context, word = gram[:-1], gram[-1]
-                if context in left and context in states:
-                    target = longest(gram[-(ORDER - 1) :])
-                    key = states[context] * base + word
-                    self.arcs[key] = (math.log10(probability(context, word)), target)
 
-    def root(self, counts: np.ndarray) -> np.ndarray:
-        """Log-probabilities of words by their training counts."""
-        return np.log10((counts + SMOOTHING) / (self.total + SMOOTHING * (self.distinct + 1)))
-
-    def traverse(self, numbers: list[int], root: list[float]) -> float:
-        """Log-probability of one text from its words' numbers (0: not frequent) and root values."""
-        arcs, fail, weight, base = self.arcs, self.fail, self.fail_weight, self.base
-        state, total = 0, 0.0
-        for number, alone in zip(numbers, root, strict=True):
-            if number:
-                while state:
-                    arc = arcs.get(state * base + number)
-                    if arc is not None:
-                        total += arc[0]
-                        state = arc[1]
-                        break
-                    total += weight[state]
-                    state = fail[state]
-                else:
-                    total += alone
-                    state = number
-            else:
-                while state:
-                    total += weight[state]
-                    state = fail[state]
-                total += alone
-        return total
+def _open(counts: np.ndarray, n_contexts: int) -> np.ndarray:
+    """Contexts whose followers are to be counted; one seen once has one."""
+    return np.flatnonzero(counts[:n_contexts] > 1)
 
 
-def _with_frequent(model):
-    """Packs without word lists but with the places and numbers of their frequent words."""
+def _followed(buckets: int):
+    """A pack and its counts to its contexts and how many followers it speaks for."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (frequent,) = shared(model)
-        for batch in batches:
-            found = [_frequent_places(np.array(w, np.int64), frequent) for w in batch.column(5).to_pylist()]
-            yield pa.record_batch(
-                [*batch.columns[:5], *[pa.array([f[k] for f in found], pa.list_(pa.int64())) for k in (0, 1)]],
-                names=[*batch.schema.names[:5], "places", "numbers"],
-            )
+    def run(pack: pa.Table, told: pa.Table) -> pa.Table:
+        batches = []
+        for row in pack.to_pylist():
+            texts = Pack(row)
+            keys = texts.keys()
+            counts, firsts = _told(told, keys)
+            spoken = np.bincount(texts.contexts()[firsts[texts.sizes[0] :]], minlength=texts.sizes[1])
+            asked = _open(counts, texts.sizes[1])
+            asked = asked[np.argsort(keys[asked])]
+            batches += _asked(row["pack"], keys[asked], spoken[asked], buckets)
+        return pa.Table.from_batches(batches)
 
     return run
 
 
-def _scored(model):
-    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+class Automaton:
+    """States are the root, the words and the pairs; arcs are pairs and triples.
 
-    def run(pack: pa.Table, counts: pa.Table) -> pa.Table:
-        (automaton,) = shared(model)
-        known = np.zeros(len(counts), np.int64)
-        known[counts["at"].to_numpy()] = counts["c"].to_numpy()
-        columns: list[list] = [[] for _ in names]
+    A word's number is 1 or more; 0 stands for no word and for the root.
+    """
+
+    def __init__(self, word_counts: np.ndarray, total: int, distinct: int, grams: dict[int, dict[int, int]]):
+        """``word_counts`` by word; ``grams`` by length, with numbers in base ``words + 1`` as keys."""
+        base = len(word_counts) + 1
+        pairs, triples = (np.array(sorted(grams.get(n, {})), np.int64) for n in (2, 3))
+        before = self._places(pairs, triples // base)
+        before, triples = before[before >= 0], triples[before >= 0]
+        self._lay(
+            word_counts,
+            total,
+            distinct,
+            (pairs, np.array([grams[2][g] for g in pairs.tolist()], np.int64)),
+            (before * base + triples % base, np.array([grams[3][g] for g in triples.tolist()], np.int64)),
+        )
+
+    @classmethod
+    def of_pack(cls, pack: Pack, counts: np.ndarray, followers: np.ndarray, total: int, distinct: int) -> Automaton:
+        """The part of the corpus automaton a pack meets; ``followers`` by word, then pair."""
+        model, n_words = cls.__new__(cls), len(pack.words)
+        words, pairs, triples = np.split(counts, pack.sizes)
+        first, last = np.divmod(pack.pairs, n_words)
+        before, word = np.divmod(pack.triples, n_words)
+        model._lay(
+            words,
+            total,
+            distinct,
+            ((first + 1) * (n_words + 1) + last + 1, pairs),
+            (before * (n_words + 1) + word + 1, triples),
+            np.split(followers, pack.sizes[:1]),
+        )
+        return model
+
+    def _lay(self, word_counts, total, distinct, pairs, triples, followers=None) -> None:
+        """Arcs and failure weights; a triple's number is its pair's place times base and its word."""
+        self.total, self.distinct, self.base = total, distinct, len(word_counts) + 1
+        (self.pairs, pair_counts), (self.triples, triple_counts) = pairs, triples
+        self.own, self.left = [], []
+        levels = (
+            (np.concatenate(([0], word_counts)), self.pairs // self.base, pair_counts),
+            (pair_counts, self.triples // self.base, triple_counts),
+        )
+        for level, (counts, context, c) in enumerate(levels):
+            own = np.where(c > 0, (c - DISCOUNT) / np.maximum(counts[context], 1), 0.0)
+            if followers is None:
+                left = np.maximum(1e-12, 1 - np.bincount(context, own, len(counts)))
+                left[np.bincount(context[c > 0], minlength=len(counts)) == 0] = 1.0
+            else:
+                n = followers[level] if level else np.concatenate(([0], followers[level]))
+                left = np.where(n > 0, DISCOUNT * n / np.maximum(counts, 1), 1.0)
+            # The last one is that of no arc and no state.
+            self.own.append(np.append(own, 0.0))
+            self.left.append(np.append(left, 1.0))
+
+    @staticmethod
+    def _places(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """Places of values in a sorted array, or -1."""
+        if not len(sorted_values):
+            return np.full(len(values), -1)
+        at = np.minimum(np.searchsorted(sorted_values, values), len(sorted_values) - 1)
+        return np.where(sorted_values[at] == values, at, -1)
+
+    def root(self, counts: np.ndarray) -> np.ndarray:
+        """Log-probabilities of words by their training counts."""
+        return np.log10((counts + SMOOTHING) / (self.total + SMOOTHING * (self.distinct + 1)))
+
+    def steps(self, root: np.ndarray, before: np.ndarray, pair: np.ndarray, triple: np.ndarray, state: np.ndarray) -> np.ndarray:
+        """Log-probability of each token: its arc, or the failure arcs to a state that has one.
+
+        ``before`` is the number of the word before, ``pair`` and ``triple`` the places of
+        the arcs, and ``state`` that of the pair before, each -1 if there is none.
+        """
+        shorter = self.own[0][pair] + self.left[0][before] * 10**root
+        return np.log10(self.own[1][triple] + self.left[1][state] * shorter)
+
+    def traverse(self, numbers: list[int], root: list[float]) -> float:
+        """Log-probability of one text from its words' numbers (0: none) and root values."""
+        word = np.array(numbers, np.int64)
+        before = np.concatenate(([0], word))[: len(word)]
+        pair = np.where((word > 0) & (before > 0), self._places(self.pairs, before * self.base + word), -1)
+        state = np.concatenate(([-1], pair))[: len(word)]
+        triple = np.where((word > 0) & (state >= 0), self._places(self.triples, state * self.base + word), -1)
+        return float(self.steps(np.array(root, float), before, pair, triple, state).sum())
+
+
+def _scored(total: int, distinct: int):
+    def run(pack: pa.Table, told: pa.Table) -> pa.Table:
+        tables = []
         for row in pack.to_pylist():
-            codes, lengths = _codes(row["codes"]), np.array(row["lengths"])
-            number = np.zeros(len(known), np.int64)
-            number[np.array(row["places"], np.int64)] = row["numbers"]
-            alone = automaton.root(known)[codes]
-            starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-            numbers = number[codes]
-            scores = [
-                automaton.traverse(numbers[s : s + n].tolist(), alone[s : s + n].tolist())
-                for s, n in zip(starts.tolist(), lengths.tolist(), strict=True)
-            ]
-            for column, values in zip(
-                columns,
-                (
-                    row["docs"],
-                    row["held_out"],
-                    lengths.tolist(),
-                    np.add.reduceat((known > 0)[codes].astype(np.int64), starts).tolist(),
-                    [automaton.total] * len(lengths),
-                    np.add.reduceat(alone, starts).tolist(),
-                    scores,
-                ),
-                strict=True,
-            ):
-                column += values
-        types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+            texts = Pack(row)
+            keys = texts.keys()
+            again = told["again"].to_numpy()
+            counts, _ = _told(told.filter(pa.array(~again)), keys)
+            followers = counts[: texts.sizes[1]].clip(0, 1)
+            asked = _open(counts, texts.sizes[1])
+            followers[asked], _ = _told(told.filter(pa.array(again)), keys[asked])
+            automaton = Automaton.of_pack(texts, counts, followers, total, distinct)
+            known = counts[texts.codes]
+            root = automaton.root(known)
+            before, state = np.append(0, texts.codes[:-1] + 1), np.append(-1, texts.pair[:-1])
+            before[texts.starts], state[texts.starts] = 0, -1
+            steps = automaton.steps(root, before, texts.pair, texts.triple, state)
+            tables.append(
+                pa.table(
+                    {
+                        "doc_id": pa.array(row["docs"], pa.int64()),
+                        "held_out": pa.array(row["held_out"], pa.bool_()),
+                        "n_tokens": texts.lengths,
+                        "n_known": np.add.reduceat((known > 0).astype(np.int64), texts.starts),
+                        "train_tokens": np.full(len(texts.lengths), total),
+                        "base_score": np.add.reduceat(root, texts.starts),
+                        "score": np.add.reduceat(steps, texts.starts),
+                    }
+                )
+            )
+        return pa.concat_tables(tables)
 
     return run
 
@@ -277,7 +378,6 @@ def score(docs: DataFrame, folds: int = 10, held_out_fold: int = 0) -> DataFrame
     Repeated rows count as often as they occur.  Only ``doc_id`` and ``text`` are read; an
     empty table gives an empty result.
     """
-    spark = docs.sparkSession
     fold = crc_fold("doc_id", folds)
     source = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -286,52 +386,17 @@ def score(docs: DataFrame, folds: int = 10, held_out_fold: int = 0) -> DataFrame
         F.coalesce(fold == held_out_fold, F.lit(True)).alias("apart"),
     )
     packs = stage(source.mapInArrow(_packed, _PACK), "packs")
-    uses = packs.select("pack", F.posexplode(F.arrays_zip("words", "n")).alias("at", "use"))
-    by_word = W.partitionBy("word")
-    looked_up = stage(
-        uses.select("pack", "at", F.col("use.words").alias("word"), F.col("use.n").alias("n"))
-        .select(
-            "pack",
-            "at",
-            F.sum("n").over(by_word).alias("c"),
-            "word",
-            F.row_number().over(by_word.orderBy("pack")).alias("turn"),
-        )
-        # One of a word's rows speaks for it in the totals below.
-        .select("pack", "at", "c", F.when(F.col("turn") == 1, F.col("word")).alias("word")),
-        "counts",
-    )
-    totals = looked_up.where("word IS NOT NULL AND c > 0").agg(
-        F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct")
-    ).first()
-    least = max(1.0, WORD_SHARE * totals.tokens)
-    frequent = looked_up.where(F.col("word").isNotNull() & (F.col("c") >= least)).select("word", "c").toArrow()
-    order = np.argsort(frequent["word"].to_numpy())
-    words, counts = frequent["word"].to_numpy()[order], frequent["c"].to_numpy()[order]
-    listed = share(spark, words)
-    kept = (
-        packs.mapInArrow(_gram_counts(listed), "length int, gram long, n long")
-        .groupBy("length", "gram")
-        .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= max(1.0, GRAM_SHARE * totals.tokens))
-        .toArrow()
-    )
-    grams: dict[int, dict[int, int]] = {}
-    for n, gram, c in zip(*(kept[k].to_pylist() for k in ("length", "gram", "n")), strict=True):
-        grams.setdefault(n, {})[gram] = c
-    automaton = share(spark, Automaton(counts, int(totals.tokens), int(totals.distinct), grams))
-    slim = packs.mapInArrow(
-        _with_frequent(listed),
-        "pack long, docs array<long>, held_out array<boolean>, lengths array<int>, codes binary, "
-        "places array<long>, numbers array<long>",
-    )
-    scored = (
-        slim.groupBy("pack")
-        .cogroup(looked_up.select("pack", "at", "c").groupBy("pack"))
-        .applyInArrow(
-            _scored(automaton),
-            "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-            "base_score double, score double",
-        )
+    sizes = packs.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "taught")]).first()
+    buckets = max(_BUCKETS, sizes.tokens // _BUCKET_TOKENS)
+    counts = stage(_exchanged(packs.mapInArrow(_counted(buckets), _ASKED)), "counts")
+    distinct = counts.agg(F.coalesce(F.sum("words"), F.lit(0)).alias("n")).first().n
+    by_pack = packs.groupBy("pack")
+    contexts = by_pack.cogroup(counts.groupBy("pack")).applyInArrow(_followed(buckets), _ASKED)
+    followers = stage(_exchanged(contexts), "followers")
+    told = counts.withColumn("again", F.lit(False)).union(followers.withColumn("again", F.lit(True)))
+    scored = by_pack.cogroup(told.groupBy("pack")).applyInArrow(
+        _scored(int(sizes.taught), int(distinct)),
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+        "base_score double, score double",
     )
     return scored.withColumn("held_out", F.col("held_out") & F.col("doc_id").isNotNull())

@@ -270,6 +270,35 @@ def test_language_model_base_scores(spark, sf_dir):
     assert sum(r.score for r in found.values() if r.held_out) > sum(r.base_score for r in found.values() if r.held_out)
 
 
+def test_language_model_keeps_rare_ngrams_of_rare_words(docs_of):
+    # 30,000 words of filler: neither the rare words nor their n-grams reach a share of all.
+    filler = [" ".join(f"w{(i * i + k) % 701}" for i in range(1500)) for k in range(20)]
+    texts = [*filler, "rare birds sing", "rare birds sing", "Rare birds sing at dawn", "rare birds hide", ""]
+    docs = docs_of(*texts, *texts)
+    ids = range(1, 2 * len(texts) + 1)
+    words = {i: blank_words(t) + [b" end"] for i, t in zip(ids, texts * 2, strict=True)}
+    grams = Counter()
+    for i in ids:
+        if zlib.crc32(str(i).encode()) % 10:
+            grams.update(tuple(words[i][a : a + n]) for n in (1, 2, 3) for a in range(len(words[i]) - n + 1))
+    total, distinct = sum(c for g, c in grams.items() if len(g) == 1), sum(len(g) == 1 for g in grams)
+    followers = Counter(g[:-1] for g in grams)
+
+    def probability(context, word):
+        if not context:
+            return (grams[(word,)] + 0.1) / (total + 0.1 * (distinct + 1))
+        shorter = probability(context[1:], word)
+        if not followers[context]:
+            return shorter
+        own = max(0.0, grams[(*context, word)] - 0.75)
+        return (own + 0.75 * followers[context] * shorter) / grams[context]
+
+    found = by_id(ngrams.score(docs.repartition(3)))
+    for i in ids:
+        expected = sum(math.log10(probability(tuple(words[i][max(0, k - 2) : k]), w)) for k, w in enumerate(words[i]))
+        assert found[i].score == pytest.approx(expected, abs=1e-6)
+
+
 def test_automaton_probabilities_sum_to_one():
     counts, base = np.array([60, 30, 10]), 4
     grams = {2: {1 * base + 2: 20, 2 * base + 1: 15}, 3: {(1 * base + 2) * base + 1: 12}}
