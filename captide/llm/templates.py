@@ -7,7 +7,7 @@ The class that occurs exactly once a page is the skeleton, and its tokens cut a
 slots; classes that repeat nest into those slots as their fixed parts.
 
 What is left in the slots is the page's own.  The article's slots give the main text, and on
-a page without an article the slot with most text does.  Elements that are no part of an
+a page without an article all slots do.  Elements that are no part of an
 article by their kind, role or class are left out wherever they stand.
 
 Occurrence vectors are never gathered: a token's vector is folded into one hash by an
@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 
 from captide.llm.common import row_slices, stage
 
-# A class is valid when it is on this share of a host's pages, and on two at least.
-LEAST_SHARE = 0.9
+# A class is valid when it is on this share of a host's distinct pages, of which there must
+# be enough to tell what repeats from what some copies share.
+LEAST_SHARE, LEAST_PAGES = 0.9, 5
 # Element kinds by their part in a page.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = "script|style|noscript|template|textarea|title|iframe|svg|xmp"
@@ -132,13 +133,13 @@ class Page:
 
     def text(self, skeleton: frozenset[int], fixed: frozenset[int]) -> str:
         """Main text, given the tokens of the host's template."""
-        slots: list[list[str]] = [[]]
+        blocks: list[str] = []
         block: list[str] = []
 
         def end_block() -> None:
             words = " ".join("".join(block).split())
             if words:
-                slots[-1].append(words)
+                blocks.append(words)
             block.clear()
 
         for token, kind, text, in_article, apart in self.tokens:
@@ -146,18 +147,12 @@ class Page:
                 wanted = in_article if self.has_article else token not in fixed and token not in skeleton
                 if wanted and not apart:
                     block.append(html.unescape(text))
-                continue
-            if kind == "br":
+            elif kind == "br":
                 block.append("\n")
-                continue
-            if kind in _BLOCK or token in skeleton:
+            elif kind in _BLOCK:
                 end_block()
-                if token in skeleton and not self.has_article:
-                    slots.append([])
         end_block()
-        if self.has_article:
-            return "\n\n".join(slots[0])
-        return "\n\n".join(max(slots, key=lambda s: sum(map(len, s))))
+        return "\n\n".join(blocks)
 
 
 def host_of(url: str):
@@ -184,17 +179,25 @@ def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def host_templates(pages: DataFrame) -> DataFrame:
     """``host, skeleton, fixed`` from ``page, html, host``: the tokens of each host's template.
 
+    ``page`` is a digest of ``html``, so a page under two addresses is one.
+
     Tokens with one occurrence vector are a class.  The skeleton is the class that is once
     on each page of most pages; other valid classes nest in its slots.
     """
     vector = F.bit_xor(F.xxhash64("page", "times"))
+    # Copies of a page count once; only theirs need their token rows compared.
+    distinct = stage(pages.groupBy("host", "page").agg(F.count("*").alias("copies")), "contents")
+    copied = distinct.where("copies > 1").select("host", "page")
+    rows = "page long, host long, token long, times int"
+    read = lambda how: pages.join(copied, ["host", "page"], how).select("page", "html", "host").mapInArrow(_token_rows, rows)
+    sizes = distinct.groupBy("host").agg(F.count("*").alias("n_pages")).where(F.col("n_pages") >= LEAST_PAGES)
     tokens = (
-        pages.mapInArrow(_token_rows, "page long, host long, token long, times int")
+        read("left_anti")
+        .union(read("left_semi").distinct())
         .groupBy("host", "token")
         .agg(vector.alias("vector"), F.count("*").alias("on"), F.max("times").alias("most"))
-        .where("on > 1")
+        .where(F.col("on") >= LEAST_SHARE * LEAST_PAGES)
     )
-    sizes = pages.groupBy("host").agg(F.count("*").alias("n_pages"))
     classes = (
         tokens.join(sizes, "host")
         .where((F.col("on") >= LEAST_SHARE * F.col("n_pages")))
@@ -222,8 +225,9 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` per row of ``pages`` (``page_id, url, html``).
 
-    A null html is empty and gives an empty text.  A page without a host, or the only one
-    of its host, has no template and is read by its own markup.  Blocks are joined in page
+    A null html is empty and gives an empty text.  A page without a host, or of a
+    host with fewer than ``LEAST_PAGES`` distinct pages, has no template and is read by its
+    own markup.  Blocks are joined in page
     order by an empty line; nothing else is dropped.  Rows that repeat a page are extracted
     like any other.  Other columns are not read; an empty table gives an empty result.
     """
@@ -235,7 +239,7 @@ def main_text(pages: DataFrame) -> DataFrame:
         "url",
     )
     # Written first: its true size then decides how it is joined.
-    templates = stage(host_templates(rows.select("page", "html", "host")), "templates")
+    templates = stage(host_templates(rows.select(F.xxhash64("html").alias("page"), "html", "host")), "templates")
     return (
         rows.join(templates, "host", "left")
         .select("page", "html", "url", "skeleton", "fixed")

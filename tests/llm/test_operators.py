@@ -139,6 +139,20 @@ def test_template_finds_the_slot_of_pages_without_article(spark):
     assert found == {**{i: f"Own text {i} & more" for i in range(5)}, 9: "", 10: "Only page"}
 
 
+def test_main_text_keeps_copies_and_all_slots(spark):
+    body = "<body><h1>Title {0}</h1><p>A{0}<i>b{0}</i>c {0}</p><hr><p>Second, longer part {0}</p><p>Fixed end</p></body>"
+    rows = [(i, f"http://h/{i}", body.format(i)) for i in range(6)]
+    rows += [(10 + i, f"http://copies/{i}", "<body><p>Same text</p><p>on two pages</p></body>") for i in range(2)]
+    # Nine of ten rows of this host are one page.
+    rows += [(20 + i, f"http://many/{i}", body.format("x" if i < 54 else i)) for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in templates.main_text(pages).collect()}
+    text = "Title {0}\n\nA{0}b{0}c {0}\n\nSecond, longer part {0}"
+    assert [found[i] for i in range(6)] == [text.format(i) for i in range(6)]
+    assert {found[10], found[11]} == {"Same text\n\non two pages"}
+    assert [found[20 + i] for i in (0, 53, 54)] == [text.format("x"), text.format("x"), text.format(54)]
+
+
 def test_exact_duplicates_of_awkward_texts(docs_of):
     found = by_id(exact.exact_duplicates(docs_of(*AWKWARD)))
     assert [(found[i].keep_id, found[i].group_size) for i in range(1, 8)] == [
