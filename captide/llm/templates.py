@@ -1,27 +1,30 @@
 """Main text of web pages by deducing each host's template from equivalence classes.
 
-A page is a sequence of tokens: its tags and, outside articles, its texts, each with the
-path of open elements it stands in.  Tokens of one host that occur equally often in every
-one of its pages form an equivalence class; classes found on most pages are the valid ones.
-The class that occurs exactly once a page is the skeleton, and its tokens cut a page into
-slots; classes that repeat nest into those slots as their fixed parts.
-
-What is left in the slots is the page's own.  The article's slots give the main text, and on
-a page without an article all slots do.  Elements that are no part of an
-article by their kind, role or class are left out wherever they stand.
+A page is a sequence of tokens: its tags and its texts, each with the path of open elements
+it stands in.  Tokens of one host that occur equally often in every one of its pages form an
+equivalence class; those of enough tokens that are on most pages are the host's template.  On
+each page a class holds where its tokens stand in the class's order, time after time, and it
+nests with the classes that hold already: each of its rounds lies between two neighbouring
+tokens of theirs, or the other way round.  The classes that hold cut the page into slots.
+
+What is left in the slots is the page's own.  Slots are cut further where an article begins
+or ends, or an element that is no part of one by its kind, role or class; these hints choose
+among the slots.  The article's slots give the main text, and on a page without an article
+all do; those of the other elements are left out wherever they stand.
 
 Occurrence vectors are never gathered: a token's vector is folded into one hash by an
 aggregate that combines before the shuffle, so a host with a third of all pages costs one
-row per token and task.
+row per token and task.  So is a token's place on the page of least digest, which gives the
+order of a class, as its tokens are on the same pages.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -32,6 +35,10 @@ from captide.llm.common import row_slices, stage
 # A class is valid when it is on this share of a host's distinct pages, of which there must
 # be enough to tell what repeats from what some copies share.
 LEAST_SHARE, LEAST_PAGES = 0.9, 5
+# Tokens of a class at least; fewer may be alike by chance.
+LEAST_TOKENS = 2
+# Bits of a place on a page; later ones count as the last.
+_PLACE_BITS = 22
 # Element kinds by their part in a page.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = "script|style|noscript|template|textarea|title|iframe|svg|xmp"
@@ -60,6 +67,8 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+# A text without a letter or a digit says nothing of a template.
+_TELLING = re.compile(r"[^\W_]")
 _CLASS_WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
@@ -91,7 +100,7 @@ class Page:
         for match in _TOKEN.finditer(source):
             name, text = match["name"], match["text"]
             if text is not None:
-                token = 0 if articles or not text.strip() else self._token(open_elements, text.strip())
+                token = 0 if not _TELLING.search(text) else self._token(open_elements, text.strip())
                 self.tokens.append((token, "text", text, articles > 0, asides > 0))
                 continue
             if name is None:
@@ -128,11 +137,30 @@ class Page:
         names = "/".join(e[0] for e in path if e[0] in _BLOCK)
         return (xxhash.xxh3_64_intdigest(f"{names}|{label}") >> 1) or 1
 
-    def counts(self) -> Counter:
-        return Counter(t[0] for t in self.tokens if t[0])
-
-    def text(self, skeleton: frozenset[int], fixed: frozenset[int]) -> str:
-        """Main text, given the tokens of the host's template."""
+    def places(self) -> dict[int, list[int]]:
+        """Where each token stands."""
+        found: dict[int, list[int]] = {}
+        for at, (token, *_) in enumerate(self.tokens):
+            if token:
+                found.setdefault(token, []).append(at)
+        return found
+
+    def template(self, classes: list[list[int]]) -> set[int]:
+        """Places of the tokens of all classes that hold here, larger classes first."""
+        places, held = self.places() if classes else {}, []
+        for members in sorted(classes, key=lambda c: (-len(c), c)):
+            at = [places.get(token, ()) for token in members]
+            if not at[0] or any(len(a) != len(at[0]) for a in at):
+                continue
+            # A row for each time the class occurs.
+            rounds = np.array(at).T
+            if (np.diff(rounds.ravel()) > 0).all() and all(_nested(rounds, h) or _nested(h, rounds) for h in held):
+                held.append(rounds)
+        return {at for rounds in held for at in rounds.ravel().tolist()}
+
+    def text(self, classes: list[list[int]]) -> str:
+        """Main text, given the classes of the host's template."""
+        template = self.template(classes)
         blocks: list[str] = []
         block: list[str] = []
 
@@ -142,10 +170,10 @@ class Page:
                 blocks.append(words)
             block.clear()
 
-        for token, kind, text, in_article, apart in self.tokens:
+        for at, (_, kind, text, in_article, apart) in enumerate(self.tokens):
             if kind == "text":
-                wanted = in_article if self.has_article else token not in fixed and token not in skeleton
-                if wanted and not apart:
+                chosen = not apart and (in_article or not self.has_article)
+                if chosen and at not in template:
                     block.append(html.unescape(text))
             elif kind == "br":
                 block.append("\n")
@@ -155,66 +183,74 @@ class Page:
         return "\n\n".join(blocks)
 
 
+def _nested(inner: np.ndarray, outer: np.ndarray) -> bool:
+    """Does each round of a class stand between two neighbouring tokens of another?"""
+    gap = np.searchsorted(outer.ravel(), inner)
+    return bool((gap == gap[:, :1]).all())
+
+
 def host_of(url: str):
     return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
 
 
 def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``page, html, host`` to one row per page and distinct token."""
+    """``page, html, host`` to one row per page and distinct token.
+
+    ``place`` orders a token's pages by digest, and holds its first place on the page.
+    """
+    last = (1 << _PLACE_BITS) - 1
     for whole in batches:
         for batch in row_slices(whole):
-            pages, hosts, tokens, times = [], [], [], []
+            rows: list[tuple] = []
             for page, source, host in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for token, n in Page(source).counts().items():
-                    pages.append(page)
-                    hosts.append(host)
-                    tokens.append(token)
-                    times.append(n)
+                rows += [
+                    (page, host, token, len(at), page & ~last | min(at[0], last))
+                    for token, at in Page(source).places().items()
+                ]
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
             yield pa.record_batch(
-                [pa.array(pages, pa.int64()), pa.array(hosts, pa.int64()), pa.array(tokens, pa.int64()), pa.array(times, pa.int32())],
-                ["page", "host", "token", "times"],
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["page", "host", "token", "times", "place"]
             )
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
-    """``host, skeleton, fixed`` from ``page, html, host``: the tokens of each host's template.
-
-    ``page`` is a digest of ``html``, so a page under two addresses is one.
+    """``host, classes`` from ``page, html, host``: each host's template, its tokens in order.
 
-    Tokens with one occurrence vector are a class.  The skeleton is the class that is once
-    on each page of most pages; other valid classes nest in its slots.
+    ``page`` is a digest of ``html``, so a page under two addresses is one.  Tokens with one
+    occurrence vector are a class.
     """
     vector = F.bit_xor(F.xxhash64("page", "times"))
     # Copies of a page count once; only theirs need their token rows compared.
     distinct = stage(pages.groupBy("host", "page").agg(F.count("*").alias("copies")), "contents")
     copied = distinct.where("copies > 1").select("host", "page")
-    rows = "page long, host long, token long, times int"
+    rows = "page long, host long, token long, times int, place long"
     read = lambda how: pages.join(copied, ["host", "page"], how).select("page", "html", "host").mapInArrow(_token_rows, rows)
     sizes = distinct.groupBy("host").agg(F.count("*").alias("n_pages")).where(F.col("n_pages") >= LEAST_PAGES)
     tokens = (
         read("left_anti")
         .union(read("left_semi").distinct())
         .groupBy("host", "token")
-        .agg(vector.alias("vector"), F.count("*").alias("on"), F.max("times").alias("most"))
+        .agg(vector.alias("vector"), F.count("*").alias("on"), F.min("place").alias("place"))
         .where(F.col("on") >= LEAST_SHARE * LEAST_PAGES)
     )
     classes = (
         tokens.join(sizes, "host")
         .where((F.col("on") >= LEAST_SHARE * F.col("n_pages")))
-        .groupBy("host", "vector", "on", "most")
-        .agg(F.collect_set("token").alias("members"))
+        .groupBy("host", "vector", "on")
+        .agg(F.array_sort(F.collect_list(F.struct("place", "token")))["token"].alias("members"))
+        .where(F.size("members") >= LEAST_TOKENS)
     )
-    part = lambda once: F.flatten(F.collect_list(F.when((F.col("most") == 1) == once, F.col("members"))))
-    return classes.groupBy("host").agg(part(True).alias("skeleton"), part(False).alias("fixed"))
+    return classes.groupBy("host").agg(F.collect_list("members").alias("classes"))
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``page_id, html, url, skeleton, fixed`` to texts."""
+    """``page_id, html, url, classes`` to texts."""
     for whole in batches:
         for batch in row_slices(whole):
             texts = [
-                Page(source).text(frozenset(skeleton or ()), frozenset(fixed or ()))
-                for source, skeleton, fixed in zip(*(batch.column(k).to_pylist() for k in (1, 3, 4)), strict=True)
+                Page(source).text(classes or [])
+                for source, classes in zip(*(batch.column(k).to_pylist() for k in (1, 3)), strict=True)
             ]
             yield pa.record_batch(
                 [batch.column(0), batch.column(2), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
@@ -242,6 +278,6 @@ def main_text(pages: DataFrame) -> DataFrame:
     templates = stage(host_templates(rows.select(F.xxhash64("html").alias("page"), "html", "host")), "templates")
     return (
         rows.join(templates, "host", "left")
-        .select("page", "html", "url", "skeleton", "fixed")
+        .select("page", "html", "url", "classes")
         .mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")
     )

@@ -153,6 +153,23 @@ def test_main_text_keeps_copies_and_all_slots(spark):
     assert [found[20 + i] for i in (0, 53, 54)] == [text.format("x"), text.format("x"), text.format(54)]
 
 
+def test_template_cuts_articles_and_tells_classes_apart(spark):
+    def page(i):
+        notes = "".join(f"<section><em>By {i} and {k}</em><span>All rights kept</span></section>" for k in range(1 + i % 3))
+        # On all pages but one, and alone in its class: no template.
+        mostly = "<p>Mostly here</p>" if i else ""
+        return f"<body><article><p class=x>Read our terms</p><p>Own {i}</p>{notes}{mostly}</article></body>"
+
+    swapped = "<body><article><p>Own s</p><section><span>All rights kept</span><em>By s</em></section><p class=x>Read our terms</p></article></body>"
+    rows = [(i, f"http://h/{i}", page(i)) for i in range(30)] + [(99, "http://h/s", swapped)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text.split("\n\n") for r in templates.main_text(pages).collect()}
+    for i in range(30):
+        assert found[i] == [f"Own {i}", *[f"By {i} and {k}" for k in range(1 + i % 3)], *["Mostly here"] * (i > 0)]
+    # Tokens out of their class's order are no template there; those still in order are.
+    assert found[99] == ["Own s", "All rights keptBy s"]
+
+
 def test_exact_duplicates_of_awkward_texts(docs_of):
     found = by_id(exact.exact_duplicates(docs_of(*AWKWARD)))
     assert [(found[i].keep_id, found[i].group_size) for i in range(1, 8)] == [
