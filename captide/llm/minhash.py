@@ -461,6 +461,19 @@ def _class_texts(classes: DataFrame, source: DataFrame, width: int) -> DataFrame
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group of near copies; null ids compare equal."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
+    """``docs`` with one row of each group of near copies: that of the least id, null last.
+
+    Rows are told apart by a number of their own, so ids may repeat or be null.  A text
+    without shingles is a group of its own and stays.
+    """
+    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows, id_column="__row").select(F.col("doc_id").alias("__row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
+    kept = (
+        rows.select("__row", "doc_id")
+        .join(found, "__row")
+        .groupBy("component_id")
+        .agg(F.min(order).alias("first"))
+        .select(F.col("first.__row").alias("__row"))
+    )
+    return rows.join(kept, "__row", "left_semi").select(*docs.columns)

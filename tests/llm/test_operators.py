@@ -71,6 +71,23 @@ def test_near_duplicates_link_through_chains_and_strays(docs_of):
     assert {i: (r.n_shingles, r.component_id) for i, r in found.items()} == expected
 
 
+def test_one_row_of_each_group_stays_whatever_its_ids(spark):
+    def texts(start):
+        words = [f"w{i}" for i in range(start, start + 60)]
+        return [" ".join([*words, *more]) for more in ([], ["more"], ["other"])]
+
+    a, b, c, d = (texts(100 * k) for k in range(4))
+    rows = [(3, a[0]), (5, a[1]), (5, "alone in the world with this"), (7, b[0]), (7, b[1]), (7, b[0])]
+    rows += [(None, c[0]), (None, c[1]), (9, d[1]), (None, d[0]), (8, d[2]), (4, ""), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = minhash.without_near_copies(docs)
+    assert kept.columns == docs.columns
+    found = [(r.doc_id, r.text) for r in kept.collect()]
+    assert set(found) <= set(rows) and len(found) == 7
+    assert {(3, a[0]), rows[2], (8, d[2]), (4, ""), (4, None)} <= set(found)
+    assert sum(r[0] == 7 for r in found) == 1 and sum(r[0] is None for r in found) == 1
+
+
 def test_near_duplicates_of_awkward_texts(docs_of):
     found = by_id(minhash.near_duplicates(docs_of(*AWKWARD)))
     assert [found[i].component_id for i in range(1, 8)] == [1, 2, 3, 4, 5, 5, 7]
