@@ -3,7 +3,9 @@
 Three plain patterns give the base spans.  The method adds candidate strings, runs of one
 character class, in which some window of ``WINDOW`` characters has a high Shannon entropy.
 A window's entropy comes from its character counts, which are updated by the one character
-that enters and the one that leaves.  Allow-listed candidates are never reported.
+that enters and the one that leaves.  Allow-listed candidates are never reported: those of a
+public form are left out whole, and other allow-listed text is cut out of its run, so that a
+key beside it is still found.
 
 Positions come from marking the matches of a pattern with control characters (which no
 pattern can match, so any in the text are first replaced by another of the same length),
@@ -45,6 +47,10 @@ ALLOWED = (
     r"(?i)0123456789|abcdefghijkl",
     r"(?i)example|placeholder|changeme",
 )
+# The documented secret key holds separators, so it is public as a whole only.
+_FORMS = (ALLOWED[0], r"^wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY$")
+# What is cut out: the part between separators that holds such a word, or the counting run.
+_CUT = rf"(?<![A-Za-z0-9+])[A-Za-z0-9+]*(?:{ALLOWED[2]})[A-Za-z0-9+]*|{ALLOWED[1]}"
 _ORDER = {name: at for at, name in enumerate([b[0] for b in BASE] + [c[0] for c in CLASSES])}
 _SPAN = "array<struct<start:int,rank:int,stop:int,kind:string>>"
 
@@ -86,6 +92,22 @@ def marked(text: Column, pattern: str, group: int = 0) -> Column:
     )
 
 
+def between(text: Column, pattern: str) -> Column:
+    """``start, match`` of what stands before, between and after the matches of a pattern."""
+    nothing = F.array().cast("array<struct<start:int,match:string>>")
+
+    def step(state: Column, part: Column) -> Column:
+        row = F.struct(state["at"].alias("start"), part.alias("match"))
+        return F.struct(
+            (state["at"] + F.length(part)).alias("at"),
+            (~state["free"]).alias("free"),
+            F.when(state["free"], F.concat(state["found"], F.array(row))).otherwise(state["found"]).alias("found"),
+        )
+
+    start = F.struct(F.lit(0).alias("at"), F.lit(True).alias("free"), nothing.alias("found"))
+    return F.aggregate(F.split(F.regexp_replace(text, pattern, f"{_OPEN}$0{_OPEN}"), _OPEN), start, step)["found"]
+
+
 def base_spans(text: Column, kind: str) -> Column:
     _, pattern, group, least = next(b for b in BASE if b[0] == kind)
     if pattern.endswith("]+") and group == 0:
@@ -159,14 +181,19 @@ def window_range(candidate: Column, least_entropy: float) -> Column:
 def entropy_spans(text: Column, kind: str) -> Column:
     _, body, least_entropy = next(c for c in CLASSES if c[0] == kind)
     candidates = marked(text, f"(?<![{body}])[{body}]{{{WINDOW},}}+")
-    mixed = F.filter(
-        candidates,
-        lambda m: F.regexp_like(m["match"], F.lit("[0-9]"))
-        & F.regexp_like(m["match"], F.lit("[A-Za-z]"))
-        & ~F.regexp_like(m["match"], F.lit("|".join(f"(?:{a})" for a in ALLOWED))),
+    private = F.filter(candidates, lambda m: ~F.regexp_like(m["match"], F.lit("|".join(_FORMS))))
+    parts = F.flatten(
+        F.transform(
+            private,
+            lambda m: F.transform(
+                between(m["match"], _CUT),
+                lambda p: F.struct((m["start"] + p["start"]).alias("start"), p["match"].alias("match")),
+            ),
+        )
     )
     ranged = F.transform(
-        mixed, lambda m: F.struct(m["start"].alias("start"), window_range(m["match"], least_entropy).alias("w"))
+        F.filter(parts, lambda p: F.length(p["match"]) >= WINDOW),
+        lambda p: F.struct(p["start"].alias("start"), window_range(p["match"], least_entropy).alias("w")),
     )
     high = F.filter(ranged, lambda m: m["w"]["first"].isNotNull())
     return F.transform(
