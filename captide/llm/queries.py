@@ -3,11 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from captide.llm import bpe, exact, fingerprints, language, minhash, mixing, ngrams, secret_scan, templates, toxicity
+from captide.llm import (
+    bpe,
+    exact,
+    fingerprints,
+    language,
+    minhash,
+    mixing,
+    ngrams,
+    records,
+    repair,
+    secret_scan,
+    templates,
+    toxicity,
+    whitening,
+)
 from captide.llm.common import crc_fold, documents, pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +97,22 @@ def op8_lm_score(spark, sf_dir):
 @query
 def op3_html_extraction(spark, sf_dir):
     return templates.main_text(pages(spark, sf_dir))
+
+
+@query
+def op11_whitening(spark, sf_dir):
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op12_token_records(spark, sf_dir):
+    import public_tokenizers
+
+    tokenizer = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text()
+    return records.token_report(documents(spark, sf_dir), tokenizer)
+
+
+@query
+def op13_conversation_repair(spark, sf_dir):
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return repair.repair(repair.damage(conversations))

@@ -5,7 +5,7 @@ from collections import Counter
 
 import duckdb
 import pytest
-from test_operators import components_by_hand
+from plain import components_by_hand
 
 import corpus_pipeline
 from captide.llm import bpe, mixing
