@@ -22,13 +22,15 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyarrow import fs
 from pyspark import TaskContext
@@ -50,8 +52,9 @@ END_ID = 0
 # Bytes of records that one task reads, and that are read at once.
 _BLOCK_BYTES = 16 << 20
 _READ_BYTES = 8 << 20
-# Remembered strings per task.
-_MEMO = 400_000
+# Remembered strings per generation, their longest, and marks that are pre-tokens of their own after a word.
+_MEMO, _LONGEST = 250_000, 40
+_MARKS = frozenset(".,;:!?")
 # Parts whose token counts are summed together before the blocks are.
 _PARTS = 4096
 _LANE_BITS = 8
@@ -135,14 +138,28 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
+class Remembered(dict):
+    """A bounded memory of two generations: what is still asked for outlives the older one."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict = {}
+
+    def keep(self, key: str, value: bytes) -> None:
+        if len(self) >= _MEMO:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+
+
 class Encoder:
     """Token ids of whole texts by the tokenizers library, special tokens read as text.
 
     For a byte-level tokenizer without normaliser or added tokens that cut ordinary text,
     the library's model is asked once for each distinct pre-token it remembers.  A text
     may be cut before any space that a visible character follows, as no match of the
-    pattern crosses that place; so whole chunks between spaces are remembered too.  A
-    text with other white space after a space is cut by the pattern from start to end.
+    pattern crosses that place; so words between spaces are remembered with their space.
+    A text with other white space after a space is cut by the pattern from start to end.
     Any other tokenizer encodes each whole text itself.
     """
 
@@ -167,45 +184,111 @@ class Encoder:
         self._kind = "H" if self.width == 2 else "I"
         self._letters = _byte_letters()
         self._cut = regex.compile(_PATTERN).findall
-        self._white = re.compile(f"[{_WHITE}]").match
-        self._pieces: dict[str, bytes] = {}
-        self._chunks: dict[str, bytes] = {}
+        self._white = re.compile(f"[{_WHITE}]").search
+        self._blanks = frozenset(re.findall(f"[{_WHITE}]", "".join(map(chr, range(0x3001)))))
+        # Ids of pre-tokens, and of a space with what follows up to the next one.
+        self._pieces, self._chunks = Remembered(), Remembered()
+
+    @classmethod
+    def of_process(cls, tokenizer_json: str) -> Encoder:
+        """The encoder a Python worker keeps for its later tasks, with what it remembers."""
+        kept = vars(sys).setdefault("captide_encoders", {})
+        if tokenizer_json not in kept:
+            kept.clear()
+            kept[tokenizer_json] = cls(tokenizer_json)
+        return kept[tokenizer_json]
 
     def _piece(self, piece: str) -> bytes:
-        spelt = piece.encode().decode("latin-1").translate(self._letters)
-        found = array(self._kind, [t.id for t in self._model.tokenize(spelt)]).tobytes()
-        if len(piece) <= 64:
-            if len(self._pieces) > _MEMO:
-                self._pieces.clear()
-            self._pieces[piece] = found
+        found = self._pieces.get(piece)
+        if found is None:
+            found = self._pieces.older.get(piece) or self._asked(piece)
+            if len(piece) <= _LONGEST:
+                self._pieces.keep(piece, found)
         return found
 
+    def _asked(self, piece: str) -> bytes:
+        spelt = piece.encode().decode("latin-1").translate(self._letters)
+        return array(self._kind, [t.id for t in self._model.tokenize(spelt)]).tobytes()
+
     def _cut_up(self, text: str) -> bytes:
-        known, ask = self._pieces, self._piece
-        return b"".join([known.get(p) or ask(p) for p in self._cut(text)])
+        return b"".join(map(self._piece, self._cut(text)))
 
-    def _chunk(self, chunk: str) -> bytes:
+    def _spaced(self, chunk: str) -> bytes:
         """Ids of a space and the chunk after it."""
-        found = self._cut_up(" " + chunk)
-        if len(chunk) <= 32 and "\n" not in chunk:
-            if len(self._chunks) > _MEMO:
-                self._chunks.clear()
-            self._chunks[chunk] = found
+        chunks = self._chunks
+        found = chunks.older.get(chunk)
+        if found is None:
+            if chunk.isalpha():
+                found = self._asked(" " + chunk)
+            elif chunk[-1] in _MARKS and chunk[:-1].isalpha():
+                word = chunk[:-1]
+                found = (chunks.get(word) or self._spaced(word)) + self._piece(chunk[-1])
+            elif "\n" in chunk:
+                return self._lines(chunk)
+            else:
+                found = self._cut_up(" " + chunk)
+        if len(chunk) <= _LONGEST:
+            chunks.keep(chunk, found)
         return found
 
+    def _lines(self, chunk: str) -> bytes:
+        """Ids of a space and a chunk with line ends, which stand alone between visible characters."""
+        first, *rest = chunk.split("\n")
+        if not first or not all(rest) or self._white("".join([first, *rest])):
+            return self._cut_up(" " + chunk)
+        line_end = self._piece("\n")
+        return (self._chunks.get(first) or self._spaced(first)) + b"".join([line_end + self._bare(part) for part in rest])
+
+    def _bare(self, chunk: str) -> bytes:
+        if chunk.isalpha():
+            return self._piece(chunk)
+        if chunk[-1] in _MARKS and chunk[:-1].isalpha():
+            return self._piece(chunk[:-1]) + self._piece(chunk[-1])
+        return self._cut_up(chunk)
+
     def encode(self, text: str) -> bytes:
-        """Ids, little endian, ``width`` bytes each."""
+        """Ids of one text, little endian, ``width`` bytes each."""
+        if self._by_piece:
+            return self._cut_up(text)
+        ids = self._library.encode(text, add_special_tokens=False).ids
+        return np.array(ids, f"<u{self.width}").tobytes()
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text.
+
+        All chunks between spaces are found first; each distinct one is encoded once and
+        the texts are put together from them.
+        """
         if not self._by_piece:
-            ids = self._library.encode(text, add_special_tokens=False).ids
-            return np.array(ids, f"<u{self.width}").tobytes()
-        first, *chunks = text.split(" ")
-        found = list(map(self._chunks.get, chunks))
-        for at, (chunk, ids) in enumerate(zip(chunks, found, strict=True)):
-            if ids is None:
-                if not chunk or self._white(chunk):
-                    return self._cut_up(text)
-                found[at] = self._chunk(chunk)
-        return self._cut_up(first) + b"".join(found)
+            return [self.encode(t) for t in texts.to_pylist()]
+        lists = pc.split_pattern(texts, " ")
+        counts = np.diff(lists.offsets.to_numpy())
+        told = lists.flatten().dictionary_encode()
+        at, words = told.indices.to_numpy(), told.dictionary.to_pylist()
+        known, spaced, blanks = self._chunks, self._spaced, self._blanks
+        encoded = list(map(known.get, words))
+        odd = np.zeros(len(words), bool)
+        for k in [k for k, ids in enumerate(encoded) if ids is None]:
+            odd[k] = not words[k] or words[k][0] in blanks
+            encoded[k] = b"" if odd[k] else spaced(words[k])
+        # The first chunk of a text has no space before it.
+        first = np.cumsum(counts) - counts
+        heads = [self._cut_up(words[k]) for k in at[first]]
+        at = at.copy()
+        at[first] = len(words) + np.arange(len(first))
+        sizes = np.fromiter(map(len, [*encoded, *heads]), np.int64, len(words) + len(heads)) // self.width
+        pool = np.frombuffer(b"".join([*encoded, *heads]), f"<u{self.width}")
+        starts = np.cumsum(sizes) - sizes
+        each = sizes[at]
+        ends = np.cumsum(each)
+        ids = pool[np.repeat(starts[at] - ends + each, each) + np.arange(ends[-1])] if len(at) else pool
+        stops = (ends[first + counts - 1] * self.width).tolist() if len(at) else []
+        raw = ids.tobytes()
+        found = [raw[a:b] for a, b in zip([0, *stops], stops, strict=False)]
+        strange = np.add.reduceat(np.append(odd, np.zeros(len(heads), bool))[at], first) if len(at) else []
+        for k in np.flatnonzero(strange):
+            found[k] = self._cut_up(texts[int(k)].as_py())
+        return found
 
 
 # -- writing ------------------------------------------------------------------------
@@ -277,7 +360,7 @@ def write_records(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, target = shared(model)
-        encoder, checksums = Encoder(tokenizer), Checksums()
+        encoder, checksums = Encoder.of_process(tokenizer), Checksums()
         end = array("H" if encoder.width == 2 else "I", [END_ID]).tobytes()
         system, place = _place(target)
         part = TaskContext.get().partitionId()
@@ -289,7 +372,7 @@ def write_records(
                     system.create_dir(place, recursive=True)
                     out = system.open_output_stream(f"{place}/{name}")
                 ids = batch.column(0).to_pylist()
-                sequences = [encoder.encode(t) + end for t in batch.column(1).to_pylist()]
+                sequences = [ids + end for ids in encoder.encode_all(batch.column(1))]
                 framed = frame([serialize(i, s, encoder.width) for i, s in zip(ids, sequences, strict=True)], checksums)
                 out.write(b"".join(framed))
                 lengths = np.fromiter(map(len, framed), np.int64, len(framed))
@@ -320,9 +403,16 @@ def write_records(
 # -- reading ------------------------------------------------------------------------
 
 
-def read_records(index: DataFrame, folder: str) -> DataFrame:
+def read_records(
+    index: DataFrame,
+    folder: str,
+    then: Callable[[pa.RecordBatch], pa.RecordBatch] = lambda batch: batch,
+    schema: str = "doc_id long, start long, ids array<int>",
+) -> DataFrame:
     """``doc_id, start, ids`` of the records that ``index`` names, any subset of its rows.
 
+    ``then`` may turn each batch of them into one of ``schema`` in the same task.
+
     ``index`` is that of ``write_records`` with ``start``, as ``with_starts`` adds it.
     Ids and token ids come from the record files, whose checksums are tested; damage, or a
     record that is not the one the index says, fails the read.  Neighbouring records are
@@ -367,12 +457,12 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                     pa.array(np.concatenate([p[1] for p in parsed]).astype(np.uint32).view(np.int32)),
                 )
                 begins = batch.column(4).slice(start, stop - start)
-                yield pa.record_batch([pa.array(ids, pa.int64()), begins, lists], names=["doc_id", "start", "ids"])
+                yield then(pa.record_batch([pa.array(ids, pa.int64()), begins, lists], names=["doc_id", "start", "ids"]))
                 start = stop
         if stream is not None:
             stream.close()
 
-    return dealt.mapInArrow(run, "doc_id long, start long, ids array<int>")
+    return dealt.mapInArrow(run, schema)
 
 
 def with_starts(index: DataFrame) -> DataFrame:
@@ -400,13 +490,12 @@ def token_report(docs: DataFrame, tokenizer_json: str) -> DataFrame:
     folder = staging_path(docs.sparkSession, "tokens")
     index = with_starts(write_records(docs, tokenizer_json, folder))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(2)
-            at = lists.offsets.to_pylist()
-            raw = memoryview(np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False), "<i4")).cast("B")
-            sums = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(at, at[1:], strict=False)]
-            columns = [*batch.columns[:2], pa.array(np.diff(at).astype(np.int64)), pa.array(sums, pa.int64())]
-            yield pa.record_batch(columns, names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return read_records(index, folder).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    def digested(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lists = batch.column(2)
+        at = lists.offsets.to_pylist()
+        raw = memoryview(np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False), "<i4")).cast("B")
+        sums = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(at, at[1:], strict=False)]
+        columns = [*batch.columns[:2], pa.array(np.diff(at).astype(np.int64)), pa.array(sums, pa.int64())]
+        return pa.record_batch(columns, names=["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    return read_records(index, folder, digested, "doc_id long, start long, n_tokens long, ids_crc32 long")
