@@ -53,10 +53,12 @@ def crc_fold(id_column: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.col(id_column).cast("string")), F.lit(folds))
 
 
-def row_slices(batch: pa.RecordBatch, column: int = 1) -> Iterator[pa.RecordBatch]:
+def row_slices(
+    batch: pa.RecordBatch, column: int = 1, most: int = _SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
     """A batch in parts of bounded text size."""
     size = max(1, batch.column(column).nbytes)
-    rows = max(1, batch.num_rows * _SLICE_BYTES // size)
+    rows = max(1, batch.num_rows * most // size)
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
 

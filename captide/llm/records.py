@@ -52,6 +52,8 @@ END_ID = 0
 # Bytes of records that one task reads, and that are read at once.
 _BLOCK_BYTES = 16 << 20
 _READ_BYTES = 8 << 20
+# Text encoded together: the more, the more of its chunks are the same.
+_ENCODED_BYTES = 16 << 20
 # Remembered strings per generation, their longest, and marks that are pre-tokens of their own after a word.
 _MEMO, _LONGEST = 250_000, 40
 _MARKS = frozenset(".,;:!?")
@@ -281,7 +283,10 @@ class Encoder:
         starts = np.cumsum(sizes) - sizes
         each = sizes[at]
         ends = np.cumsum(each)
-        ids = pool[np.repeat(starts[at] - ends + each, each) + np.arange(ends[-1])] if len(at) else pool
+        total = int(ends[-1]) if len(at) else 0
+        place = np.int32 if total < 1 << 31 else np.int64
+        shift = (starts[at] - ends + each).astype(place)
+        ids = pool[np.repeat(shift, each) + np.arange(total, dtype=place)]
         stops = (ends[first + counts - 1] * self.width).tolist() if len(at) else []
         raw = ids.tobytes()
         found = [raw[a:b] for a, b in zip([0, *stops], stops, strict=False)]
@@ -367,7 +372,7 @@ def write_records(
         name = f"part-{part:06d}-{uuid.uuid4().hex}.rec"
         out, offset, record, tokens = None, 0, 0, 0
         for whole in batches:
-            for batch in row_slices(whole):
+            for batch in row_slices(whole, most=_ENCODED_BYTES):
                 if out is None:
                     system.create_dir(place, recursive=True)
                     out = system.open_output_stream(f"{place}/{name}")
