@@ -49,8 +49,8 @@ def _run(args: argparse.Namespace) -> dict:
     store = Store(spark, args.store, args.buckets, args.text_buckets)
     now = args.run_ts or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     if args.job == "create":
-        store.create(now)
-        return {"status": "ok", "tables": sorted(store.manifest())}
+        store.create()
+        return {"status": "ok", "tables": store.created()}
     if args.job == "transform":
         return run_transform(store, now, force=args.force)
     if args.job == "validate":

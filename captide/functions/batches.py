@@ -13,10 +13,13 @@ repeat to repeat, not from word to word.
 from __future__ import annotations
 
 import html
+from collections.abc import Iterator
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 
 # Longest phrase looked for, in words.
 MAX_NGRAM = 12
@@ -156,3 +159,28 @@ def finish(texts: pa.Array) -> pa.Array:
     return _in_slices(
         texts, lambda part: _collapse_slice(_rewritten(part, _single_spaced_prose), MAX_NGRAM)
     )
+
+
+def _text_of(uri: str | None) -> str:
+    if uri is None:
+        return ""
+    scheme, _, rest = uri.partition(":")
+    system, path = fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@')}")
+    with system.open_input_stream(path) as stream:
+        text = stream.read().decode("utf-8", "replace")
+    return text.replace("\r\n", "\n").replace("\r", "\n")
+
+
+def with_texts(rows: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """Batches with the text of the file that column ``at`` names as a last column."""
+    for batch in rows:
+        start, texts, size = 0, [], 0
+        for end, uri in enumerate(batch.column(at).to_pylist(), 1):
+            texts.append(_text_of(uri))
+            size += len(texts[-1])
+            if size >= _SLICE_BYTES or end == batch.num_rows:
+                part = batch.slice(start, end - start)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "raw_vtt"]
+                )
+                start, texts, size = end, [], 0

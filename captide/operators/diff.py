@@ -6,11 +6,11 @@ never part of a diff.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from captide.functions.outcomes import error_detail, resolve_outcome
-from captide.schema import METADATA_COLUMNS
+from captide.schema import CAPTION_SUFFIX, DEFAULT_LANGUAGE, ID, METADATA_COLUMNS
 
 KEY = "video_id"
 
@@ -110,27 +110,40 @@ def first_captions(captions: DataFrame) -> DataFrame:
     )
 
 
-def wanted_captions(ids: DataFrame, captions: DataFrame, empty: DataFrame) -> DataFrame:
-    """``first_captions`` of listed ids; an id of ``empty`` without one has an empty text.
+def chosen_captions(ids: DataFrame, names: DataFrame, empty: DataFrame) -> DataFrame:
+    """``video_id, source_language, file`` of one caption per listed id, by its name alone.
 
-    The captions are grouped before they meet the ids, so one id repeated in much of
-    them is combined first; the outer join stays above that grouping.
+    The first language in order is taken.  An id without a file named for it takes one
+    whose name is no id's but has this id as a word among others.  An id of ``empty``
+    without any has a caption without a file.  No text is part of this: the texts of the
+    chosen files are read afterwards.
     """
+    listed = ids.select(KEY).distinct()
+    first = F.min(F.struct("source_language", "file")).alias("caption")
+    own = names.groupBy(KEY).agg(first)
+    words = (
+        names.where(~F.col(KEY).rlike(f"^{ID}$"))
+        .select(F.explode(F.array_distinct(F.regexp_extract_all("name", F.lit(ID), 0))).alias(KEY), "name", "file")
+        .groupBy(KEY)
+        .agg(F.min(F.struct(_language_after(F.col(KEY)).alias("source_language"), "file")).alias("other"))
+    )
     named = empty.select(KEY, F.col("source_language").alias("named"))
+    found = listed.join(own, KEY, "left").join(words, KEY, "left").join(named, KEY, "left")
+    caption = F.coalesce("caption", F.when(F.col("named").isNull(), F.col("other")))
     return (
-        ids.select(KEY)
-        .distinct()
-        .join(named, KEY, "left")
-        .join(first_captions(captions), KEY, "left")
-        .where(F.col("raw_vtt").isNotNull() | F.col("named").isNotNull())
-        .select(
-            KEY,
-            F.coalesce("source_language", "named").alias("source_language"),
-            F.coalesce("raw_vtt", F.lit("")).alias("raw_vtt"),
-        )
+        found.select(KEY, caption.alias("c"), "named")
+        .where(F.col("c").isNotNull() | F.col("named").isNotNull())
+        .select(KEY, F.coalesce("c.source_language", "named").alias("source_language"), F.col("c.file").alias("file"))
     )
 
 
+def _language_after(video_id: Column) -> Column:
+    """Language of a file whose name only contains an id: what follows it at the start, else the default."""
+    start = F.concat(video_id, F.lit("."))
+    rest = F.substr("name", F.length(start) + 1, F.length("name") - F.length(start) - len(CAPTION_SUFFIX))
+    return F.when(F.startswith("name", start) & (rest != ""), rest).otherwise(DEFAULT_LANGUAGE)
+
+
 def failures(outcomes: DataFrame) -> DataFrame:
     """Failed fetches with what to report of each: id, status and a short error text."""
     return outcomes.where((F.col("returncode") != 0) & ~F.col("has_caption")).select(

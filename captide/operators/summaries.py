@@ -16,18 +16,34 @@ def _labelled(*labels: str) -> Column:
     return F.count_if(F.col("label").isin(*labels))
 
 
+def status_counts() -> dict[str, Column]:
+    return {s: F.count_if(F.col("fetch_status") == s) for s in FETCH_STATUSES}
+
+
+def label_counts() -> dict[str, Column]:
+    return {
+        "snapshot": _labelled(NEW, RETRY, TOUCH),
+        "new": _labelled(NEW),
+        "tombstone": _labelled(TOMBSTONE),
+        "retry_no_subtitles": _labelled(RETRY),
+        "touch": _labelled(TOUCH),
+    }
+
+
+def outcome_counts() -> dict[str, Column]:
+    return {**status_counts(), "newly_captioned": F.count_if("has_caption")}
+
+
+def _row(rows: DataFrame, counts: dict[str, Column]) -> DataFrame:
+    return rows.agg(*[c.alias(name) for name, c in counts.items()])
+
+
 def outcome_tally(outcomes: DataFrame) -> DataFrame:
-    return outcomes.agg(*[F.count_if(F.col("fetch_status") == s).alias(s) for s in FETCH_STATUSES])
+    return _row(outcomes, status_counts())
 
 
 def diff_counts(labels: DataFrame) -> DataFrame:
-    return labels.agg(
-        _labelled(NEW, RETRY, TOUCH).alias("snapshot"),
-        _labelled(NEW).alias("new"),
-        _labelled(TOMBSTONE).alias("tombstone"),
-        _labelled(RETRY).alias("retry_no_subtitles"),
-        _labelled(TOUCH).alias("touch"),
-    )
+    return _row(labels, label_counts())
 
 
 def tombstone_check(labels: DataFrame, limit: int = MAX_TOMBSTONES) -> DataFrame:
@@ -40,49 +56,83 @@ def tombstone_check(labels: DataFrame, limit: int = MAX_TOMBSTONES) -> DataFrame
     )
 
 
-def ingest_summary(labels: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Outcome counts of an ingest run, the ids linked without a fetch, and a status.
+def _one_row(labels: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Both tallies as one row: the two single rows are stacked and summed instead of joined."""
+    stacked = diff_counts(labels).unionByName(_row(outcomes, outcome_counts()), allowMissingColumns=True)
+    return stacked.agg(*[F.sum(c).alias(c) for c in stacked.columns])
 
-    The two single rows are stacked and summed instead of joined.
-    """
-    counts = labels.agg(_labelled(NEW).alias("new"), _labelled(RETRY, TOUCH).alias("linked"))
-    stacked = counts.unionByName(outcome_tally(outcomes), allowMissingColumns=True)
-    return stacked.agg(*[F.sum(c).alias(c) for c in stacked.columns]).withColumn(
-        "status", F.when(F.col("new") == 0, "nothing_to_fetch").otherwise("complete")
+
+def ingest_counts(counts: dict[str, int]) -> dict:
+    """An ingest run's summary from its label and outcome counts."""
+    existing = counts["retry_no_subtitles"] + counts["touch"]
+    return {
+        "total": counts["snapshot"],
+        "new": counts["new"],
+        "existing": existing,
+        "linked": existing,
+        **{s: counts[s] for s in FETCH_STATUSES},
+        "status": "complete" if counts["new"] else "nothing_to_fetch",
+    }
+
+
+def refresh_counts(counts: dict[str, int]) -> dict:
+    """A refresh run's summary; ``added`` counts ids scheduled as new, whatever came of them."""
+    return {
+        "added": counts["new"],
+        "tombstoned": counts["tombstone"],
+        "newly_captioned": counts["newly_captioned"],
+        "status": "complete",
+    }
+
+
+def ingest_summary(labels: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Ids listed, new and known, the outcome counts of the fetched ones, and a status, as one row."""
+    existing = F.col("retry_no_subtitles") + F.col("touch")
+    return _one_row(labels, outcomes).select(
+        F.col("snapshot").alias("total"),
+        "new",
+        existing.alias("existing"),
+        existing.alias("linked"),
+        *FETCH_STATUSES,
+        F.when(F.col("new") == 0, "nothing_to_fetch").otherwise("complete").alias("status"),
     )
 
 
 def refresh_summary(labels: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """``added`` counts ids scheduled as new, whether or not their fetch succeeded."""
-    counts = labels.agg(_labelled(NEW).alias("added"), _labelled(TOMBSTONE).alias("tombstoned"))
-    captioned = outcomes.agg(F.count_if("has_caption").alias("newly_captioned"))
-    stacked = counts.unionByName(captioned, allowMissingColumns=True)
-    return stacked.agg(*[F.sum(c).alias(c) for c in stacked.columns]).withColumn(
-        "status", F.lit("complete")
+    return _one_row(labels, outcomes).select(
+        F.col("new").alias("added"),
+        F.col("tombstone").alias("tombstoned"),
+        "newly_captioned",
+        F.lit("complete").alias("status"),
     )
 
 
-def metadata_summary(ids: DataFrame, videos: DataFrame, infos: DataFrame) -> DataFrame:
-    """Of the listed ids: updated, skipped for want of a video row, failed for want of metadata."""
+def metadata_flags(ids: DataFrame, videos: DataFrame, infos: DataFrame) -> DataFrame:
+    """Listed ids with how often, whether they have a video row, and whether metadata was found."""
     listed = ids.groupBy("video_id").agg(F.count("*").alias("times"))
     known = rows_in(videos.select("video_id"), ids).withColumn("known", F.lit(True))
     found = infos.where("has_info").select("video_id").distinct().withColumn("found", F.lit(True))
-    is_known, is_found = F.col("known").isNotNull(), F.col("found").isNotNull()
-
-    def times(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("times"))), F.lit(0))
-
     return (
         listed.join(known, "video_id", "left")
         .join(found, "video_id", "left")
-        .agg(
-            times(is_known & is_found).alias("updated"),
-            times(~is_known).alias("skipped"),
-            times(is_known & ~is_found).alias("failed"),
-        )
+        .select("video_id", "times", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("known", "found")])
     )
 
 
+def metadata_counts() -> dict[str, Column]:
+    """Of flagged ids: updated, skipped for want of a video row, failed for want of metadata."""
+
+    def times(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("times"))), F.lit(0))
+
+    known, found = F.col("known"), F.col("found")
+    return {"updated": times(known & found), "skipped": times(~known), "failed": times(known & ~found)}
+
+
+def metadata_summary(ids: DataFrame, videos: DataFrame, infos: DataFrame) -> DataFrame:
+    return _row(metadata_flags(ids, videos, infos), metadata_counts())
+
+
 def transform_summary(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count("*").alias("processed")).withColumn(
         "status", F.when(F.col("processed") == 0, "nothing_to_process").otherwise("complete")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,18 +14,27 @@ from captide.functions.outcomes import playlist_id
 from captide.operators import diff, merge, summaries
 from captide.schema import BRONZE, MEMBERSHIP, VIDEOS
 from captide.sources import landing
-from captide.sources.staging import stage
+from captide.sources.staging import stage, stage_counted
 from captide.sources.store import Store
 
 
 @dataclass(frozen=True)
 class Landed:
-    """What a fetcher left behind for one run."""
+    """What a fetcher left behind for one run.
+
+    ``captions`` are names, ``video_id, source_language, name, file``; ``texts`` adds
+    ``raw_vtt`` to rows with a ``file``.  ``snapshot`` and ``infos`` have a ``reason``
+    where a line or file could not be read.
+    """
 
     snapshot: DataFrame
     fetches: DataFrame
     captions: DataFrame
     infos: DataFrame
+    texts: Callable[[DataFrame], DataFrame] = landing.read_texts
+
+    def readable(self, rows: DataFrame) -> DataFrame:
+        return rows.where(F.col("reason").isNull()).drop("value", "reason")
 
 
 def read_landing(spark: SparkSession, path: str) -> Landed:
@@ -32,41 +43,65 @@ def read_landing(spark: SparkSession, path: str) -> Landed:
     return Landed(
         snapshot=landing.read_snapshot(spark, f"{path}/snapshot"),
         fetches=landing.read_fetch_results(spark, f"{path}/fetch_results"),
-        captions=landing.read_captions(spark, f"{path}/files"),
+        captions=landing.list_captions(spark, f"{path}/files"),
         infos=landing.read_infos(spark, f"{path}/files"),
     )
 
 
+def packed_texts(texts: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """``Landed.texts`` for captions that landed in a table of ``file, raw_vtt``."""
+    return partial(landing.joined_texts, texts=texts)
+
+
 def resolve_playlist_id(spark: SparkSession, url: str) -> str:
     return spark.range(1).select(playlist_id(F.lit(url))).first()[0]
 
 
-def staged_captions(
-    store: Store, landed: Landed, scheduled: DataFrame, needed: bool
-) -> DataFrame:
-    """One landed caption per scheduled video, read once; none when nothing is to be fetched.
+def staged_labels(
+    snapshot: DataFrame, members: DataFrame, videos: DataFrame
+) -> tuple[DataFrame, dict[str, int]]:
+    """Labels of a playlist's ids and their counts, in one pass."""
+    labels = diff.label_snapshot(snapshot, members, videos)
+    return stage_counted(labels, "labels", summaries.label_counts())
+
 
-    Only texts of scheduled ids are written.
+def labelled(
+    store: Store, playlist: str, landed: Landed
+) -> tuple[DataFrame, DataFrame, DataFrame, dict[str, int]]:
+    """The playlist's members, the videos among them and the snapshot's, and the staged labels."""
+    members = store.read_members(MEMBERSHIP, playlist)
+    snapshot = stage(landed.readable(landed.snapshot).distinct(), "snapshot")
+    videos = store.read_for(VIDEOS, snapshot.union(members.select("video_id")))
+    labels, counts = staged_labels(snapshot, members, videos)
+    return members, videos, labels, counts
+
+
+def staged_outcomes(
+    landed: Landed, scheduled: DataFrame, infos: DataFrame
+) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """The chosen caption files, the outcomes of the scheduled ids, and their counts."""
+    names = diff.chosen_captions(scheduled, landed.captions, landing.empty_captions(landed.fetches))
+    chosen = stage(names, "chosen")
+    outcomes = diff.assemble_outcomes(scheduled, landed.fetches, chosen, infos)
+    outcomes, counts = stage_counted(outcomes, "outcomes", summaries.outcome_counts())
+    return chosen, outcomes, counts
+
+
+def wanted_captions(bronze: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Chosen files of ids that Bronze does not hold.
+
+    Bronze is first reduced to this run's ids, which reads its ids in place.
     """
-    if not needed:
-        return landed.captions.where(F.lit(False))
-    captions = diff.wanted_captions(
-        scheduled, landed.captions, landing.empty_captions(landed.fetches)
-    )
-    return store.stage_texts(captions)
+    held = diff.rows_in(bronze.select("video_id"), chosen)
+    return diff.rows_not_in(chosen, held)
 
 
 def bronze_rows(
-    bronze: DataFrame, captions: DataFrame, outcomes: DataFrame, run_ts: datetime | str
+    wanted: DataFrame, texts: Callable[[DataFrame], DataFrame], run_ts: datetime | str
 ) -> DataFrame:
-    """Captions of this run's ids that Bronze does not hold; one row per id on both sides.
-
-    Bronze is first reduced to this run's ids, which reads its segments in place.
-    """
-    captioned = outcomes.where("has_caption")
-    held = diff.rows_in(bronze.select("video_id"), captioned)
-    wanted = diff.rows_not_in(diff.rows_in(captions, captioned), held)
-    return wanted.withColumn("fetched_at", merge.timestamp(run_ts))
+    """Bronze rows of wanted files; only their texts are read."""
+    loaded = texts(wanted.select("video_id", "source_language", "file")).drop("file")
+    return loaded.withColumn("fetched_at", merge.timestamp(run_ts))
 
 
 def changed_videos(videos: DataFrame, outcomes: DataFrame, run_ts: datetime | str) -> DataFrame:
@@ -81,7 +116,7 @@ def seen_ids(labels: DataFrame, outcomes: DataFrame, *touched: str) -> DataFrame
 
 
 def changed_members(
-    membership: DataFrame,
+    members: DataFrame,
     playlist: str,
     seen: DataFrame,
     run_ts: datetime | str,
@@ -92,50 +127,45 @@ def changed_members(
     if gone is not None:
         removed = merge.as_members(gone, playlist).withColumn("gone", F.lit(True))
         changes = changes.union(removed)
-    touched = diff.rows_in(diff.members_of(membership, playlist), changes)
+    touched = diff.rows_in(members, changes)
     return merge.merge_membership(touched, changes, run_ts)
 
 
+def staged_bronze(store: Store, landed: Landed, chosen: DataFrame, run_ts: datetime | str) -> DataFrame:
+    wanted = stage(wanted_captions(store.read_for(BRONZE, chosen), chosen), "wanted")
+    return store.staged(BRONZE, bronze_rows(wanted, landed.texts, run_ts))
+
+
+def log_rejected(store: Store, landed: Landed, run_ts: datetime | str) -> None:
+    """Append lines, files and names that could not be read, with the reason."""
+    lines = landing.rejected("snapshot", landed.snapshot).where(F.col("reason") != landing.BLANK)
+    infos = landing.rejected("infos", landed.infos)
+    store.log_rejected(lines.union(infos).union(landing.rejected_names(landed.captions)), run_ts)
+
+
 def run_ingest(
     store: Store, playlist_url: str, landed: Landed, run_ts: datetime | str
 ) -> dict:
-    """Link known ids of a snapshot to its playlist and load the fetched new ones."""
-    store.create(run_ts)
+    """Link known ids of a snapshot to its playlist and load the fetched new ones.
+
+    Everything is computed and checked before the first table changes; videos, which
+    decide what is new, change last.
+    """
+    store.create()
     playlist = resolve_playlist_id(store.spark, playlist_url)
-    manifest = store.manifest()
-    tables = store.tables(manifest)
-    members = diff.members_of(tables[MEMBERSHIP], playlist)
-    labels = stage(diff.label_snapshot(landed.snapshot, members, tables[VIDEOS]), "labels")
-    counts = summaries.diff_counts(labels).first()
+    members, videos, labels, counts = labelled(store, playlist, landed)
     scheduled = diff.with_label(labels, diff.NEW)
-    captions = staged_captions(store, landed, scheduled, needed=counts.new > 0)
-    outcomes = stage(
-        diff.assemble_outcomes(scheduled, landed.fetches, captions, landed.infos), "outcomes"
-    )
-    result = summaries.ingest_summary(labels, outcomes).first().asDict()
+    chosen, outcomes, fetched = staged_outcomes(landed, scheduled, landed.readable(landed.infos))
+    result = summaries.ingest_counts({**counts, **fetched})
     seen = seen_ids(labels, outcomes, diff.RETRY, diff.TOUCH)
-    linked = changed_members(tables[MEMBERSHIP], playlist, seen, run_ts)
-    changes = {MEMBERSHIP: store.put(MEMBERSHIP, manifest, linked)}
-    if counts.new:
-        videos = changed_videos(tables[VIDEOS], outcomes, run_ts)
-        changes[VIDEOS] = store.put(VIDEOS, manifest, videos)
-        changes[BRONZE] = append_bronze(store, manifest, captions, outcomes, run_ts)
-    store.commit(changes, run_ts)
+    linked = store.staged(MEMBERSHIP, changed_members(members, playlist, seen, run_ts))
+    if counts["new"]:
+        changed = store.staged(VIDEOS, changed_videos(videos, outcomes, run_ts))
+        store.insert(BRONZE, staged_bronze(store, landed, chosen, run_ts))
+    store.replace(MEMBERSHIP, linked)
+    if counts["new"]:
+        store.replace(VIDEOS, changed)
     store.log_failures(diff.failures(outcomes), run_ts)
+    log_rejected(store, landed, run_ts)
     store.log_run("run_ingest", result, run_ts)
     return result
-
-
-def append_bronze(
-    store: Store,
-    manifest: dict[str, list[str]],
-    captions: DataFrame,
-    outcomes: DataFrame,
-    run_ts: datetime | str,
-) -> list[str]:
-    current = manifest[BRONZE]
-    rows = bronze_rows(store.read(BRONZE, current), captions, outcomes, run_ts)
-    segment = store.write_segment(BRONZE, rows, clustered=True)
-    if store.read(BRONZE, [segment]).isEmpty():
-        return current
-    return store.append(BRONZE, current, segment)

@@ -10,16 +10,18 @@ from pyspark.sql import functions as F
 from captide.operators import diff, merge, summaries
 from captide.plans.ingest import (
     Landed,
-    append_bronze,
     changed_members,
     changed_videos,
+    labelled,
+    log_rejected,
     resolve_playlist_id,
     seen_ids,
-    staged_captions,
+    staged_bronze,
+    staged_outcomes,
 )
-from captide.plans.transform import select_transcripts, silver_rows
+from captide.plans.transform import silver_rows
 from captide.schema import BRONZE, MEMBERSHIP, SILVER, VIDEOS
-from captide.sources.staging import stage
+from captide.sources.staging import stage, stage_counted
 from captide.sources.store import Store
 
 
@@ -44,57 +46,48 @@ def run_refresh(
 ) -> dict:
     """Apply a snapshot; all differences are taken from one version before any write.
 
-    More than ``max_tombstones`` removals stop the run before it writes a table.
+    More than ``max_tombstones`` removals stop the run before it writes a table.  Videos,
+    which decide what is new, change last, so a run cut off midway is completed by another.
     """
-    store.create(run_ts)
+    store.create()
     playlist = resolve_playlist_id(store.spark, playlist_url)
-    manifest = store.manifest()
-    tables = store.tables(manifest)
-    members = diff.members_of(tables[MEMBERSHIP], playlist)
-    labels = stage(diff.label_snapshot(landed.snapshot, members, tables[VIDEOS]), "labels")
-    counts = summaries.diff_counts(labels).first()
-    if counts.tombstone > max_tombstones and not force_tombstone:
+    members, videos, labels, counts = labelled(store, playlist, landed)
+    if counts["tombstone"] > max_tombstones and not force_tombstone:
         raise TooManyRemovals(
-            f"{counts.tombstone} removals exceed {max_tombstones}; "
+            f"{counts['tombstone']} removals exceed {max_tombstones}; "
             "pass force_tombstone to apply them"
         )
-    fetching = counts.new + counts.retry_no_subtitles > 0
     scheduled = diff.with_label(labels, diff.NEW, diff.RETRY)
-    captions = staged_captions(store, landed, scheduled, needed=fetching)
     described = (diff.NEW, diff.RETRY, diff.TOUCH) if refresh_metadata else (diff.NEW, diff.RETRY)
-    infos = stage(diff.rows_in(landed.infos, diff.with_label(labels, *described)), "infos")
-    outcomes = stage(
-        diff.assemble_outcomes(scheduled, landed.fetches, captions, infos), "outcomes"
-    )
-    result = summaries.refresh_summary(labels, outcomes).first().asDict()
+    readable = landed.readable(landed.infos)
+    infos = stage(diff.rows_in(readable, diff.with_label(labels, *described)), "infos")
+    chosen, outcomes, fetched = staged_outcomes(landed, scheduled, infos)
+    result = summaries.refresh_counts({**counts, **fetched})
 
-    videos = changed_videos(tables[VIDEOS], outcomes, run_ts)
+    changed = changed_videos(videos, outcomes, run_ts)
     if refresh_metadata:
         # Touched ids were not fetched, so these rows and the fetched ones are disjoint.
         touched = diff.with_label(labels, diff.TOUCH)
         source = metadata_source(labels, infos)
-        updated = merge.update_metadata(diff.rows_in(tables[VIDEOS], source), source)
-        videos = videos.unionByName(updated)
-        refreshed = summaries.metadata_summary(touched, tables[VIDEOS], infos)
-        result |= refreshed.first().asDict()
+        changed = changed.unionByName(merge.update_metadata(diff.rows_in(videos, source), source))
+        flags = summaries.metadata_flags(touched, videos, infos)
+        result |= stage_counted(flags, "flags", summaries.metadata_counts())[1]
     synchronised = changed_members(
-        tables[MEMBERSHIP],
+        members,
         playlist,
         seen_ids(labels, outcomes, diff.TOUCH),
         run_ts,
         gone=diff.with_label(labels, diff.TOMBSTONE),
     )
-    changes = {
-        VIDEOS: store.put(VIDEOS, manifest, videos),
-        MEMBERSHIP: store.put(MEMBERSHIP, manifest, synchronised),
-    }
+    changed, synchronised = store.staged(VIDEOS, changed), store.staged(MEMBERSHIP, synchronised)
     if result["newly_captioned"]:
-        changes[BRONZE] = append_bronze(store, manifest, captions, outcomes, run_ts)
-        bronze = store.read(BRONZE, changes[BRONZE])
+        store.insert(BRONZE, staged_bronze(store, landed, chosen, run_ts))
         captioned = outcomes.where("has_caption").select("video_id")
-        rows = silver_rows(select_transcripts(bronze, tables[SILVER], ids=captioned), run_ts)
-        changes[SILVER] = store.put(SILVER, manifest, rows)
-    store.commit(changes, run_ts)
+        rows = diff.rows_in(store.read_for(BRONZE, captioned), captioned)
+        store.replace(SILVER, store.staged(SILVER, silver_rows(rows, run_ts)))
+    store.replace(MEMBERSHIP, synchronised)
+    store.replace(VIDEOS, changed)
     store.log_failures(diff.failures(outcomes), run_ts)
+    log_rejected(store, landed, run_ts)
     store.log_run("run_refresh", result, run_ts)
     return result

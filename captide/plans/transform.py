@@ -35,6 +35,16 @@ def silver_rows(bronze: DataFrame, run_ts: datetime | str) -> DataFrame:
     )
 
 
+def with_difference(silver: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` and whether each ``differs`` from the Silver row of its id.
+
+    Both sides are joined where they are stored; no text is moved.
+    """
+    held = silver.select("video_id", F.struct("full_text", "source_language").alias("held"))
+    same = F.struct("full_text", "source_language").eqNullSafe(F.col("held"))
+    return rows.join(held, "video_id", "left").select(*rows.columns, (~same).alias("differs"))
+
+
 def run_transform(
     store: Store,
     run_ts: datetime | str,
@@ -43,18 +53,25 @@ def run_transform(
 ) -> dict:
     """Clean selected Bronze rows into Silver; re-running does nothing new.
 
-    An empty id list selects by mode, as if none had been given.
+    An empty id list selects by mode, as if none had been given; a list reads only the
+    partitions of its ids.  Every selected row is ``processed``; of a forced run only rows
+    whose result differs from the stored one are ``written``, so one over unchanged
+    captions writes nothing and keeps their timestamps.
     """
-    manifest = store.manifest()
-    tables = store.tables(manifest)
     if ids is not None and ids.isEmpty():
         ids = None
-    rows = silver_rows(
-        select_transcripts(tables[BRONZE], tables[SILVER], force=force, ids=ids), run_ts
-    )
-    segment = store.write_segment(SILVER, rows, clustered=True)
-    result = transform_summary(store.read(SILVER, [segment])).first().asDict()
-    if result["processed"]:
-        store.commit({SILVER: store.replace(SILVER, manifest[SILVER], segment)}, run_ts)
+    bronze = store.read(BRONZE) if ids is None else store.read_for(BRONZE, ids)
+    silver = store.read(SILVER)
+    selected = select_transcripts(bronze, silver, force=force, ids=ids)
+    rows = silver_rows(selected, run_ts)
+    if force and ids is None:
+        rows = with_difference(silver, rows)
+    else:
+        rows = rows.withColumn("differs", F.lit(True))
+    counts = {"processed": F.count("*"), "written": F.count_if("differs")}
+    rows, result = store.staged_counted(SILVER, rows, counts, keep="differs")
+    if result["written"]:
+        store.replace(SILVER, rows)
+    result["status"] = "complete" if result["processed"] else "nothing_to_process"
     store.log_run("run_transform", result, run_ts)
     return result

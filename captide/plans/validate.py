@@ -10,11 +10,10 @@ from captide.sources.store import Store
 
 
 def run_validate(store: Store, run_ts: datetime | str) -> dict:
-    manifest = store.manifest()
-    missing = missing_tables(manifest)
+    missing = missing_tables(store.created())
     if missing:
-        raise RuntimeError(f"missing tables: {missing}")
-    tables = store.tables(manifest)
+        raise FileNotFoundError(f"missing tables: {missing}")
+    tables = store.tables()
     row = validation_report(tables[VIDEOS], tables[BRONZE], tables[SILVER]).first().asDict()
     hits = {name: row.pop(name) for name in ARTIFACT_PATTERNS}
     result = {**row, "artifact_hits": hits}

@@ -12,6 +12,12 @@ SILVER = "transcripts_silver"
 # Fixed values.
 FETCH_STATUSES = ("ok", "no_subtitles", "unavailable", "rate_limited")
 
+# The suffix of caption files and the language assumed when a name has none.
+CAPTION_SUFFIX = ".vtt"
+DEFAULT_LANGUAGE = "en"
+# The characters of an id.
+ID = "[A-Za-z0-9_-]+"
+
 METADATA_COLUMNS = (
     "title",
     "channel_name",
@@ -72,3 +78,34 @@ REQUIRED: dict[str, tuple[str, ...]] = {
     BRONZE: ("video_id", "raw_vtt", "source_language", "fetched_at"),
     SILVER: ("video_id", "full_text", "source_language", "transformed_at"),
 }
+
+# Stored tables are partitioned by a hash of this column.
+PART = "part"
+PART_KEYS = {VIDEOS: "video_id", MEMBERSHIP: "playlist_id", BRONZE: "video_id", SILVER: "video_id"}
+
+# One row per run; counts that a job does not have are null.
+RUN_COUNTS = (
+    "total",
+    "existing",
+    "new",
+    "linked",
+    *FETCH_STATUSES,
+    "added",
+    "tombstoned",
+    "newly_captioned",
+    "updated",
+    "skipped",
+    "failed",
+    "processed",
+    "written",
+    "bronze_count",
+    "silver_count",
+    "ok_videos_count",
+    "empty_silver",
+)
+RUN_LOG = _table(
+    ("action", T.StringType()),
+    ("run_ts", T.TimestampType()),
+    ("status", T.StringType()),
+    *[(name, T.LongType()) for name in RUN_COUNTS],
+)

@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from captide.functions.outcomes import compact_date, first_filled, whole_number
-from captide.schema import METADATA_COLUMNS
+from captide.functions import batches
+from captide.functions.outcomes import compact_date, error_detail, first_filled, whole_number
+from captide.schema import CAPTION_SUFFIX, DEFAULT_LANGUAGE, ID, METADATA_COLUMNS
 
 FETCH_RESULT_SCHEMA = (
     "video_id string, returncode int, stderr string, seq long, caption_files array<string>"
@@ -29,10 +30,8 @@ _INFO_FIELDS = (
     "view_count",
 )
 _INFO_SCHEMA = ", ".join(f"{name} string" for name in _INFO_FIELDS)
-# Landing file suffixes and the language assumed when a name has none.
-CAPTION_SUFFIX = ".vtt"
+# The suffix of metadata files.
 INFO_SUFFIX = ".info.json"
-DEFAULT_LANGUAGE = "en"
 
 _CAPTION_NAME = r"^([^.]+)(?:\.(.*))?\.vtt$"
 
@@ -55,31 +54,47 @@ def json_object(text: Column, fields: str, mode: str = "PERMISSIVE") -> Column:
     return F.when(F.size(parsed) == 1, parsed[0])
 
 
+# Why a landed line, file or name is set aside.
+BLANK, MALFORMED, NO_ID, NAME = "blank", "malformed", "no id", "name"
+
+
+def snapshot_lines(lines: DataFrame) -> DataFrame:
+    """``video_id, value, reason`` of JSON lines in ``value``; ``reason`` is null for those with an id."""
+    parsed = json_object(F.col("value"), "id string")
+    return lines.select("value", parsed.alias("parsed")).select(
+        F.col("parsed.id").alias("video_id"),
+        "value",
+        F.when(F.trim("value") == "", BLANK)
+        .when(F.col("parsed").isNull(), MALFORMED)
+        .when(F.coalesce("parsed.id", F.lit("")) == "", NO_ID)
+        .alias("reason"),
+    )
+
+
 def snapshot_ids(lines: DataFrame) -> DataFrame:
     """Ids from JSON lines in ``value``; blank, malformed and id-less lines are skipped."""
-    return lines.select(json_object(F.col("value"), "id string")["id"].alias("video_id")).where(
-        F.col("video_id") != ""
-    )
+    return snapshot_lines(lines).where(F.col("reason").isNull()).select("video_id")
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return snapshot_ids(spark.read.text(path))
+    return snapshot_lines(spark.read.text(path))
 
 
-def require_complete(spark: SparkSession, status_path: str) -> None:
-    """Raise unless the listing's recorded exit code is zero, even if it left ids behind."""
+def completeness(statuses: DataFrame) -> DataFrame:
+    """One row on the recorded exit codes of a listing: it is complete if there are some, all zero."""
     finished = F.coalesce(F.col("returncode") == 0, F.lit(False))
-    status = (
-        spark.read.schema(EXIT_STATUS_SCHEMA)
-        .json(status_path)
-        .agg(
-            F.count("*").alias("listings"),
-            F.count_if(~finished).alias("unfinished"),
-            F.max("stderr").alias("stderr"),
-        )
-        .first()
+    counts = statuses.agg(
+        F.count("*").alias("listings"),
+        F.count_if(~finished).alias("unfinished"),
+        F.max("stderr").alias("stderr"),
     )
-    if status.listings == 0 or status.unfinished > 0:
+    return counts.withColumn("complete", (F.col("listings") > 0) & (F.col("unfinished") == 0))
+
+
+def require_complete(spark: SparkSession, status_path: str) -> None:
+    """Raise unless the listing's recorded exit code is zero, even if it left ids behind."""
+    status = completeness(spark.read.schema(EXIT_STATUS_SCHEMA).json(status_path)).first()
+    if not status.complete:
         raise IncompleteSnapshot(f"snapshot listing did not finish: {status.asDict()}")
 
 
@@ -92,17 +107,49 @@ def caption_name(file_name: Column) -> Column:
     )
 
 
-def read_captions(spark: SparkSession, path: str) -> DataFrame:
-    """One row per caption file, line ends read as newlines.
+def caption_names(files: DataFrame) -> DataFrame:
+    """``video_id, source_language, name, file`` from ``name, file``; the id of an odd name is empty."""
+    return files.select(caption_name(F.col("name")).alias("n"), "name", "file").select(
+        "n.video_id", "n.source_language", "name", "file"
+    )
+
+
+def list_captions(spark: SparkSession, path: str) -> DataFrame:
+    """The landed caption files by name; none is opened.
 
     File sources do not list zero-byte files; ``empty_captions`` adds those that the
     fetcher names.
     """
-    files = spark.read.text(path, wholetext=True, pathGlobFilter=f"*{CAPTION_SUFFIX}")
-    return files.select(
-        caption_name(F.col("_metadata.file_name")).alias("name"),
-        F.regexp_replace("value", "\r\n?", "\n").alias("raw_vtt"),
-    ).select("name.video_id", "name.source_language", "raw_vtt")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{CAPTION_SUFFIX}").load(path)
+    return caption_names(files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("path").alias("file")))
+
+
+def read_texts(chosen: DataFrame) -> DataFrame:
+    """``chosen`` with ``raw_vtt``, the text of its ``file``, line ends read as newlines.
+
+    Tasks open the chosen files and no other, one at a time; a null file is an empty text.
+    """
+    columns = chosen.columns
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in chosen.schema] + ["raw_vtt string"])
+    at = columns.index("file")
+
+    def run(batches_):
+        return batches.with_texts(batches_, at)
+
+    # Names are small and texts are not: as many tasks as there are places to run them.
+    dealt = chosen.repartition(max(chosen.sparkSession.sparkContext.defaultParallelism, 1), "file")
+    return dealt.mapInArrow(run, schema)
+
+
+def joined_texts(chosen: DataFrame, texts: DataFrame) -> DataFrame:
+    """``chosen`` with ``raw_vtt`` from ``file, raw_vtt`` rows; a null file is an empty text.
+
+    ``chosen`` is staged, so its size is known and a small one is broadcast; beyond that
+    a filter of its files is made at run time and applied to the texts as they are read.
+    """
+    named = chosen.where(F.col("file").isNotNull()).join(texts, "file")
+    empty = chosen.where(F.col("file").isNull()).withColumn("raw_vtt", F.lit(""))
+    return named.select(*chosen.columns, "raw_vtt").unionByName(empty)
 
 
 def empty_captions(fetches: DataFrame) -> DataFrame:
@@ -118,22 +165,29 @@ def empty_captions(fetches: DataFrame) -> DataFrame:
     )
 
 
-def parse_infos(texts: DataFrame) -> DataFrame:
-    """``video_id, value`` rows of metadata JSON to table columns.
+def split_infos(texts: DataFrame) -> DataFrame:
+    """``video_id, value`` rows of metadata JSON to table columns, with a ``reason`` where that fails.
 
-    ``has_info`` is false for an empty object, which carries no metadata at all.
-    A malformed text fails the job before anything is committed.
+    ``has_info`` is false for an empty object, which carries no metadata at all, and for
+    a text that is set aside.
     """
     keys = F.json_object_keys("value")
-    malformed = F.raise_error(F.concat(F.lit("malformed metadata of "), "video_id"))
     parsed = texts.select(
+        "video_id", "value", keys.alias("keys"), json_object(F.col("value"), _INFO_SCHEMA).alias("info")
+    )
+    reason = F.when(F.trim("value") == "", BLANK).when(F.col("keys").isNull() | F.col("info").isNull(), MALFORMED)
+    return parsed.select(
         "video_id",
-        F.when(keys.isNull(), malformed.cast("boolean"))
-        .otherwise(F.size(keys) > 0)
-        .alias("has_info"),
-        json_object(F.col("value"), _INFO_SCHEMA, mode="FAILFAST").alias("info"),
+        "value",
+        reason.alias("reason"),
+        F.coalesce(reason.isNull() & (F.size("keys") > 0), F.lit(False)).alias("has_info"),
+        *info_columns(F.col("info")),
     )
-    return parsed.select("video_id", "has_info", *info_columns(F.col("info")))
+
+
+def parse_infos(texts: DataFrame) -> DataFrame:
+    """``split_infos`` without the texts that cannot be read."""
+    return split_infos(texts).where(F.col("reason").isNull()).drop("value", "reason")
 
 
 def info_columns(info: Column) -> list[Column]:
@@ -152,7 +206,7 @@ def info_columns(info: Column) -> list[Column]:
 def read_infos(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.text(path, wholetext=True, pathGlobFilter=f"*{INFO_SUFFIX}")
     name = F.col("_metadata.file_name")
-    return parse_infos(
+    return split_infos(
         files.select(
             F.left(name, F.length(name) - len(INFO_SUFFIX)).alias("video_id"), F.col("value")
         )
@@ -161,3 +215,20 @@ def read_infos(spark: SparkSession, path: str) -> DataFrame:
 
 def read_fetch_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FETCH_RESULT_SCHEMA).json(path)
+
+
+def rejected(source: str, rows: DataFrame) -> DataFrame:
+    """``source, name, reason, sample`` of what could not be read, from ``video_id, value, reason``."""
+    return rows.where(F.col("reason").isNotNull()).select(
+        F.lit(source).alias("source"),
+        F.col("video_id").alias("name"),
+        "reason",
+        error_detail(F.col("value")).alias("sample"),
+    )
+
+
+def rejected_names(names: DataFrame) -> DataFrame:
+    """Caption files whose name does not start with an id, in the same form."""
+    return names.where(~F.col("video_id").rlike(f"^{ID}$")).select(
+        F.lit("captions").alias("source"), "name", F.lit(NAME).alias("reason"), F.col("file").alias("sample")
+    )

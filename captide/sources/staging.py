@@ -8,8 +8,9 @@ size to choose a strategy by.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Used by local sessions that name no folder, whose tasks all see this machine's disk.
 _LOCAL_FOLDER = "file:///tmp/checkpoints/captide"
@@ -31,3 +32,20 @@ def stage(rows: DataFrame, name: str) -> DataFrame:
     path = staging_path(spark, name)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+def stage_counted(
+    rows: DataFrame,
+    name: str,
+    counts: dict[str, Column],
+    finish: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> tuple[DataFrame, dict[str, int]]:
+    """``stage`` of finished rows, and counts of the rows taken while they pass by.
+
+    ``finish`` selects and filters.  The counts then stand above every shuffle, in the
+    stage that writes, where a task that is run again is counted once.
+    """
+    seen = Observation()
+    staged = stage(finish(rows.observe(seen, *[c.alias(n) for n, c in counts.items()])), name)
+    found = seen.get
+    return staged, {n: found.get(n) or 0 for n in counts}

@@ -1,42 +1,43 @@
-"""The four tables as bucketed Parquet segments under an append-only commit log.
+"""The four tables as plain Spark tables, partitioned by a hash of what runs select by.
 
-A commit is one row per table naming its segments, written as one small file, so
-a job's changes to several tables appear together or not at all and a reader that
-holds a manifest keeps seeing the version it started from.
+Videos and transcripts are bucketed by ``video_id`` and partitioned by the same hash, so a
+partition is one bucket: joins on the id read both sides in place, and a run that replaces
+rows overwrites only the partitions that hold them.  Membership is partitioned by a hash
+of the playlist, so a run reads and writes the partition of its playlist alone.
 
-Segments are bucketed by the table's key.  Joins, merges and audits on that key
-therefore read both sides in place: only the incoming rows of a run are shuffled,
-never the stored transcripts.
+Tables change through Spark's own inserts: new keys are appended, replaced ones go by
+dynamic partition overwrite.  A job stages all rows it is going to write first, so a fault
+in the data stops it before any table changes; a job cut off between two inserts is
+completed by running it again, as every insert may be repeated.  One writer at a time.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
+from collections.abc import Callable
 from datetime import datetime
-from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from captide.operators.merge import timestamp
 from captide.operators.quality import ConstraintViolation, checked_columns, repeated_keys
-from captide.schema import BRONZE, KEYS, SCHEMAS, SILVER
-from captide.sources.staging import staging_path
+from captide.schema import BRONZE, KEYS, PART, PART_KEYS, RUN_LOG, SCHEMAS, SILVER
+from captide.sources.staging import stage, stage_counted
 
-Manifest = dict[str, list[str]]
 
-_COMMIT_SCHEMA = "commit long, run_ts timestamp, table string, segments array<string>"
+def part_of(table: str, parts: int) -> Column:
+    """Partition of a row; for tables bucketed by it, also the bucket."""
+    return F.pmod(F.hash(PART_KEYS[table]), F.lit(parts)).alias(PART)
 
 
 class Store:
-    """Versioned tables under ``root``, one writer at a time.
+    """Tables under ``root``.
 
-    ``buckets`` should be a multiple of ``spark.sql.shuffle.partitions`` (its
-    default), so that rows grouped by key are already laid out for the bucketed
-    write.  ``text_buckets`` sizes the two transcript tables separately; choose it
-    so that one bucket of transcripts fits an executor core's share of memory.
+    ``buckets`` is the number of partitions of the id tables, ``text_buckets`` that of the
+    two transcript tables; choose it so that one partition of transcripts fits an executor
+    core's share of memory.  Both are saved when the store is created.
     """
 
     def __init__(
@@ -49,221 +50,158 @@ class Store:
     ):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
         asked = {t: (text_buckets or buckets) if t in (BRONZE, SILVER) else buckets for t in SCHEMAS}
         stored = self._layout()
-        # Written files keep the bucket count they were written with, whatever the session says.
-        for table, n in (stored or {}).items():
+        for table, n in stored.items():
             if asked[table] not in (None, n):
-                raise ValueError(f"{table} is stored in {n} buckets, not {asked[table]}")
-        self.buckets = stored or {t: n or self._shuffles for t, n in asked.items()}
+                raise ValueError(f"{table} is stored in {n} partitions, not {asked[table]}")
+        shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.parts = {t: stored.get(t) or n or shuffles for t, n in asked.items()}
         self._prefix = f"{database}.captide_{hashlib.sha1(self.root.encode()).hexdigest()[:10]}"
 
     # -- layout ----------------------------------------------------------------
 
-    def _layout(self) -> dict[str, int] | None:
-        """Bucket counts saved when the store was created."""
+    def _layout(self) -> dict[str, int]:
+        """Partition counts saved when the store was created; empty without a store."""
         try:
-            rows = self.spark.read.schema("table string, buckets int").parquet(f"{self.root}/layout")
+            rows = self.spark.read.schema("table string, parts int").parquet(f"{self.root}/layout")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return None
-        return {r.table: r.buckets for r in rows.collect()} or None  # one row per table
+            return {}
+        return {r.table: r.parts for r in rows.collect()}  # one row per table
 
-    # -- commits ---------------------------------------------------------------
+    def created(self) -> list[str]:
+        """Tables the store was created with."""
+        return sorted(self._layout())
 
-    def _commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_COMMIT_SCHEMA).parquet(f"{self.root}/commits")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-
-    def _latest(self) -> tuple[int, Manifest] | None:
-        commits = self._commits()
-        if commits is None:
-            return None
-        rows = (
-            commits.groupBy("table")
-            .agg(F.max_by(F.struct("commit", "segments"), "commit").alias("last"))
-            .collect()  # one row per table
-        )
-        if not rows:
-            return None
-        return max(r.last.commit for r in rows), {r.table: list(r.last.segments) for r in rows}
-
-    def create(self, run_ts: datetime | str) -> None:
+    def create(self) -> None:
         """Start an empty store; does nothing when one exists."""
-        if self._latest() is None:
-            entries = [
-                F.struct(F.lit(t).alias("table"), F.lit(n).alias("buckets")) for t, n in self.buckets.items()
-            ]
-            self.spark.range(0, 1, 1, 1).select(F.inline(F.array(*entries))).write.mode(
-                "overwrite"
-            ).parquet(f"{self.root}/layout")
-            self._write_commit(0, {t: [] for t in SCHEMAS}, run_ts)
-
-    def manifest(self) -> Manifest:
-        latest = self._latest()
-        if latest is None:
-            raise FileNotFoundError(f"no store at {self.root}")
-        return latest[1]
-
-    def _write_commit(self, number: int, manifest: Manifest, run_ts: datetime | str) -> None:
-        entries = [
-            F.struct(
-                F.lit(table).alias("table"),
-                F.array(*map(F.lit, segments)).cast("array<string>").alias("segments"),
-            )
-            for table, segments in manifest.items()
-        ]
-        # One partition, so one file.  A folder that an interrupted write left without that
-        # file is no commit: its number is taken again and the folder replaced.
-        self.spark.range(0, 1, 1, 1).select(F.inline(F.array(*entries))).withColumn(
-            "run_ts", timestamp(run_ts)
-        ).write.mode("overwrite").parquet(f"{self.root}/commits/commit={number}")
-
-    def commit(self, changes: Manifest, run_ts: datetime | str) -> None:
-        """Make new segment lists of some tables current, all at once."""
-        number, manifest = self._latest()
-        self._write_commit(number + 1, {**manifest, **changes}, run_ts)
-
-    # -- segments --------------------------------------------------------------
-
-    def _name(self, table: str, segment: str) -> str:
-        return f"{self._prefix}_{table}_{segment}"
-
-    def _path(self, table: str, segment: str) -> str:
-        return f"{self.root}/{table}/{segment}"
-
-    def _segment(self, table: str, segment: str) -> DataFrame:
-        name = self._name(table, segment)
+        if not self._layout():
+            for table, schema in SCHEMAS.items():
+                columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+                empty = self.spark.range(0).select(*columns, F.lit(0).alias(PART))
+                empty.write.mode("ignore").partitionBy(PART).parquet(f"{self.root}/{table}")
+            rows = [F.struct(F.lit(t).alias("table"), F.lit(n).alias("parts")) for t, n in self.parts.items()]
+            layout = self.spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
+            layout.write.mode("overwrite").parquet(f"{self.root}/layout")
+
+    def _name(self, table: str) -> str:
+        """The table's name in the catalog, where each session enters it once."""
+        name = f"{self._prefix}_{table}"
         if not self.spark.catalog.tableExists(name):
-            keys = ", ".join(KEYS[table])
             columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SCHEMAS[table])
+            keys = ", ".join(KEYS[table])
+            bucketed = PART_KEYS[table] == keys
+            clustered = f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.parts[table]} BUCKETS" if bucketed else ""
             self.spark.sql(
-                f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) "
-                f"SORTED BY ({keys}) INTO {self.buckets[table]} BUCKETS "
-                f"LOCATION '{self._path(table, segment)}'"
+                f"CREATE TABLE {name} ({columns}, {PART} int) USING parquet PARTITIONED BY ({PART}) {clustered} "
+                f"LOCATION '{self.root}/{table}'"
             )
+        return name
+
+    # -- reading ---------------------------------------------------------------
+
+    def partitioned(self, table: str) -> DataFrame:
+        """A table with its partition column, as it is now."""
+        if not self._layout():
+            raise FileNotFoundError(f"no store at {self.root}")
+        name = self._name(table)
+        self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
         return self.spark.table(name)
 
-    def read(self, table: str, segments: list[str]) -> DataFrame:
-        if not segments:
-            columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in SCHEMAS[table]]
-            return self.spark.range(0).select(*columns).where(F.lit(False))
-        return reduce(DataFrame.unionByName, [self._segment(table, s) for s in segments])
+    def read(self, table: str) -> DataFrame:
+        return self.partitioned(table).drop(PART)
+
+    def read_members(self, table: str, playlist: str) -> DataFrame:
+        """Rows of one playlist, read from its partition alone."""
+        rows = self.partitioned(table)
+        of_playlist = F.pmod(F.hash(F.lit(playlist)), F.lit(self.parts[table]))
+        return rows.where((F.col(PART) == of_playlist) & (F.col(PART_KEYS[table]) == playlist)).drop(PART)
 
-    def tables(self, manifest: Manifest | None = None) -> dict[str, DataFrame]:
-        """All tables of one version."""
-        manifest = manifest or self.manifest()
-        return {t: self.read(t, manifest[t]) for t in SCHEMAS}
+    def read_for(self, table: str, ids: DataFrame) -> DataFrame:
+        """Rows of the partitions that listed videos belong to; few ids read little of a large table."""
+        found = ids.select(part_of(table, self.parts[table])).distinct().collect()  # one row per partition
+        rows = self.partitioned(table)
+        return (rows.where(F.col(PART).isin([r[PART] for r in found])) if found else rows.limit(0)).drop(PART)
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {t: self.read(t) for t in SCHEMAS}
 
     def register_views(self) -> None:
-        """Current tables as temporary views under their own names, for SQL."""
+        """The tables as temporary views under their own names, for SQL."""
         for table, rows in self.tables().items():
             rows.createOrReplaceTempView(table)
 
-    def _write_bucketed(
-        self, table: str, name: str, path: str, rows: DataFrame, clustered: bool
-    ) -> None:
-        n, keys = self.buckets[table], KEYS[table]
-        if not clustered or n % self._shuffles:
-            rows = rows.repartition(n, *keys)
-        (
-            rows.write.format("parquet")
-            .bucketBy(n, *keys)
-            .sortBy(*keys)
-            .option("path", path)
-            .saveAsTable(name)
-        )
+    # -- writing ---------------------------------------------------------------
 
-    def write_segment(self, table: str, rows: DataFrame, clustered: bool = False) -> str:
-        """Write rows as a new segment and return its id; it is not yet current.
+    def _finished(self, table: str, keep: str) -> Callable[[DataFrame], DataFrame]:
+        part = part_of(table, self.parts[table])
+        return lambda rows: rows.where(keep).select(*checked_columns(table)).select("*", part)
+
+    def _unique(self, table: str, staged: DataFrame) -> DataFrame:
+        if not repeated_keys(table, staged).isEmpty():
+            raise ConstraintViolation(f"{table}: repeated keys")
+        return staged
 
-        ``clustered`` rows come out of a join or grouping on the key and need no
-        further shuffle when the bucket count is a multiple of the shuffle
-        partitions.  A null or value that the table does not allow fails the write
-        itself, without a separate pass over the texts.
+    def staged(self, table: str, rows: DataFrame) -> DataFrame:
+        """Rows to be written, computed and checked before any table is changed.
+
+        A null or value that the table does not allow fails here, as do repeated keys.
         """
-        segment = f"s{uuid.uuid4().hex[:16]}"
-        self._write_bucketed(
-            table,
-            self._name(table, segment),
-            self._path(table, segment),
-            rows.select(*checked_columns(table)),
-            clustered,
-        )
-        return segment
-
-    def put(self, table: str, manifest: Manifest, rows: DataFrame) -> list[str]:
-        """Write changed rows, grouped by key, and return the table's new segment list."""
-        segment = self.write_segment(table, rows, clustered=True)
-        if self._segment(table, segment).isEmpty():
-            return manifest[table]
-        return self.replace(table, manifest[table], segment)
-
-    def append(self, table: str, current: list[str], segment: str) -> list[str]:
-        """Segment list with one more, audited: its keys must be new."""
-        keys = self._unique_keys(table, segment)
-        if self._segments_with(table, current, keys):
+        return self._unique(table, stage(self._finished(table, "true")(rows), table))
+
+    def staged_counted(
+        self, table: str, rows: DataFrame, counts: dict[str, Column], keep: str
+    ) -> tuple[DataFrame, dict[str, int]]:
+        """``staged`` of the rows that ``keep`` selects, and counts of all rows, in one pass."""
+        held, found = stage_counted(rows, table, counts, self._finished(table, keep))
+        return self._unique(table, held), found
+
+    def _write(self, table: str, rows: DataFrame, overwrite: bool) -> None:
+        name = self._name(table)
+        # A partition goes to one task; only one too large for a task is split.
+        dealt = rows.select(*SCHEMAS[table].names, PART).hint("rebalance", PART)
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
+        try:
+            dealt.write.insertInto(name, overwrite=overwrite)
+        finally:
+            self.spark.conf.set(mode, before)
+
+    def insert(self, table: str, staged: DataFrame) -> None:
+        """Append staged rows, whose keys must be new."""
+        keys = list(KEYS[table])
+        held = self._of_parts(table, staged).join(staged.select(*keys), keys, "left_semi")
+        if not held.isEmpty():
             raise ConstraintViolation(f"{table}: keys already present")
-        return [*current, segment]
+        self._write(table, staged, overwrite=False)
 
-    def replace(self, table: str, current: list[str], segment: str) -> list[str]:
-        """Segment list in which a segment's rows take the place of equal keys.
+    def replace(self, table: str, staged: DataFrame) -> None:
+        """Put staged rows in the place of stored ones with equal keys; new keys are appended.
 
-        Only the segments that hold such a key are rewritten; when none does this
-        is an append.
+        Only the partitions that hold such a key are written again.
         """
-        keys = self._unique_keys(table, segment)
-        hit = self._segments_with(table, current, keys)
-        kept = [s for s in current if s not in hit]
-        if hit:
-            rest = self.read(table, hit).join(keys, list(KEYS[table]), "left_anti")
-            kept.append(self.write_segment(table, rest, clustered=True))
-        return [*kept, segment]
-
-    def _unique_keys(self, table: str, segment: str) -> DataFrame:
-        keys = self._segment(table, segment).select(*KEYS[table])
-        if not repeated_keys(table, keys).isEmpty():
-            raise ConstraintViolation(f"{table}: repeated keys")
-        return keys
-
-    def _segments_with(self, table: str, segments: list[str], keys: DataFrame) -> list[str]:
-        found = [
-            self._segment(table, s)
-            .join(keys, list(KEYS[table]), "left_semi")
-            .agg(F.count("*").alias("n"))
-            .select(F.lit(s).alias("segment"), "n")
-            for s in segments
-        ]
-        if not found:
-            return []
-        rows = reduce(DataFrame.unionByName, found).where("n > 0").collect()  # one per segment
-        return [r.segment for r in rows]
-
-    def compact(self, table: str, run_ts: datetime | str) -> None:
-        """Merge a table's segments into one; a maintenance step between runs."""
-        segments = self.manifest()[table]
-        if len(segments) > 1:
-            merged = self.write_segment(table, self.read(table, segments), clustered=True)
-            self.commit({table: [merged]}, run_ts)
-
-    # -- run-scoped tables -----------------------------------------------------
-
-    def stage_texts(self, rows: DataFrame) -> DataFrame:
-        """Stage transcripts grouped by video, bucketed like the transcript tables.
-
-        Their one shuffle is the grouping; the joins with stored tables that follow
-        read them in place.
-        """
-        name = f"{self._prefix}_staged_{uuid.uuid4().hex[:16]}"
-        path = staging_path(self.spark, "texts")
-        self._write_bucketed(BRONZE, name, path, rows, clustered=True)
-        return self.spark.table(name)
+        keys = list(KEYS[table])
+        stored = self._of_parts(table, staged)
+        # At most one row per partition of the table.
+        hits = stored.join(staged.select(*keys), keys, "left_semi").select(PART).distinct().collect()
+        touched = F.col(PART).isin([r[PART] for r in hits])
+        if hits:
+            rest = stored.where(touched).join(staged.select(*keys), keys, "left_anti")
+            self._write(table, rest.unionByName(staged.where(touched)), overwrite=True)
+        fresh = staged.where(~touched) if hits else staged
+        if not fresh.isEmpty():
+            self._write(table, fresh, overwrite=False)
+
+    def _of_parts(self, table: str, staged: DataFrame) -> DataFrame:
+        """Stored rows of the partitions that staged rows belong to."""
+        parts = [r[PART] for r in staged.select(PART).distinct().collect()]
+        rows = self.partitioned(table)
+        return rows.where(F.col(PART).isin(parts)) if parts else rows.limit(0)
+
+    # -- logs ------------------------------------------------------------------
 
     def log_failures(self, failures: DataFrame, run_ts: datetime | str) -> None:
         """Append a run's failed fetches to the failure log."""
@@ -271,11 +209,17 @@ class Store:
             f"{self.root}/fetch_failures"
         )
 
+    def log_rejected(self, rejected: DataFrame, run_ts: datetime | str) -> None:
+        """Append what a run could not read to the quarantine table."""
+        rejected.withColumn("run_ts", timestamp(run_ts)).write.mode("append").parquet(f"{self.root}/rejected")
+
     def log_run(self, action: str, result: dict, run_ts: datetime | str) -> None:
-        """Append a run's summary to the run log."""
-        pairs = [F.lit(x) for key, value in result.items() for x in (key, str(value))]
-        self.spark.range(0, 1, 1, 1).select(
-            F.lit(action).alias("action"),
-            F.create_map(*pairs).alias("result"),
-            timestamp(run_ts).alias("run_ts"),
-        ).write.mode("append").parquet(f"{self.root}/run_log")
+        """Append a run's summary to the run log, a table with a column per count."""
+        known = {"action": F.lit(action), "run_ts": timestamp(run_ts)} | {
+            k: F.lit(v) for k, v in result.items() if k in RUN_LOG.names and not isinstance(v, (list, dict))
+        }
+        columns = [known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RUN_LOG]
+        self.spark.range(0, 1, 1, 1).select(*columns).write.mode("append").parquet(f"{self.root}/run_log")
+
+    def runs(self) -> DataFrame:
+        return self.spark.read.schema(RUN_LOG).parquet(f"{self.root}/run_log")

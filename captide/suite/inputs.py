@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from captide.operators.parallel import spread
+from captide.sources import landing
 from captide.sources.landing import json_object
 
 RUN_TS = "2024-02-01 00:00:00"
@@ -113,19 +113,30 @@ def raw_caption(text: str, lang: str):
     return F.expr(f"concat('WEBVTT\nKind: captions\nLanguage: ', {lang}, '\n\n', {cues})")
 
 
-def captions(spark: SparkSession, sf_dir: str, language: str | None = "en") -> DataFrame:
-    documents = spread(table(spark, sf_dir, "documents"))
-    if language is not None:
-        documents = documents.where(F.col("lang") == language)
-    return documents.select(
+def captions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("video_id"),
         F.col("lang").alias("source_language"),
         raw_caption("text", "lang").alias("raw_vtt"),
     )
 
 
+def caption_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The captions by name; those of one source in ten are named oddly, with the id as a word."""
+    documents = table(spark, sf_dir, "documents")
+    doc = F.col("doc_id").cast("string")
+    plain = F.concat(doc, F.lit("."), "lang", F.lit(".vtt"))
+    odd = F.concat(F.lit("A title ["), doc, F.lit("].vtt"))
+    name = F.when(F.col("source") == "src1", odd).otherwise(plain)
+    return landing.caption_names(documents.select(name.alias("name"), doc.alias("file")))
+
+
+def caption_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions(spark, sf_dir).select(F.col("video_id").alias("file"), "raw_vtt")
+
+
 def transcripts_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return captions(spark, sf_dir, language=None).withColumn(
+    return captions(spark, sf_dir).withColumn(
         "fetched_at", F.lit(MEMBERS_UNTIL).cast("timestamp")
     )
 

@@ -198,11 +198,24 @@ infos AS (
   FROM customer)"""
 
 
+NAMES = """
+names AS (
+  SELECT CAST(doc_id AS VARCHAR) AS video_id, CAST(doc_id AS VARCHAR) AS file,
+    CASE WHEN source = 'src1' THEN 'en' ELSE lang END AS source_language FROM documents
+  UNION ALL
+  SELECT CAST(c_custkey AS VARCHAR), NULL, 'fi' FROM customer
+  WHERE c_mktsegment = 'MACHINERY' AND c_custkey NOT IN (SELECT doc_id FROM documents WHERE source <> 'src1')),
+-- a name that only contains the id gives way to one the fetcher names
+own AS (
+  SELECT * FROM names n WHERE file IS NULL OR NOT EXISTS (
+    SELECT 1 FROM names m WHERE m.video_id = n.video_id AND m.file IS NULL))"""
+
+
 def outcomes(*wanted: str) -> str:
     """CTEs from the differences to ``outcomes`` of the ids with the given labels."""
     listed = ", ".join(f"'{w}'" for w in wanted)
     info = ", ".join(f"i.{c}" for c in META)
-    return f"""{DIFF}, {FETCHES}, {INFOS},
+    return f"""{DIFF}, {FETCHES}, {INFOS}, {NAMES},
 last_fetch AS (
   SELECT video_id, arg_max(returncode, seq) AS returncode, arg_max(stderr, seq) AS stderr
   FROM fetches GROUP BY video_id),
@@ -212,8 +225,7 @@ outcomes AS (
     CASE WHEN d.id IS NOT NULL THEN 'ok' WHEN returncode <> 0 THEN {CLASSIFIED}
       ELSE 'no_subtitles' END AS fetch_status
   FROM labelled l LEFT JOIN last_fetch f USING (video_id)
-  LEFT JOIN (SELECT CAST(doc_id AS VARCHAR) AS id FROM documents WHERE lang = 'en') d
-    ON d.id = l.video_id
+  LEFT JOIN (SELECT video_id AS id FROM own) d ON d.id = l.video_id
   LEFT JOIN (FROM infos WHERE has_info) i ON i.video_id = l.video_id
   WHERE l.label IN ({listed}) AND (f.video_id IS NOT NULL OR d.id IS NOT NULL)),
 recorded AS (FROM outcomes WHERE fetch_status <> 'rate_limited')"""
@@ -263,6 +275,21 @@ FROM members m FULL JOIN (SELECT DISTINCT playlist_id, video_id FROM {source}) s
   ON m.playlist_id = s.playlist_id AND m.video_id = s.video_id"""
 
 
+DAILY = """
+daily AS (
+  SELECT DISTINCT event_type AS playlist_id, CAST(user_id AS VARCHAR) AS video_id, date_trunc('day', ts) AS moment
+  FROM events),
+days AS (
+  SELECT *, row_number() OVER d AS number, lead(moment) OVER d AS next_at
+  FROM (SELECT DISTINCT playlist_id, moment FROM daily) WINDOW d AS (PARTITION BY playlist_id ORDER BY moment)),
+spells AS (
+  SELECT playlist_id, video_id, min(moment) AS first_seen_at, max(moment) AS last_seen_at,
+    arg_max(coalesce(next_at, TIMESTAMP '9999-01-01'), number) AS later, nullif(later, TIMESTAMP '9999-01-01') AS removed_at
+  FROM (SELECT *, number - row_number() OVER (PARTITION BY playlist_id, video_id ORDER BY number) AS island
+    FROM daily JOIN days USING (playlist_id, moment))
+  GROUP BY playlist_id, video_id, island)"""
+
+
 GONE = f"""{snapshot()},
 gone AS (
   SELECT video_id FROM members WHERE playlist_id = '{PLAYLIST}' AND removed_at IS NULL
@@ -448,9 +475,74 @@ WITH {SILVER}
 SELECT * FROM silver WHERE video_id NOT IN (
   SELECT CAST(doc_id AS VARCHAR) FROM documents WHERE lang = 'fr')
 UNION ALL SELECT CAST(doc_id AS VARCHAR), lower(text), lang, {RUN} FROM documents WHERE lang = 'fr'""",
+    "membership_spells": f"""
+WITH {DAILY} SELECT playlist_id, video_id, {stamp("first_seen_at")} AS first_seen_at,
+  {stamp("last_seen_at")} AS last_seen_at, {stamp("removed_at")} AS removed_at FROM spells""",
+    "backfill_membership": f"""
+WITH {DAILY} SELECT playlist_id, video_id, {stamp("min(moment)")} AS first_seen_at,
+  {stamp("max(moment)")} AS last_seen_at,
+  {stamp("(SELECT min(moment) FROM days WHERE days.playlist_id = l.playlist_id AND days.moment > max(l.moment))")} AS removed_at
+FROM daily l GROUP BY playlist_id, video_id""",
+    "resumed_membership": f"""
+WITH {MEMBERS}, daily AS (
+  SELECT DISTINCT event_type AS playlist_id, CAST(user_id AS VARCHAR) AS video_id, date_trunc('day', ts) AS moment
+  FROM events WHERE ts >= TIMESTAMP '{MEMBERS_UNTIL}' AND event_type IN ('click', 'view', 'error')),
+days AS (SELECT DISTINCT playlist_id, moment FROM daily),
+later AS (SELECT playlist_id, video_id, min(moment) AS f, max(moment) AS t FROM daily GROUP BY ALL),
+joined AS (
+  SELECT coalesce(m.playlist_id, l.playlist_id) AS playlist_id, coalesce(m.video_id, l.video_id) AS video_id,
+    m.first_seen_at, m.last_seen_at, m.removed_at, f, t
+  FROM members m FULL JOIN later l ON l.playlist_id = m.playlist_id AND l.video_id = m.video_id)
+SELECT playlist_id, video_id, {stamp("coalesce(first_seen_at, f)")} AS first_seen_at,
+  {stamp("coalesce(t, last_seen_at)")} AS last_seen_at,
+  {stamp("""CASE WHEN t IS NOT NULL
+      THEN (SELECT min(moment) FROM days d WHERE d.playlist_id = j.playlist_id AND d.moment > j.t)
+    WHEN removed_at IS NULL THEN (SELECT min(moment) FROM days d WHERE d.playlist_id = j.playlist_id)
+    ELSE removed_at END""")} AS removed_at
+FROM joined j""",
+    "browse_far": """
+SELECT CAST(o_orderkey AS VARCHAR) AS video_id,
+  CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(date_trunc('year', o_orderdate) AS DATE) END AS upload_date,
+  o_orderstatus AS title
+FROM orders ORDER BY upload_date DESC NULLS LAST, video_id LIMIT 10 OFFSET 7000""",
+    "browse_after": f"""
+WITH {CUSTOMER_VIDEOS} SELECT * REPLACE ({stamp("ingested_at")} AS ingested_at) FROM stored
+WHERE video_id > '5' ORDER BY video_id LIMIT 20""",
+    "rejected_lines": f"""
+WITH i AS (
+  SELECT CASE WHEN c_acctbal < 0 THEN 2 ELSE 20 END AS least,
+    length(CASE WHEN c_acctbal < 0 THEN '{{}}' ELSE to_json({{'title': c_name,
+      'channel': CASE WHEN c_acctbal < 5000 THEN c_mktsegment ELSE '' END,
+      'uploader': 'up ' || c_mktsegment,
+      'uploader_id': 'UP', 'upload_date': '202001' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0'),
+      'duration': c_nationkey * 10, 'view_count': c_custkey * 1000000}}) END)
+    + CASE WHEN c_acctbal >= 0 AND c_acctbal < 5000
+      THEN length(',"channel_id":"' || c_nationkey || '"') ELSE 0 END AS n FROM customer)
+SELECT 'snapshot' AS source, CASE event_type WHEN 'error' THEN 'malformed' WHEN 'view' THEN 'blank'
+  WHEN 'signup' THEN 'no id' ELSE 'read' END AS reason, count(*) AS n FROM events GROUP BY ALL
+UNION ALL
+SELECT 'infos', CASE WHEN n % 7 = 0 AND n > 20 THEN 'malformed' ELSE 'read' END, count(*) FROM i GROUP BY ALL""",
+    "snapshot_completeness": f"""
+WITH {FETCHES}, k AS (
+  SELECT 'all' AS kind, returncode FROM fetches
+  UNION ALL SELECT 'good', returncode FROM fetches WHERE returncode = 0)
+SELECT kind, count(*) AS listings, count(*) FILTER (returncode <> 0) AS unfinished,
+  count(*) FILTER (returncode <> 0) = 0 AS complete FROM k GROUP BY kind
+UNION ALL SELECT 'none', 0, 0, false""",
+    "validation_ok": f"""
+WITH counts AS (
+  SELECT count(*) AS bronze_count, count(*) AS silver_count, count(*) AS ok_videos_count,
+    CAST(0 AS BIGINT) AS empty_silver, {", ".join(f"CAST(0 AS BIGINT) AS {n}" for n in PATTERNS)}
+  FROM documents)
+SELECT *, '' AS errors, 'ok' AS status FROM counts""",
+    "rewritten_silver": """
+SELECT CAST(doc_id AS VARCHAR) AS video_id, lang AS source_language FROM documents
+WHERE doc_id NOT IN (SELECT doc_id FROM labels) OR lower(text) <> text""",
     "ingest_summary": f"""
 WITH {outcomes("new")}
-SELECT (SELECT count(*) FROM labelled WHERE label = 'new') AS new,
+SELECT (SELECT count(*) FROM snap) AS total,
+  (SELECT count(*) FROM labelled WHERE label = 'new') AS new,
+  (SELECT count(*) FROM labelled WHERE label IN ('retry', 'touch')) AS existing,
   (SELECT count(*) FROM labelled WHERE label IN ('retry', 'touch')) AS linked,
   count(*) FILTER (fetch_status = 'ok') AS ok,
   count(*) FILTER (fetch_status = 'no_subtitles') AS no_subtitles,
@@ -508,11 +600,14 @@ UNION ALL SELECT video_id, {", ".join(META)}, fetch_status, {RUN} FROM recorded"
 WITH {outcomes("new")}, s AS (SELECT '{PLAYLIST}' AS playlist_id, video_id FROM (
   SELECT video_id FROM recorded UNION
   SELECT video_id FROM labelled WHERE label IN ('retry', 'touch'))) {seen_now("s")}""",
+    "chosen_captions": f"""
+WITH {NAMES} FROM own WHERE video_id IN (SELECT CAST(user_id AS VARCHAR) FROM events)""",
     "ingest_bronze": f"""
-WITH {outcomes("new")}, {BRONZE}, {SILVER}
-SELECT video_id, lang AS source_language, raw_vtt, {RUN} AS fetched_at FROM bronze
-WHERE lang = 'en' AND video_id IN (SELECT video_id FROM outcomes)
-  AND video_id NOT IN (SELECT video_id FROM silver)""",
+WITH {NAMES}, {BRONZE}, {SILVER}
+SELECT o.video_id, o.source_language, coalesce(b.raw_vtt, '') AS raw_vtt, {RUN} AS fetched_at
+FROM own o LEFT JOIN bronze b ON b.video_id = o.file
+WHERE o.video_id IN (SELECT CAST(user_id AS VARCHAR) FROM events)
+  AND o.video_id NOT IN (SELECT video_id FROM silver)""",
     "refresh_videos": f"""
 WITH {outcomes("new", "retry")},
 touched AS (FROM infos WHERE has_info AND video_id IN (

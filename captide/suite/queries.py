@@ -9,12 +9,10 @@ from pyspark.sql import functions as F
 
 from captide.functions import outcomes as O
 from captide.functions import text as X
-from captide.operators import diff, merge, quality, reading, summaries
-from captide.operators.parallel import spread
+from captide.operators import backfill, diff, merge, quality, reading, summaries
 from captide.plans import ingest, refresh, transform
 from captide.schema import BRONZE, MEMBERSHIP, SILVER, VIDEOS
 from captide.sources import landing
-from captide.sources.staging import stage
 from captide.suite import inputs as I
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,12 +37,21 @@ def stamped(rows: DataFrame) -> DataFrame:
     )
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt to all cores before expensive text work.
+
+    The benchmark tables are single files of one row group, which one task would read and
+    clean; stored transcripts come in many partitions and need no such step.
+    """
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(I.table(spark, sf_dir, "documents"))
+    return I.table(spark, sf_dir, "documents")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(I.table(spark, sf_dir, "pages"))
+    return I.table(spark, sf_dir, "pages")
 
 
 # -- caption text ------------------------------------------------------------------
@@ -52,7 +59,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def collapse_phrases(spark, sf_dir):
-    return documents(spark, sf_dir).select(
+    return spread(documents(spark, sf_dir)).select(
         "doc_id", X.collapse_phrases(F.col("text")).alias("full_text")
     )
 
@@ -61,7 +68,7 @@ def collapse_phrases(spark, sf_dir):
 def phrase_stats_by_lang(spark, sf_dir):
     """Words before and after phrase collapse, per language."""
     return (
-        documents(spark, sf_dir)
+        spread(documents(spark, sf_dir))
         .select("lang", X.normalise_spaces(F.col("text")).alias("before"))
         .withColumn("after", X.collapse_words(F.col("before")))
         .groupBy("lang")
@@ -76,25 +83,25 @@ def phrase_stats_by_lang(spark, sf_dir):
 
 @query
 def strip_markup(spark, sf_dir):
-    rows = I.captions(spark, sf_dir, language=None)
+    rows = spread(I.captions(spark, sf_dir))
     return rows.select("video_id", X.strip_markup(F.col("raw_vtt")).alias("plain"))
 
 
 @query
 def clean_captions(spark, sf_dir):
-    rows = I.captions(spark, sf_dir, language=None)
+    rows = spread(I.captions(spark, sf_dir))
     return rows.select("video_id", X.clean_captions(F.col("raw_vtt")).alias("prose"))
 
 
 @query
 def clean_pages(spark, sf_dir):
-    return pages(spark, sf_dir).select("page_id", X.clean_captions(F.col("html")).alias("prose"))
+    return spread(pages(spark, sf_dir)).select("page_id", X.clean_captions(F.col("html")).alias("prose"))
 
 
 @query
 def page_transcripts(spark, sf_dir):
     """Cleaning and collapse of texts with entities, tags and arrows."""
-    return pages(spark, sf_dir).select(
+    return spread(pages(spark, sf_dir)).select(
         "page_id", X.transcript_text(F.col("html")).alias("full_text")
     )
 
@@ -289,33 +296,31 @@ def active_members(spark, sf_dir):
     return diff.active_members(I.membership(spark, sf_dir), I.PLAYLIST)
 
 
-def _outcomes(spark, sf_dir, labels: DataFrame, *wanted: str) -> DataFrame:
-    return diff.assemble_outcomes(
-        diff.with_label(labels, *wanted),
-        I.fetches(spark, sf_dir),
-        I.captions(spark, sf_dir),
-        landing.parse_infos(I.info_texts(spark, sf_dir)),
-    )
+def _chosen(spark, sf_dir, ids: DataFrame) -> DataFrame:
+    """Caption files of listed ids, by name; every customer's fetch names a Finnish one."""
+    customers = I.table(spark, sf_dir, "customer").where("c_mktsegment = 'MACHINERY'")
+    empty = customers.select(F.col("c_custkey").cast("string").alias("video_id"), F.lit("fi").alias("source_language"))
+    return diff.chosen_captions(ids, I.caption_names(spark, sf_dir), empty)
 
 
 def _run(spark, sf_dir, *wanted: str) -> tuple[DataFrame, DataFrame]:
-    """Labels and outcomes staged as a job does, because several outputs need them."""
-    labels = stage(_labels(spark, sf_dir), "labels")
-    return labels, stage(_outcomes(spark, sf_dir, labels, *wanted), "outcomes")
+    """Labels, and outcomes of the ids with the wanted ones."""
+    labels = _labels(spark, sf_dir)
+    ids = diff.with_label(labels, *wanted)
+    infos = landing.parse_infos(I.info_texts(spark, sf_dir))
+    return labels, diff.assemble_outcomes(ids, I.fetches(spark, sf_dir), _chosen(spark, sf_dir, ids), infos)
 
 
 @query
 def resolved_outcomes(spark, sf_dir):
     """Outcome, caption presence and metadata of the scheduled ids."""
-    labels = _labels(spark, sf_dir)
-    return _outcomes(spark, sf_dir, labels, diff.NEW, diff.RETRY).drop("seq")
+    return _run(spark, sf_dir, diff.NEW, diff.RETRY)[1].drop("seq")
 
 
 @query
 def recorded_outcomes(spark, sf_dir):
     """Fetches of all listed ids except the rate-limited ones."""
-    labels = _labels(spark, sf_dir)
-    scheduled = _outcomes(spark, sf_dir, labels, diff.NEW, diff.RETRY, diff.TOUCH)
+    scheduled = _run(spark, sf_dir, diff.NEW, diff.RETRY, diff.TOUCH)[1]
     return diff.writable(scheduled).select("video_id", "fetch_status")
 
 
@@ -328,12 +333,8 @@ def outcome_tally(spark, sf_dir):
 @query
 def captioned_ids(spark, sf_dir):
     """Ids of both fetch batches that brought a caption."""
-    labels = stage(_labels(spark, sf_dir), "labels")
-    new, retried = (
-        _outcomes(spark, sf_dir, labels, label).where("has_caption").select("video_id")
-        for label in (diff.NEW, diff.RETRY)
-    )
-    return new.unionByName(retried)
+    outcomes = _run(spark, sf_dir, diff.NEW, diff.RETRY)[1]
+    return outcomes.where("has_caption").select("video_id")
 
 
 # -- merges -------------------------------------------------------------------------
@@ -404,6 +405,31 @@ def replace_silver(spark, sf_dir):
     return stamped(merge.replace_rows(I.transcripts_silver(spark, sf_dir), rows))
 
 
+def _daily(spark, sf_dir) -> DataFrame:
+    """Each day's users of an event type, as daily snapshots of a playlist."""
+    day = F.date_trunc("day", "ts").cast("timestamp").alias("at")
+    return I.events(spark, sf_dir).select(F.col("event_type").alias("playlist_id"), "video_id", day)
+
+
+@query
+def membership_spells(spark, sf_dir):
+    """Every unbroken run of days on which a playlist listed a video."""
+    return stamped(backfill.membership_spells(_daily(spark, sf_dir)))
+
+
+@query
+def backfill_membership(spark, sf_dir):
+    """The members after all days, in one pass."""
+    return stamped(backfill.backfill_membership(_daily(spark, sf_dir)))
+
+
+@query
+def resumed_membership(spark, sf_dir):
+    """Stored members brought up to date by the days of three playlists."""
+    daily = _daily(spark, sf_dir).where((F.col("at") >= I.MEMBERS_UNTIL) & F.col("playlist_id").isin("click", "view", "error"))
+    return stamped(backfill.resumed_membership(I.membership(spark, sf_dir), daily))
+
+
 # -- summaries ----------------------------------------------------------------------
 
 
@@ -435,7 +461,7 @@ def transform_summary(spark, sf_dir):
 
 def _audited(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Stored customers, raw captions, and pages posing as cleaned text."""
-    silver = pages(spark, sf_dir).select(
+    silver = spread(pages(spark, sf_dir)).select(
         F.col("page_id").cast("string").alias("video_id"),
         F.when(F.length("url") < 30, " ").otherwise(F.col("html")).alias("full_text"),
     )
@@ -456,14 +482,14 @@ def validation_report(spark, sf_dir):
 @query
 def artifact_audit(spark, sf_dir):
     """Leftovers in captions that were not cleaned."""
-    raw = I.captions(spark, sf_dir, language=None)
+    raw = spread(I.captions(spark, sf_dir))
     return quality.artifact_audit(raw.select(F.col("raw_vtt").alias("full_text")))
 
 
 @query
 def cleaned_artifact_audit(spark, sf_dir):
     """The same captions after cleaning."""
-    raw = I.captions(spark, sf_dir, language=None)
+    raw = spread(I.captions(spark, sf_dir))
     return quality.artifact_audit(raw.select(X.transcript_text(F.col("raw_vtt")).alias("full_text")))
 
 
@@ -494,20 +520,26 @@ def ingest_membership(spark, sf_dir):
     labels, outcomes = _run(spark, sf_dir, diff.NEW)
     seen = ingest.seen_ids(labels, outcomes, diff.RETRY, diff.TOUCH)
     members = I.membership(spark, sf_dir)
-    changed = ingest.changed_members(members, I.PLAYLIST, seen, I.RUN_TS)
+    of_playlist = diff.members_of(members, I.PLAYLIST)
+    changed = ingest.changed_members(of_playlist, I.PLAYLIST, seen, I.RUN_TS)
     return stamped(merge.replace_rows(members, changed, merge.MEMBER_KEY))
 
 
+@query
+def chosen_captions(spark, sf_dir):
+    """One caption file for every event's user, by name alone."""
+    return _chosen(spark, sf_dir, I.events(spark, sf_dir))
+
+
 @query
 def ingest_bronze(spark, sf_dir):
-    """New captions; labelled documents count as loaded before."""
-    rows = ingest.bronze_rows(
-        I.transcripts_silver(spark, sf_dir),
-        I.captions(spark, sf_dir),
-        _run(spark, sf_dir, diff.NEW)[1],
-        I.RUN_TS,
-    )
-    return stamped(rows)
+    """Captions of every event's user; labelled documents count as loaded before.
+
+    Files are chosen by name, and only their texts are read.
+    """
+    wanted = ingest.wanted_captions(I.transcripts_silver(spark, sf_dir), chosen_captions(spark, sf_dir))
+    texts = ingest.packed_texts(I.caption_texts(spark, sf_dir))
+    return stamped(ingest.bronze_rows(wanted, texts, I.RUN_TS))
 
 
 @query
@@ -526,7 +558,7 @@ def refresh_membership(spark, sf_dir):
     members = I.membership(spark, sf_dir)
     labels, outcomes = _run(spark, sf_dir, diff.NEW, diff.RETRY)
     changed = ingest.changed_members(
-        members,
+        diff.members_of(members, I.PLAYLIST),
         I.PLAYLIST,
         ingest.seen_ids(labels, outcomes, diff.TOUCH),
         I.RUN_TS,
@@ -538,7 +570,7 @@ def refresh_membership(spark, sf_dir):
 @query
 def transform_captions(spark, sf_dir):
     """Every caption cleaned and collapsed."""
-    return stamped(transform.silver_rows(I.transcripts_bronze(spark, sf_dir), I.RUN_TS))
+    return stamped(transform.silver_rows(spread(I.transcripts_bronze(spark, sf_dir)), I.RUN_TS))
 
 
 @query
@@ -546,7 +578,7 @@ def refresh_silver(spark, sf_dir):
     """Silver after transforming the pending captions."""
     silver = I.transcripts_silver(spark, sf_dir)
     pending = transform.select_transcripts(I.transcripts_bronze(spark, sf_dir), silver)
-    return stamped(merge.replace_rows(silver, transform.silver_rows(pending, I.RUN_TS)))
+    return stamped(merge.replace_rows(silver, transform.silver_rows(spread(pending), I.RUN_TS)))
 
 
 # -- reading ------------------------------------------------------------------------
@@ -574,6 +606,77 @@ def browse_videos(spark, sf_dir):
     )
 
 
+@query
+def browse_far(spark, sf_dir):
+    """A page from the middle of the orders, most of which share their upload dates."""
+    orders = I.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("video_id"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.date_trunc("year", "o_orderdate").cast("date")).alias("upload_date"),
+        F.col("o_orderstatus").alias("title"),
+    )
+    return reading.browse(orders, page=701, page_size=10, most=20)
+
+
+@query
+def browse_after(spark, sf_dir):
+    """The page after a given video, without counting what comes before it."""
+    return stamped(reading.browse_after(I.customer_videos(spark, sf_dir), "2020-01-01", "5", page_size=20))
+
+
+@query
+def rejected_lines(spark, sf_dir):
+    """Snapshot lines and metadata files that could not be read, by reason."""
+    kind, props = F.col("event_type"), F.col("props")
+    line = (
+        F.when(kind == "error", F.substring(props, 1, 6))
+        .when(kind == "view", " ")
+        .when(kind == "signup", props)
+        .otherwise(F.replace(props, F.lit('"k"'), F.lit('"id"')))
+    )
+    lines = landing.snapshot_lines(I.table(spark, sf_dir, "events").select(line.alias("value")))
+    cut = F.when(F.length("value") % 7 == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
+    infos = landing.split_infos(I.info_texts(spark, sf_dir).withColumn("value", cut))
+    both = lines.select(F.lit("snapshot").alias("source"), "reason").unionByName(
+        infos.select(F.lit("infos").alias("source"), "reason")
+    )
+    return both.groupBy("source", F.coalesce("reason", F.lit("read")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query
+def snapshot_completeness(spark, sf_dir):
+    """Exit codes of listings: those of all events, and those of the events that ended well."""
+    statuses = I.fetches(spark, sf_dir).select("returncode", "stderr", "seq")
+    kinds = {"all": statuses, "good": statuses.where("returncode = 0"), "none": statuses.where("seq < 0")}
+    rows = [landing.completeness(s).withColumn("kind", F.lit(k)).drop("stderr") for k, s in kinds.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@query
+def validation_ok(spark, sf_dir):
+    """The report of clean tables: every document once, as plain words."""
+    words = F.regexp_replace("text", "[^A-Za-z]+", " ")
+    silver = documents(spark, sf_dir).select(
+        F.col("doc_id").cast("string").alias("video_id"), F.concat(F.lit("x "), words).alias("full_text")
+    )
+    videos = silver.select("video_id", F.lit("ok").alias("fetch_status"))
+    bronze = silver.select("video_id", F.col("full_text").alias("raw_vtt"))
+    report = quality.validation_report(videos, bronze, silver)
+    return report.withColumn("errors", F.array_join("errors", "; "))
+
+
+@query
+def rewritten_silver(spark, sf_dir):
+    """Rows of a forced run whose result differs from the stored one: texts not lower case before."""
+    silver = I.transcripts_silver(spark, sf_dir)
+    rows = I.captions(spark, sf_dir).select(
+        "video_id", "source_language", F.lower(F.element_at(F.split("raw_vtt", "</c>\n", -1), -1)).alias("full_text")
+    )
+    lowered = silver.select("video_id", F.lower("full_text").alias("full_text"), "source_language").unionByName(
+        rows.join(silver.select("video_id"), "video_id", "left_anti")
+    )
+    return transform.with_difference(silver, lowered).where("differs").select("video_id", "source_language")
+
+
 @query
 def transcript_detail(spark, sf_dir):
     return stamped(reading.transcript(I.transcripts_silver(spark, sf_dir), "0"))

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from captide.operators.quality import ConstraintViolation
 from captide.plans.ingest import read_landing, run_ingest
@@ -74,7 +75,7 @@ def test_ingest_loads_every_outcome(store, tmp_path):
         infos={"v1": INFO, "v2": {}},
         fetches={"v3": (1, "ERROR: Video unavailable"), "v4": (1, "HTTP Error 429: Too Many Requests")},
     )
-    assert result == {"new": 4, "linked": 0, "ok": 1, "no_subtitles": 1, "unavailable": 1,
+    assert result == {"total": 4, "existing": 0, "new": 4, "linked": 0, "ok": 1, "no_subtitles": 1, "unavailable": 1,
                       "rate_limited": 1, "status": "complete"}
     assert rows(store, VIDEOS, "video_id", "fetch_status", "title") == [
         ("v1", "ok", "A title"),
@@ -123,15 +124,57 @@ def test_unfinished_snapshot_stops_the_run(store, tmp_path, ids):
         ingest(store, tmp_path / "a", ids, returncode=1)
 
 
-def test_malformed_metadata_commits_nothing(store, tmp_path):
-    ingest(store, tmp_path / "a", ["v1"], captions=["v1"])
-    before = store.manifest()
-    path = tmp_path / "b"
-    land(path, ["v1", "v2"], captions=["v2"])
+def everything(store):
+    return {t: sorted(map(str, r.collect())) for t, r in store.tables().items()}
+
+
+def test_what_cannot_be_read_is_set_aside(store, tmp_path):
+    """A malformed line, file or name costs its own video its data, not the run."""
+    path = tmp_path / "a"
+    land(path, ["v1", "v2"], captions=["v1"], infos={"v1": INFO})
     (path / "files" / "v2.info.json").write_text('{"title": ')
-    with pytest.raises(Exception, match="(?i)malformed|json"):
-        run_ingest(store, "PL1", read_landing(store.spark, str(path)), T2)
-    assert store.manifest() == before
+    (path / "files" / "v9.info.json").write_text("[]")
+    (path / "files" / "no id here!.vtt").write_text(CAPTION)
+    result = run_ingest(store, "PL1", read_landing(store.spark, str(path)), T1)
+    assert (result["new"], result["ok"], result["no_subtitles"]) == (2, 1, 1)
+    assert rows(store, VIDEOS, "video_id", "title") == [("v1", "A title"), ("v2", None)]
+    aside = store.spark.read.parquet(f"{store.root}/rejected")
+    assert sorted((r.source, r.name or "", r.reason) for r in aside.collect()) == [
+        ("captions", "no id here!.vtt", "name"), ("infos", "v2", "malformed"), ("infos", "v9", "malformed"), ("snapshot", "", "malformed"),
+    ]
+
+
+def test_a_row_that_breaks_a_rule_changes_no_table(store, tmp_path, monkeypatch):
+    ingest(store, tmp_path / "a", ["v1"], captions=["v1"])
+    before = everything(store)
+    from captide.plans import ingest as plan
+
+    original = plan.changed_videos
+    monkeypatch.setattr(
+        plan, "changed_videos", lambda *a: original(*a).selectExpr("* except (fetch_status)", "'odd' fetch_status")
+    )
+    with pytest.raises(Exception, match="not allowed"):
+        ingest(store, tmp_path / "b", ["v1", "v2"], ts=T2, captions=["v2"])
+    assert everything(store) == before
+
+
+def test_a_run_cut_off_between_tables_is_completed_by_the_next(store, tmp_path, monkeypatch):
+    path = land(tmp_path / "a", ["v1", "v2"], captions=["v1"])
+    original = Store.replace
+
+    def cut_off(self, table, staged):
+        if table == VIDEOS:
+            raise RuntimeError("lost")
+        original(self, table, staged)
+
+    monkeypatch.setattr(Store, "replace", cut_off)
+    with pytest.raises(RuntimeError, match="lost"):
+        run_ingest(store, "PL1", read_landing(store.spark, path), T1)
+    assert rows(store, BRONZE, "video_id") == [("v1",)] and rows(store, VIDEOS, "video_id") == []
+    monkeypatch.setattr(Store, "replace", original)
+    assert run_ingest(store, "PL1", read_landing(store.spark, path), T2)["new"] == 2
+    assert rows(store, VIDEOS, "video_id", "fetch_status") == [("v1", "ok"), ("v2", "no_subtitles")]
+    assert rows(store, BRONZE, "video_id") == [("v1",)] and active(store, "PL1") == ["v1", "v2"]
 
 
 def test_refresh_of_an_unchanged_playlist(store, tmp_path):
@@ -154,10 +197,10 @@ def test_removed_member_gets_a_tombstone_and_comes_back(store, tmp_path):
 def test_mass_removal_needs_an_override(store, tmp_path):
     ids = [f"v{i:02}" for i in range(25)]
     ingest(store, tmp_path / "a", ids)
-    before = store.manifest()
+    before = everything(store)
     with pytest.raises(TooManyRemovals):
         refresh(store, tmp_path / "b", ids[:1])
-    assert store.manifest() == before
+    assert everything(store) == before
     assert refresh(store, tmp_path / "c", ids[:1], force=True)["tombstoned"] == 24
     assert active(store, "PL1") == ids[:1]
 
@@ -212,16 +255,33 @@ def test_transform_modes(store, tmp_path):
     ids = store.spark.createDataFrame([("v2",)], "video_id string")
     assert run_transform(store, T1, ids=ids)["processed"] == 1
     assert run_transform(store, T2)["processed"] == 2
-    assert run_transform(store, T3) == {"processed": 0, "status": "nothing_to_process"}
-    assert len(store.manifest()[SILVER]) == 2
+    assert run_transform(store, T3) == {"processed": 0, "written": 0, "status": "nothing_to_process"}
     assert run_transform(store, T3, ids=ids)["processed"] == 1
     stamps = {r[0]: str(r[1]) for r in rows(store, SILVER, "video_id", "transformed_at")}
     assert stamps == {"v1": T2, "v2": T3, "v3": T2}
-    assert run_transform(store, T3, force=True)["processed"] == 3
-    assert [str(r[0]) for r in rows(store, SILVER, "transformed_at")] == [T3] * 3
     assert run_transform(store, T3, ids=ids.limit(0))["processed"] == 0
 
 
+def test_a_forced_run_writes_only_what_differs(store, tmp_path):
+    ingest(store, tmp_path / "a", ["v1", "v2", "v3"], captions=["v1", "v2", "v3"])
+    run_transform(store, T1)
+    files = silver_files(store)
+    assert run_transform(store, T2, force=True) == {"processed": 3, "written": 0, "status": "complete"}
+    assert silver_files(store) == files
+    changed = store.read(SILVER).where("video_id = 'v2'").selectExpr(
+        "video_id", "'old' full_text", "source_language", "transformed_at"
+    )
+    store.replace(SILVER, store.staged(SILVER, changed))
+    assert run_transform(store, T3, force=True)["written"] == 1
+    stamps = {r[0]: str(r[1]) for r in rows(store, SILVER, "video_id", "transformed_at")}
+    assert stamps == {"v1": T1, "v2": T3, "v3": T1}
+    assert {r[0] for r in rows(store, SILVER, "full_text")} == {"the fox"}
+
+
+def silver_files(store):
+    return sorted(r[0] for r in store.read(SILVER).select("_metadata.file_path").distinct().collect())
+
+
 def test_validation_report(store, tmp_path):
     ingest(store, tmp_path / "a", ["v1", "v2"], captions=["v1", "v2"])
     report = run_validate(store, T1)
@@ -238,35 +298,91 @@ def test_views_and_run_log(store, tmp_path):
     store.register_views()
     query = "select v.video_id from videos v join transcripts_bronze using (video_id)"
     assert store.spark.sql(query).count() == 1
-    assert store.spark.read.parquet(f"{store.root}/run_log").first().action == "run_ingest"
+    (run,) = store.runs().collect()
+    assert (run.action, run.status, run.new, run.ok, run.processed) == ("run_ingest", "complete", 1, 1, None)
 
 
 def test_store_rejects_bad_rows(store, tmp_path):
     ingest(store, tmp_path / "a", ["v1"], captions=["v1"])
-    spark, current = store.spark, store.manifest()
+    spark, before = store.spark, everything(store)
     bronze = spark.createDataFrame([("v1", "x", "en")], "video_id string, raw_vtt string, source_language string")
     bronze = bronze.selectExpr("*", f"timestamp'{T1}' fetched_at")
     with pytest.raises(ConstraintViolation, match="already"):
-        store.append(BRONZE, current[BRONZE], store.write_segment(BRONZE, bronze))
+        store.insert(BRONZE, store.staged(BRONZE, bronze))
     with pytest.raises(ConstraintViolation, match="repeated"):
-        store.append(BRONZE, [], store.write_segment(BRONZE, bronze.union(bronze)))
+        store.staged(BRONZE, bronze.union(bronze))
     with pytest.raises(Exception, match="is null"):
-        store.write_segment(BRONZE, bronze.selectExpr("video_id", "null raw_vtt", "source_language", "fetched_at"))
+        store.staged(BRONZE, bronze.selectExpr("video_id", "null raw_vtt", "source_language", "fetched_at"))
     videos = store.tables()[VIDEOS].selectExpr("* except (fetch_status)", "'odd' fetch_status")
     with pytest.raises(Exception, match="not allowed"):
-        store.write_segment(VIDEOS, videos)
-    assert store.manifest() == current
+        store.staged(VIDEOS, videos)
+    assert everything(store) == before
+    # A second handle on the same root sees the same tables.
+    assert everything(Store(spark, store.root)) == before
 
 
-def test_compaction_keeps_rows(store, tmp_path):
-    ingest(store, tmp_path / "a", ["v1"], captions=["v1"])
-    ingest(store, tmp_path / "b", ["v1", "v2"], ts=T2, captions=["v2"])
-    assert len(store.manifest()[BRONZE]) == 2
-    store.compact(BRONZE, T3)
-    assert len(store.manifest()[BRONZE]) == 1
-    assert rows(store, BRONZE, "video_id") == [("v1",), ("v2",)]
-    # A second handle on the same root sees the same tables.
-    assert rows(Store(store.spark, store.root), BRONZE, "video_id") == [("v1",), ("v2",)]
+def files_of(rows):
+    return {r[0]: r[1] for r in rows.select("_metadata.file_path", "_metadata.file_modification_time").distinct().collect()}
+
+
+def plan_of(rows):
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_run_reads_and_writes_its_playlist_alone(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"), buckets=16)
+    for n in range(6):
+        ingest(store, tmp_path / f"p{n}", [f"v{n}", "all"], playlist=f"PL{n}")
+    plan = plan_of(store.read_members(MEMBERSHIP, "PL3"))
+    part = store.partitioned(MEMBERSHIP).where("playlist_id = 'PL3'").first().part
+    assert f"part#" in plan and f"= {part})" in plan.split("PartitionFilters: [", 1)[1].split("]")[0]
+    before = files_of(store.partitioned(MEMBERSHIP))
+    others = {f for f in before if f"part={part}/" not in f}
+    assert others and len(others) < len(before)
+    refresh(store, tmp_path / "again", ["v3", "all", "more"], playlist="PL3")
+    after = files_of(store.partitioned(MEMBERSHIP))
+    assert {f: after.get(f) for f in others} == {f: before[f] for f in others}
+    assert active(store, "PL3") == ["all", "more", "v3"] and active(store, "PL1") == ["all", "v1"]
+
+
+def test_few_ids_read_few_partitions(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"), buckets=32)
+    ids = [f"v{n}" for n in range(40)]
+    ingest(store, tmp_path / "a", ids, captions=ids)
+    listed = spark.createDataFrame([("v1",), ("v2",)], "video_id string")
+    for table in (VIDEOS, BRONZE):
+        found = store.read_for(table, listed)
+        assert len(files_of(found)) <= 2 < len(files_of(store.read(table)))
+        assert {"v1", "v2"} <= {r.video_id for r in found.collect()}
+    assert store.read_for(VIDEOS, listed.limit(0)).collect() == []
+
+
+def test_no_text_is_read_before_its_file_is_chosen(store, tmp_path):
+    from captide.operators import diff
+    from captide.plans import ingest as plan
+    from captide.sources import landing
+
+    path = tmp_path / "a"
+    land(path, ["v1", "v2"], captions=["v1", "v2", "other"])
+    (path / "files" / "v1.de.vtt").write_text(CAPTION + "auf Deutsch\n")
+    (path / "files" / "Some title [v3] (2).vtt").write_text(CAPTION + "v3\n")
+    landed = read_landing(store.spark, str(path))
+    ids = store.spark.createDataFrame([("v1",), ("v3",), ("v4",)], "video_id string")
+    named = store.spark.createDataFrame([("v4", "fr")], "video_id string, source_language string")
+    chosen = diff.chosen_captions(ids, landed.captions, named)
+    assert "raw_vtt" not in plan_of(chosen) and "value" not in plan_of(chosen)
+    assert sorted((r.video_id, r.source_language) for r in chosen.collect()) == [("v1", "de"), ("v3", "en"), ("v4", "fr")]
+    rows = plan.bronze_rows(chosen, landed.texts, T1)
+    assert "raw_vtt" not in shuffled_columns(plan_of(rows)) and "Scan text" not in plan_of(rows)
+    assert {r.video_id: r.raw_vtt for r in rows.collect()} == {
+        "v1": CAPTION + "auf Deutsch\n", "v3": CAPTION + "v3\n", "v4": "",
+    }
+    packed = landed.captions.select("file").withColumn("raw_vtt", F.col("file"))
+    from captide.sources.staging import stage
+
+    joined = plan.bronze_rows(stage(chosen, "chosen"), plan.packed_texts(stage(packed, "packed")), T1)
+    assert "raw_vtt" not in shuffled_columns(plan_of(joined))
+    assert [r.name for r in landing.rejected_names(landed.captions).collect()] == ["Some title [v3] (2).vtt"]
 
 
 def shuffled_columns(plan):
@@ -295,22 +411,17 @@ def test_stored_transcripts_are_not_shuffled(store, tmp_path):
         ingest(store, tmp_path / "b", ["v1", "v2", "v3"], captions=["v3"], ts=T2)
         run_transform(store, T2)
         plan = pending_plan(store.tables())
-        # With several segments the ids of one side move, never the texts.
-        assert "raw_vtt" in plan and "raw_vtt" not in shuffled_columns(plan)
+        assert "raw_vtt" in plan and "Exchange" not in plan and plan.count("Bucketed: true") == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def pending_plan(tables):
-    rows = select_transcripts(tables[BRONZE], tables[SILVER])
-    return rows._jdf.queryExecution().executedPlan().toString()
+    return plan_of(select_transcripts(tables[BRONZE], tables[SILVER]))
 
 
 def test_stored_rows_survive_another_partition_setting(spark, tmp_path):
-    """A store keeps the bucket counts it was created with."""
-    from captide.schema import BRONZE
-    from captide.sources.store import Store
-
+    """A store keeps the partition counts it was created with."""
     root = f"file://{tmp_path}/layout"
     rows = spark.range(300).selectExpr(
         "cast(id as string) AS video_id", "'x' AS raw_vtt", "'en' AS source_language",
@@ -321,8 +432,8 @@ def test_stored_rows_survive_another_partition_setting(spark, tmp_path):
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
         store = Store(spark, root)
-        store.create("2024-01-01")
-        store.commit({BRONZE: [store.write_segment(BRONZE, rows)]}, "2024-01-01")
+        store.create()
+        store.insert(BRONZE, store.staged(BRONZE, rows))
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         for setting in ("2", "16"):
             spark.conf.set("spark.sql.shuffle.partitions", setting)
@@ -357,15 +468,6 @@ def test_captions_of_unscheduled_ids_are_not_stored(store, tmp_path):
     assert rows(store, BRONZE, "video_id") == [("v1",)]
 
 
-def test_an_interrupted_commit_does_not_block_the_next(store, tmp_path):
-    ingest(store, tmp_path / "a", ["v1"], captions=["v1"])
-    number, _ = store._latest()
-    left = tmp_path / "store" / "commits" / f"commit={number + 1}" / "_temporary" / "0"
-    left.mkdir(parents=True)
-    assert refresh(store, tmp_path / "b", ["v1", "v2"], captions=["v2"])["added"] == 1
-    assert rows(store, BRONZE, "video_id") == [("v1",), ("v2",)]
-
-
 def test_failed_fetches_are_reported(store, tmp_path):
     ingest(
         store,
