@@ -36,6 +36,19 @@ def text_column(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns named by place, ``c0`` on, so that no added name clashes.
+
+    ``DataFrame.toDF(*docs.columns)`` of these columns gives the names back.
+    """
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+
+
+def column_place(docs: DataFrame, name: str) -> str:
+    """The name that ``numbered`` gives a column."""
+    return f"c{docs.columns.index(name)}"
+
+
 def share(spark: SparkSession, *values: object) -> Broadcast:
     """Broadcast values that may hold classes of this package; read with ``shared``.
 

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, and on the awkward inputs."""
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -167,6 +168,24 @@ def test_exact_duplicates_of_awkward_texts(docs_of):
     assert found[1].text_sha256 == hashlib.sha256(b"").hexdigest()
 
 
+def test_rows_of_a_hot_text_meet_their_group_in_many_tasks(spark):
+    """Half of all rows have one text; their join with the groups is by digest and salt."""
+    hot = spark.range(4000).selectExpr("id AS doc_id", "if(id % 2 = 0, 'hot', concat('text ', id)) AS text")
+    missing = spark.createDataFrame([(None, "hot"), (None, "hot"), (None, None)], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = exact.exact_duplicates(hot.union(missing))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        rows = found.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.search(r"hashpartitioning\(digest#\d+, salt#\d+L?", plan)
+    sizes = Counter(r.group_size for r in rows)
+    assert sizes == {2002: 2002, 1: 2001}
+    assert [r.doc_id for r in rows if r.kept and r.group_size > 1] == [3998]
+
+
 def test_one_row_of_each_text_stays(docs_of):
     docs = docs_of(*AWKWARD)
     kept = exact.without_copies(docs.union(docs))
@@ -260,6 +279,24 @@ def test_lengths_fit_their_budget():
         assert abs(int((taken * sizes).sum()) - budget) <= min(abs(s - budget) for s in sums) + 1
 
 
+def test_knapsack_memory_is_bounded():
+    import tracemalloc
+
+    sizes = np.arange(2, 20002, 2)
+    tracemalloc.start()
+    taken = mixing.fit_lengths(sizes, np.full(len(sizes), 3), 30001)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert abs(int((taken * sizes).sum()) - 30001) == 1 and peak < 60 << 20
+
+
+def test_words_are_counted_as_elsewhere(spark):
+    texts = ["a b", "", None, " \t\n\x0b\x0c\r", "a\u00a0b c", "x" * 10000, "\x1ca\x1db"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = [r[0] for r in rows.select(mixing.words_of(F.col("text"))).collect()]
+    assert found == [len(blank_words(t)) for t in texts]
+
+
 def test_mix_meets_its_targets(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn(
         "source", F.when(F.col("doc_id") % 9 == 0, None).otherwise(F.concat(F.lit("s"), F.col("doc_id") % 4))

@@ -88,6 +88,39 @@ def test_mix_repeats_whole_rows_up_to_the_targets(spark, rows):
     assert all(abs(taken[s] - targets[s]) <= 2 for s in targets) and set(taken) == set(targets)
 
 
+CLASHES = (
+    "score lang_pred languages shares kept_id kept_digest keep_id digest salt __size size times key range rest "
+    "__row row c0 c1 component_id first a.b"
+).split()
+
+
+@pytest.mark.parametrize("name", [n for n in STAGES if n != "byte bpe"])
+def test_extra_columns_of_any_name_are_kept(spark, rows, name):
+    given = texts_told(rows)
+    expected = ran(spark, name, given)
+    extra = [(*r, *(f"{c}{r[0]}" for c in CLASHES)) for r in given]
+    columns = f"{COLUMNS}, " + ", ".join(f"`{c}` string" for c in CLASHES)
+    docs = spark.createDataFrame(extra, columns).repartition(3)
+    found = STAGES[name](spark, docs, "")
+    assert found.columns == docs.columns
+    found = [tuple(r) for r in found.collect()]
+    assert all(r[4:] == tuple(f"{c}{r[0]}" for c in CLASHES) for r in found)
+    if name == "source mix":
+        # Which of equal choices is taken depends on row order alone for rows with one hash.
+        assert mixed_well(given, [r[:4] for r in found]) == mixed_well(given, expected)
+    else:
+        assert sorted((r[:4] for r in found), key=str) == expected
+
+
+@pytest.mark.parametrize("name", STAGES)
+def test_stages_take_empty_tables_and_null_columns(spark, name):
+    empty = spark.createDataFrame([], COLUMNS)
+    assert STAGES[name](spark, empty, "").collect() == []
+    nulls = spark.createDataFrame([(None, None, None, None)] * 3 + [(1, None, None, None), (2, "", None, "s")], COLUMNS)
+    found = STAGES[name](spark, nulls, "").collect()
+    assert len(found) == {"language id": 0, "exact dedup": 1, "minhash near-dedup": 5, "source mix": 5, "byte bpe": 5}[name]
+
+
 def test_tokens_are_those_of_the_library(spark, rows):
     docs = spark.createDataFrame(rows, COLUMNS)
     found = STAGES["byte bpe"](spark, docs, "")
