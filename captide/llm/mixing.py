@@ -13,42 +13,30 @@ are taken or left whole, so a length held by a third of all rows makes no hot ta
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from captide.llm.common import lowered_words, stage, text_column
+from captide.llm.common import BLANKS, column_place, numbered, stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE_PERCENT = 150
 MOST_TIMES = 2
 SEED = 17
-_SPLIT = 64
+# Hash ranges of one length at least, and documents per range of a large table.
+_LEAST_RANGES, _RANGE_ROWS = 64, 50_000
 # Words left to the exact search once whole lengths have been taken in proportion.
 _REACH = 1 << 16
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` and the number of words as ``__size``; 0 for a null text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = [len(lowered_words(t)) for t in batch.column(0).to_pylist()]
-            yield pa.record_batch([*batch.columns[1:], pa.array(sizes, pa.int64())], schema=None, names=names)
-
-    fields = docs.schema.fields
-    plain = [f"c{i}" for i in range(len(fields))]
-    names = [*plain, "size"]
-    source = docs.toDF(*plain)
-    text = plain[docs.columns.index("text")]
-    schema = ", ".join([f"{p} {f.dataType.simpleString()}" for p, f in zip(plain, fields, strict=True)] + ["size long"])
-    counted = source.select(text_column(text).alias("t"), *plain).mapInArrow(run, schema)
-    return counted.select(*[F.col(p).alias(f.name) for p, f in zip(plain, fields, strict=True)], F.col("size").alias("__size"))
+def words_of(text: Column) -> Column:
+    """Number of words; 0 for a null text."""
+    return F.coalesce(F.regexp_count(text, F.lit(f"[^{BLANKS}]+")), F.lit(0)).cast("long")
 
 
 def _source_key(column: Column) -> Column:
@@ -108,14 +96,13 @@ def fit_lengths(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarra
     spare = counts - taken
     limit = left + int(sizes.max(initial=0))
     mask = (1 << limit + 1) - 1
-    items, states, reach = [], [1], 1
+    items, reach = [], 1
     for k in np.flatnonzero((spare > 0) & (sizes > 0)).tolist():
         n, part = int(min(spare[k], limit // sizes[k])), 1
         while n > 0:
             use = min(part, n)
             items.append((k, use))
             reach = (reach | reach << use * int(sizes[k])) & mask
-            states.append(reach)
             n, part = n - use, part * 2
         if reach >> left & 1:
             break
@@ -123,13 +110,39 @@ def fit_lengths(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarra
     over = reach >> left + 1
     above = left + 1 + ((over & -over).bit_length() - 1) if over else None
     at = above if above is not None and above - left < left - below else below
-    for (k, use), before in zip(reversed(items), reversed(states[:-1]), strict=True):
+    for (k, use), before in _backwards(items, sizes, mask):
         if not before >> at & 1:
             at -= use * int(sizes[k])
             taken[k] += use
     return taken
 
 
+def _backwards(
+    items: list[tuple[int, int]], sizes: np.ndarray, mask: int
+) -> Iterator[tuple[tuple[int, int], int]]:
+    """Items from the last to the first, each with the sums reached before it.
+
+    The sums are kept at every few items and built again between them, so no more than
+    about twice the square root of their number is held at a time.
+    """
+
+    def after(reach: int, item: tuple[int, int]) -> int:
+        return (reach | reach << item[1] * int(sizes[item[0]])) & mask
+
+    step = max(1, math.isqrt(len(items)))
+    kept, reach = [], 1
+    for at, item in enumerate(items):
+        if at % step == 0:
+            kept.append(reach)
+        reach = after(reach, item)
+    for block in range(len(kept) - 1, -1, -1):
+        part, reach, states = items[block * step : (block + 1) * step], kept[block], []
+        for item in part:
+            states.append(reach)
+            reach = after(reach, item)
+        yield from zip(reversed(part), reversed(states), strict=True)
+
+
 def _choose(lengths: pd.DataFrame) -> pd.DataFrame:
     """One source's lengths with whole passes and the number of documents to take once more."""
     lengths = lengths.sort_values("size", kind="stable")
@@ -143,23 +156,28 @@ def _choose(lengths: pd.DataFrame) -> pd.DataFrame:
 
 
 def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """All rows and columns of ``docs`` with ``__size, __source_size, __target, __times``.
+    """All rows of ``docs``, columns ``c0`` on, and ``size, source_size, target, times``.
 
-    ``__times`` says how often the mix takes a document: 0, 1 or 2.  A null text has size
+    ``times`` says how often the mix takes a document: 0, 1 or 2.  A null text has size
     0; a null source is one of its own, last in order.  Documents without words are taken
     once, as they cost nothing; so are all of a source without words.  Choices depend only
     on the row's values and the seed, so reruns agree; rows equal in id and text are told
     apart by nothing and share their hash, and which of them is taken is arbitrary.  An
-    empty table gives an empty result.
+    empty table gives an empty result.  Columns are named by place, so extra ones may have
+    any name.
+
+    Documents of one source and length are dealt to hash ranges, more of them the larger
+    the table is, so that one range of the commonest length is a bounded part of it.
     """
-    order = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
-    rows = word_counts(docs).withColumns(
-        {"__source": _source_key(F.col("source")), "__order": order, "__range": F.pmod(order, F.lit(_SPLIT))}
+    plain = numbered(docs)
+    doc_id, text, source = (F.col(column_place(docs, c)) for c in ("doc_id", "text", "source"))
+    ranges = max(_LEAST_RANGES, docs.count() // _RANGE_ROWS)
+    order = F.xxhash64(F.lit(seed), doc_id, text)
+    rows = plain.withColumns(
+        {"key": _source_key(source), "size": words_of(text), "order": order, "range": F.pmod(order, F.lit(ranges))}
     )
     counts = stage(
-        rows.groupBy(F.col("__source").alias("source_key"), F.col("__size").alias("size"), F.col("__range").alias("range"))
-        .agg(F.count("*").alias("n")),
-        "lengths",
+        rows.groupBy(F.col("key").alias("source_key"), "size", "range").agg(F.count("*").alias("n")), "lengths"
     )
     lengths = counts.groupBy("source_key", "size").agg(F.sum("n").alias("n"))
     targets = source_targets(lengths)
@@ -178,46 +196,38 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
         F.lit(0),
     )
     # Per hash range: all of it, none of it, or the first ``rest`` of it once more.
-    ranges = (
+    taken = (
         counts.join(chosen, ["source_key", "size"])
         .withColumn("rest", F.greatest(F.lit(0), F.least("n", F.col("more") - before)))
-        .select(
-            F.col("source_key").alias("__source"),
-            F.col("size").alias("__size"),
-            F.col("range").alias("__range"),
-            F.col("passes").alias("__passes"),
-            F.col("rest").alias("__rest"),
-            F.col("n").alias("__n"),
-            F.col("source_size").alias("__source_size"),
-            F.col("target").alias("__target"),
-        )
+        .select(F.col("source_key").alias("key"), "size", "range", "passes", "rest", "n", "source_size", "target")
     )
-    joined = rows.join(stage(ranges, "ranges"), ["__source", "__size", "__range"])
-    whole = joined.where("__rest = 0 OR __rest = __n").withColumn("__once_more", F.col("__rest") > 0)
-    place = F.row_number().over(W.partitionBy("__source", "__size", "__range").orderBy("__order"))
-    partly = joined.where("__rest > 0 AND __rest < __n").withColumn("__once_more", place <= F.col("__rest"))
+    joined = rows.join(stage(taken, "ranges"), ["key", "size", "range"])
+    whole = joined.where("rest = 0 OR rest = n").withColumn("once_more", F.col("rest") > 0)
+    place = F.row_number().over(W.partitionBy("key", "size", "range").orderBy("order"))
+    partly = joined.where("rest > 0 AND rest < n").withColumn("once_more", place <= F.col("rest"))
     return whole.unionByName(partly).select(
-        *docs.columns,
-        "__size",
-        "__source_size",
-        "__target",
-        F.when(F.col("__size") == 0, 1)
-        .otherwise(F.col("__passes") + F.col("__once_more").cast("int"))
-        .alias("__times"),
+        *plain.columns,
+        "size",
+        "source_size",
+        "target",
+        F.when(F.col("size") == 0, 1)
+        .otherwise(F.col("passes") + F.col("once_more").cast("int"))
+        .alias("times"),
     )
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
     return mix(docs.select("doc_id", "text", "source")).select(
-        "doc_id",
-        F.col("__size").alias("size"),
-        F.col("__source_size").alias("source_size"),
-        F.col("__target").alias("target"),
-        (F.col("__size") * F.col("__times")).alias("taken"),
+        F.col("c0").alias("doc_id"),
+        "size",
+        "source_size",
+        "target",
+        (F.col("size") * F.col("times")).alias("taken"),
     )
 
 
 def mixed_rows(docs: DataFrame) -> DataFrame:
     """Each row of ``docs`` as often as the mix takes it."""
-    times = F.explode(F.array_repeat(F.lit(0), F.col("__times")))
-    return mix(docs).where("__times > 0").select(*docs.columns, times.alias("__copy")).drop("__copy")
+    rows = mix(docs).where("times > 0")
+    copies = F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("copy")
+    return rows.select(*rows.columns[: len(docs.columns)], copies).drop("copy").toDF(*docs.columns)
