@@ -29,7 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from captide.llm.common import WordHashes, lowered_words, mix, row_slices, stage, text_column
+from captide.llm.common import (
+    WordHashes,
+    column_place,
+    lowered_words,
+    mix,
+    numbered,
+    row_slices,
+    stage,
+    text_column,
+)
 
 BANDS = 40
 ROWS = 6
@@ -464,16 +473,19 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of near copies: that of the least id, null last.
 
     Rows are told apart by a number of their own, so ids may repeat or be null.  A text
-    without shingles is a group of its own and stays.
+    without shingles is a group of its own and stays.  Other columns may have any name.
     """
-    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    found = near_duplicates(rows, id_column="__row").select(F.col("doc_id").alias("__row"), "component_id")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
+    plain = numbered(docs)
+    doc_id, text = column_place(docs, "doc_id"), column_place(docs, "text")
+    rows = stage(plain.withColumn("row", F.monotonically_increasing_id()), "rows")
+    texts = rows.select("row", F.col(text).alias("text"))
+    found = near_duplicates(texts, id_column="row").select(F.col("doc_id").alias("row"), "component_id")
+    order = F.struct(F.col(doc_id).isNull(), doc_id, "row")
     kept = (
-        rows.select("__row", "doc_id")
-        .join(found, "__row")
+        rows.select("row", doc_id)
+        .join(found, "row")
         .groupBy("component_id")
         .agg(F.min(order).alias("first"))
-        .select(F.col("first.__row").alias("__row"))
+        .select(F.col("first.row").alias("row"))
     )
-    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
+    return rows.join(kept, "row", "left_semi").select(*plain.columns).toDF(*docs.columns)
