@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from captide.llm import bpe, exact, language, minhash, mixing
-from captide.llm.common import crc_fold, documents, stage
+from captide.llm.common import column_place, crc_fold, documents, numbered, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -20,8 +20,11 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Profiles come from the labelled documents outside the held-out fold.
     """
     profiles = language.learn(docs.where(crc_fold("doc_id", 4) != 2))
-    predicted = language.predict(docs, profiles, keep=tuple(docs.columns))
-    return predicted.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
+    rows = numbered(docs)
+    texts = rows.withColumn("text", F.col(column_place(docs, "text")))
+    predicted = language.predict(texts, profiles, keep=tuple(rows.columns))
+    told = predicted.where(F.col("lang_pred") != language.UNKNOWN)
+    return told.select(*rows.columns).toDF(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
