@@ -7,7 +7,8 @@ each page a class holds where its tokens stand in the class's order, time after
 nests with the classes that hold already: each of its rounds lies between two neighbouring
 tokens of theirs, or the other way round.  The classes that hold cut the page into slots.
 
-What is left in the slots is the page's own.  Slots are cut further where an article begins
+What is left in the slots is the page's own.  Inside an article the template takes out whole
+blocks only and no headings, as those of recipes or papers repeat on every page.  Slots are cut further where an article begins
 or ends, or an element that is no part of one by its kind, role or class; these hints choose
 among the slots.  The article's slots give the main text, and on a page without an article
 all do; those of the other elements are left out wherever they stand.
@@ -22,7 +23,10 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +55,7 @@ _BLOCK = frozenset(
     "form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p pre section summary table tbody td tfoot th "
     "thead tr ul".split()
 )
+_HEADING = frozenset("h1 h2 h3 h4 h5 h6 th dt caption figcaption legend summary".split())
 # Words of a class or id that mark what is no part of an article.
 _MARKED = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies "
@@ -59,11 +64,14 @@ _MARKED = frozenset(
 )
 _ROLES = frozenset("alert banner complementary contentinfo dialog form menu navigation search".split())
 
+# What stands in a tag after its name.  A quote that nothing closes is a character like any
+# other, and a tag that nothing closes ends before the next one: nothing is read twice.
+_ATTRIBUTES = r"(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
-    rf"|<(?P<raw>{_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
-    r"|(?P<text>[^<]+|<)",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
+    rf"|<(?P<raw>{_RAW})\b{_ATTRIBUTES}>.*?(?:</(?P=raw)\s*+>|\Z)"
+    rf"|<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*+)(?P<attrs>{_ATTRIBUTES})(?:>|(?=<)|\Z)"
+    r"|(?P<text>[^<]++|<)",
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
@@ -89,60 +97,93 @@ def _apart(name: str, attributes: str) -> bool:
     return False
 
 
+@dataclass(frozen=True)
+class Open:
+    """An open element, whether it is no part of an article, and a hash of the path to it."""
+
+    name: str
+    apart: bool
+    path: int
+
+
+class Token(NamedTuple):
+    """A tag or text of a page; ``label`` is 0 for a text that says nothing."""
+
+    label: int
+    kind: str
+    text: str
+    in_article: bool
+    apart: bool
+    heading: bool
+
+
 class Page:
-    """Tokens of a page in order: ``(token, kind, text, in_article, apart)``."""
+    """Tokens of a page in order."""
 
     def __init__(self, source: str):
-        self.tokens: list[tuple[int, str, str, bool, bool]] = []
+        self.tokens: list[Token] = []
         self.has_article = False
-        open_elements: list[tuple[str, bool]] = []  # name, apart
-        articles = asides = 0
+        self._open: list[Open] = []
+        self._names: Counter[str] = Counter()
+        self._articles = self._asides = self._headings = 0
         for match in _TOKEN.finditer(source):
             name, text = match["name"], match["text"]
             if text is not None:
-                token = 0 if not _TELLING.search(text) else self._token(open_elements, text.strip())
-                self.tokens.append((token, "text", text, articles > 0, asides > 0))
+                self._add("text", text.strip() if _TELLING.search(text) else None, text)
                 continue
             if name is None:
                 continue  # comments, declarations, and elements whose content is no markup
             name, attributes = name.lower(), match["attrs"]
             if match["close"]:
-                if any(e[0] == name for e in open_elements):
-                    while True:
-                        gone, apart = open_elements.pop()
-                        articles -= gone in _ARTICLE
-                        asides -= apart
-                        if gone == name:
-                            break
-                self.tokens.append((self._token(open_elements, "/" + name), name, "", articles > 0, asides > 0))
+                if self._names[name]:
+                    while self._end() != name:
+                        pass
+                self._add(name, "/" + name)
                 continue
             # A new paragraph or item ends an open one.
-            if open_elements and (
-                open_elements[-1][0] == "p" and name in _BLOCK or open_elements[-1][0] == name in ("li", "dt", "dd", "option")
-            ):
-                asides -= open_elements.pop()[1]
-            apart = _apart(name, attributes) or name == "header" and not articles
+            last = self._open[-1].name if self._open else ""
+            if last == "p" and name in _BLOCK or last == name and name in ("li", "dt", "dd", "option"):
+                self._end()
+            apart = _apart(name, attributes) or name == "header" and not self._articles
             # Containers of the whole page are never taken out, whatever their class.
             apart = apart and name not in ("html", "body") and name not in _ARTICLE or name in _ARTICLE and _apart("", attributes)
-            token = self._token(open_elements, f"{name} {attributes if 'href' not in attributes else ''}")
+            label = f"{name} {attributes if 'href' not in attributes else ''}"
+            before = self._path()
             if name not in _VOID and not attributes.rstrip().endswith("/"):
-                open_elements.append((name, apart))
-                articles += name in _ARTICLE
-                asides += apart
-                self.has_article |= name in _ARTICLE and not asides
-            self.tokens.append((token, name, "", articles > 0, asides > 0))
-
-    @staticmethod
-    def _token(path: list[tuple[str, bool]], label: str) -> int:
-        names = "/".join(e[0] for e in path if e[0] in _BLOCK)
-        return (xxhash.xxh3_64_intdigest(f"{names}|{label}") >> 1) or 1
+                self._begin(name, apart)
+                self.has_article |= name in _ARTICLE and not self._asides
+            self._add(name, label, path=before)
+
+    def _path(self) -> int:
+        return self._open[-1].path if self._open else 0
+
+    def _begin(self, name: str, apart: bool) -> None:
+        path = xxhash.xxh3_64_intdigest(f"{self._path()}/{name}") if name in _BLOCK else self._path()
+        self._open.append(Open(name, apart, path))
+        self._names[name] += 1
+        self._articles += name in _ARTICLE
+        self._asides += apart
+        self._headings += name in _HEADING
+
+    def _end(self) -> str:
+        gone = self._open.pop()
+        self._names[gone.name] -= 1
+        self._articles -= gone.name in _ARTICLE
+        self._asides -= gone.apart
+        self._headings -= gone.name in _HEADING
+        return gone.name
+
+    def _add(self, kind: str, label: str | None, text: str = "", path: int | None = None) -> None:
+        path = self._path() if path is None else path
+        told = 0 if label is None else (xxhash.xxh3_64_intdigest(f"{path}|{label}") >> 1) or 1
+        self.tokens.append(Token(told, kind, text, self._articles > 0, self._asides > 0, self._headings > 0))
 
     def places(self) -> dict[int, list[int]]:
         """Where each token stands."""
         found: dict[int, list[int]] = {}
-        for at, (token, *_) in enumerate(self.tokens):
-            if token:
-                found.setdefault(token, []).append(at)
+        for at, token in enumerate(self.tokens):
+            if token.label:
+                found.setdefault(token.label, []).append(at)
         return found
 
     def template(self, classes: list[list[int]]) -> set[int]:
@@ -159,25 +200,33 @@ class Page:
         return {at for rounds in held for at in rounds.ravel().tolist()}
 
     def text(self, classes: list[list[int]]) -> str:
-        """Main text, given the classes of the host's template."""
+        """Main text, given the classes of the host's template.
+
+        Inside an article the template takes out whole blocks only, notices and the like,
+        and never a heading: a text that repeats beside the page's own words is kept.
+        """
         template = self.template(classes)
         blocks: list[str] = []
-        block: list[str] = []
+        block: list[tuple[str, bool]] = []
+        spare = False
 
         def end_block() -> None:
-            words = " ".join("".join(block).split())
+            nonlocal spare
+            words = " ".join("".join([text for text, repeats in block if spare or not repeats]).split())
             if words:
                 blocks.append(words)
             block.clear()
-
-        for at, (_, kind, text, in_article, apart) in enumerate(self.tokens):
-            if kind == "text":
-                chosen = not apart and (in_article or not self.has_article)
-                if chosen and at not in template:
-                    block.append(html.unescape(text))
-            elif kind == "br":
-                block.append("\n")
-            elif kind in _BLOCK:
+            spare = False
+
+        for at, token in enumerate(self.tokens):
+            if token.kind == "text":
+                if not token.apart and (token.in_article or not self.has_article):
+                    repeats = at in template
+                    block.append((html.unescape(token.text), repeats))
+                    spare |= token.in_article and (token.heading or not repeats and bool(_TELLING.search(token.text)))
+            elif token.kind == "br":
+                block.append(("\n", False))
+            elif token.kind in _BLOCK:
                 end_block()
         end_block()
         return "\n\n".join(blocks)

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -155,11 +156,48 @@ def test_template_cuts_articles_and_tells_classes_apart(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     found = {r.page_id: r.text.split("\n\n") for r in templates.main_text(pages).collect()}
     for i in range(30):
-        assert found[i] == [f"Own {i}", *[f"By {i} and {k}" for k in range(1 + i % 3)], *["Mostly here"] * (i > 0)]
+        # A repeated text beside the page's own words in one block of an article stays.
+        notes = [f"By {i} and {k}All rights kept" for k in range(1 + i % 3)]
+        assert found[i] == [f"Own {i}", *notes, *["Mostly here"] * (i > 0)]
     # Tokens out of their class's order are no template there; those still in order are.
     assert found[99] == ["Own s", "All rights keptBy s"]
 
 
+def test_headings_and_mixed_blocks_of_articles_stay(spark):
+    page = (
+        "<body><nav><a href=/>Home</a></nav><article><h1>Recipe {0}</h1><p>By {0}, <b>for four</b></p><h2>Ingredients</h2>"
+        "<ul><li>egg {0}</li></ul><h2>Method</h2><p>Boil {0}.</p><table><tr><th>Time</th><td>{0} min</td></tr></table>"
+        "<p>Sign up for our letter</p></article><p>Imprint</p></body>"
+    )
+    pages = spark.createDataFrame([(i, f"http://r/{i}", page.format(i)) for i in range(8)], "page_id long, url string, html string")
+    found = {r.page_id: r.text.split("\n\n") for r in templates.main_text(pages).collect()}
+    for i in range(8):
+        assert found[i] == [
+            f"Recipe {i}", f"By {i}, for four", "Ingredients", f"egg {i}", "Method", f"Boil {i}.", "Time", f"{i} min"
+        ]
+
+
+@pytest.mark.parametrize(
+    "part", ["<a ", "<a '", '<a x="', "<!", "<div>", "<b></i>", "<script ", "<a \"<a' ", "</script   ", "<p class=", "&amp;", "<"]
+)
+def test_pages_are_read_in_one_pass(part):
+    times = []
+    for size in (200_000, 1_000_000):
+        source = part * (size // len(part)) + '"'
+        start = time.process_time()
+        templates.Page(source).text([])
+        times.append(time.process_time() - start)
+    assert times[1] < 20 * times[0] + 1
+
+
+def test_unclosed_tags_and_quotes(spark):
+    text = lambda source: templates.Page(source).text([])
+    assert text("<p>one <b two</b> three") == "one three"
+    assert text('<p>one<a title="x>y">two</a> <i title="z>three</i>') == "onetwo three"
+    assert text("<p a='>'>x < y</p><!doctype><?php?>z") == "x < y\n\nz"
+    assert text("<p>a<") == "a<"
+
+
 def test_exact_duplicates_of_awkward_texts(docs_of):
     found = by_id(exact.exact_duplicates(docs_of(*AWKWARD)))
     assert [(found[i].keep_id, found[i].group_size) for i in range(1, 8)] == [
