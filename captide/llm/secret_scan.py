@@ -69,43 +69,51 @@ def _span(kind: str, start: Column, stop: Column) -> Column:
     )
 
 
-def marked(text: Column, pattern: str, group: int = 0) -> Column:
-    """``start, value, match`` of every leftmost match, in order."""
-    nothing = F.array().cast("array<struct<start:int,match:string,value:string>>")
-    cut = F.split(F.regexp_replace(text, pattern, f"{_OPEN}$0{_VALUE}${group}{_CLOSE}"), f"[{_OPEN}{_CLOSE}]")
+def _starts(lengths: Column) -> Column:
+    """Where each part begins, from the lengths of all: sums over 1, 2, 4 and more parts before it.
+
+    The rounds grow with the logarithm of the parts, each passing over them once.
+    """
+
+    def doubled(sums: Column, k: Column) -> Column:
+        reach = F.pow(F.lit(2.0), k).cast("int")
+        return F.transform(sums, lambda n, at: n + F.when(at >= reach, F.get(sums, at - reach)).otherwise(0))
+
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(lengths).cast("double"))).cast("int"))
+    return F.zip_with(F.aggregate(rounds, lengths, doubled), lengths, lambda end, n: end - n)
+
+
+def _placed(parts: Column, odd: bool) -> Column:
+    """``start, match, value`` of the parts at odd or even places of a text cut at its matches."""
+
+    def used(part: Column, at: Column) -> Column:
+        return F.when(at % 2 == 1, F.substring_index(part, _VALUE, 1)).otherwise(part)
 
-    def step(state: Column, part: Column) -> Column:
-        match = F.substring_index(part, _VALUE, 1)
-        value = F.substring_index(part, _VALUE, -1)
-        row = F.struct(state["at"].alias("start"), match.alias("match"), value.alias("value"))
-        return F.struct(
-            (state["at"] + F.length(F.when(state["inside"], match).otherwise(part))).alias("at"),
-            (~state["inside"]).alias("inside"),
-            F.when(state["inside"], F.concat(state["found"], F.array(row)))
-            .otherwise(state["found"])
-            .alias("found"),
+    def rows(starts: Column) -> Column:
+        each = F.transform(
+            parts,
+            lambda part, at: F.struct(
+                F.get(starts, at).alias("start"),
+                used(part, at).alias("match"),
+                F.substring_index(part, _VALUE, -1).alias("value"),
+            ),
         )
+        return F.filter(each, lambda _, at: at % 2 == int(odd))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("inside"), nothing.alias("found"))
-    return bound(
-        cut, lambda parts: F.when(F.size(parts) > 1, F.aggregate(parts, start, step)["found"]).otherwise(nothing)
-    )
+    return bound(_starts(F.transform(parts, lambda part, at: F.length(used(part, at)))), rows)
+
+
+def marked(text: Column, pattern: str, group: int = 0) -> Column:
+    """``start, match, value`` of every leftmost match, in order; work grows with the matches."""
+    nothing = F.array().cast("array<struct<start:int,match:string,value:string>>")
+    cut = F.split(F.regexp_replace(text, pattern, f"{_OPEN}$0{_VALUE}${group}{_CLOSE}"), f"[{_OPEN}{_CLOSE}]")
+    return bound(cut, lambda parts: F.when(F.size(parts) > 1, _placed(parts, odd=True)).otherwise(nothing))
 
 
 def between(text: Column, pattern: str) -> Column:
     """``start, match`` of what stands before, between and after the matches of a pattern."""
-    nothing = F.array().cast("array<struct<start:int,match:string>>")
-
-    def step(state: Column, part: Column) -> Column:
-        row = F.struct(state["at"].alias("start"), part.alias("match"))
-        return F.struct(
-            (state["at"] + F.length(part)).alias("at"),
-            (~state["free"]).alias("free"),
-            F.when(state["free"], F.concat(state["found"], F.array(row))).otherwise(state["found"]).alias("found"),
-        )
-
-    start = F.struct(F.lit(0).alias("at"), F.lit(True).alias("free"), nothing.alias("found"))
-    return F.aggregate(F.split(F.regexp_replace(text, pattern, f"{_OPEN}$0{_OPEN}"), _OPEN), start, step)["found"]
+    cut = F.split(F.regexp_replace(text, pattern, f"{_OPEN}$0{_OPEN}"), _OPEN)
+    return bound(cut, lambda parts: _placed(parts, odd=False))
 
 
 def base_spans(text: Column, kind: str) -> Column:
