@@ -5,7 +5,8 @@ words the mean of its words (absent ones as zero), and a softmax over that mean
 window's label.  The n-gram vectors and the softmax are trained together, in numpy, on a bounded sample.  A
 misspelt word shares most n-grams with its model and so lands near it.  A document scores
 as its worst window, so a long text does not dilute a short outburst; training sees a
-document the same way.
+document the same way, with all its windows.  Both labels weigh the same in training, so a
+score is a probability as if they were equally common.
 
 Because averaging and the linear layer commute, a trained model gives each word one number
 and a window's logit is the mean over its words: scoring is one pass over whole texts.
@@ -15,7 +16,9 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +31,14 @@ BUCKETS = 1 << 17
 DIMENSIONS = 8
 NGRAMS = (3, 4, 5, 6)
 WINDOW = 32
-# Bounds of the training sample: documents per label, and windows per document.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_WINDOWS = 2000, 6000, 12
-_STEPS, _WARM_UP, _RATE = 60, 20, 0.2
+# Scored windows overlap by half, so that a passage on the edge of one is inside another.
+HALF = WINDOW // 2
+# Bounds of the training sample: documents per label.
+SAMPLE_TOXIC, SAMPLE_CLEAN = 2000, 6000
+# Words whose n-grams are made together.
+_WORDS_AT_ONCE = 20_000
+_STEPS, _WARM_UP = 60, 20
+_RATE, _MOMENTUM, _DECAY, _OUTPUT_RATE = 1.0, 0.9, 0.02, 0.05
 _DOCUMENTS_AT_ONCE = 200
 # Weight of the prior against an n-gram, in documents.
 PRIOR_DOCUMENTS = 10
@@ -42,9 +50,58 @@ def words_of(text: str) -> list[str]:
     return _WORDS(text.lower())
 
 
-def windows_of(words: list[str]) -> list[list[str]]:
-    """A text's windows as bags of distinct words: a word repeated all over counts once in each."""
-    return [list(dict.fromkeys(words[at : at + WINDOW])) for at in range(0, len(words), WINDOW)]
+@dataclass(frozen=True)
+class Windows:
+    """Windows of many texts as bags of distinct words: a word repeated all over counts once in each.
+
+    ``word`` and ``window`` are parallel: a word's number and the window it is in.
+    ``first`` is each text's first window; a text without a word has one empty window.
+    """
+
+    word: np.ndarray
+    window: np.ndarray
+    first: np.ndarray
+    count: int
+
+    @classmethod
+    def apart(cls, codes: np.ndarray, lengths: np.ndarray) -> Windows:
+        """Windows side by side, which hold each word of a text once: those that training uses."""
+        place = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        counts = np.maximum(1, -(-lengths // WINDOW))
+        first = np.cumsum(counts) - counts
+        span = int(codes.max(initial=0)) + 1
+        bags = np.unique((np.repeat(first, lengths) + place // WINDOW) * span + codes)
+        return cls(bags % span, (bags // span).astype(np.int32), first, int(counts.sum()))
+
+    @classmethod
+    def of(cls, codes: np.ndarray, lengths: np.ndarray) -> Windows:
+        """Windows that overlap by half, from the word numbers of all texts and the texts' lengths."""
+        text = np.repeat(np.arange(len(lengths)), lengths)
+        place = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        # Where in its text a word stood before, or -1.
+        key = text * (int(codes.max(initial=0)) + 1) + codes
+        order = np.argsort(key, kind="stable")
+        again = key[order[1:]] == key[order[:-1]]
+        before = np.full(len(codes), -1)
+        before[order[1:][again]] = place[order[:-1][again]]
+        counts = np.maximum(1, -(-lengths // HALF) - 1)
+        first = np.cumsum(counts) - counts
+        # A window is two halves; a word counts in it if it did not stand in it before.
+        half = place // HALF
+        own = (before < half * HALF) & (half < counts[text])
+        last = (before < (half - 1) * HALF) & (half > 0)
+        return cls(
+            np.concatenate((codes[own], codes[last])),
+            np.concatenate(((first[text] + half)[own], (first[text] + half - 1)[last])).astype(np.int32),
+            first,
+            int(counts.sum()),
+        )
+
+
+def ngrams_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``word_ngrams`` of many words, some at a time."""
+    parts = [word_ngrams(words[at : at + _WORDS_AT_ONCE]) for at in range(0, len(words), _WORDS_AT_ONCE)]
+    return tuple(np.concatenate(column) for column in zip(*parts, strict=True))
 
 
 def word_ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -93,20 +150,23 @@ class Scorer:
     def __init__(self, model: Model):
         self._model, self._known = model, {}
 
-    def learn_words(self, words: set[str]) -> None:
+    def learn_words(self, words: Iterable[str]) -> None:
         if len(self._known) > _CACHE_WORDS:
             self._known.clear()
         new = [w for w in words if w not in self._known]
         self._known.update(zip(new, self._model.word_logits(new).tolist(), strict=True))
 
-    def score(self, text: str) -> float:
-        words = words_of(text)
-        self.learn_words(set(words))
-        known = self._known
-        worst = max(
-            (sum(map(known.__getitem__, bag)) / WINDOW for bag in windows_of(words)), default=0.0
-        )
-        return float(1 / (1 + np.exp(-np.clip(worst + self._model.bias, -60, 60))))
+    def score_all(self, texts: list[str]) -> np.ndarray:
+        """Scores of texts: of each the worst window's probability."""
+        split = [words_of(t) for t in texts]
+        numbers: dict[str, int] = {}
+        codes = np.array([numbers.setdefault(w, len(numbers)) for words in split for w in words], np.int64)
+        self.learn_words(numbers)
+        value = np.array([self._known[w] for w in numbers])
+        windows = Windows.of(codes, np.array([len(words) for words in split], np.int64))
+        sums = np.bincount(windows.window, value[windows.word] if len(value) else None, windows.count)
+        worst = np.maximum.reduceat(sums, windows.first) / WINDOW if len(texts) else np.empty(0)
+        return 1 / (1 + np.exp(-np.clip(worst + self._model.bias, -60, 60)))
 
 
 def _document_counts(
@@ -128,90 +188,74 @@ def _document_counts(
     return counts
 
 
-def train(windows: list[list[str]], document: np.ndarray, labels: np.ndarray, seed: int = 5) -> Model:
-    """Joint gradient descent with momentum on the n-gram vectors and the softmax.
+def train(
+    vocabulary: list[str], windows: Windows, document: np.ndarray, labels: np.ndarray, seed: int = 5
+) -> Model:
+    """Joint gradient descent on the n-gram vectors and the softmax.
 
     ``document`` gives each window's document, ``labels`` each document's label.  After a
     warm-up on all windows, a toxic document learns from its worst window, a clean one
-    from its worst and, with half the weight, all others.
+    from its worst and, with half the weight, all others.  With two labels the gradient of a
+    vector lies along the difference of the output rows; it is scaled by the n-gram's curvature.
     """
-    vocabulary: dict[str, int] = {}
-    words = np.array([vocabulary.setdefault(w, len(vocabulary)) for win in windows for w in win], np.int64)
-    owner = np.repeat(np.arange(len(windows)), [len(win) for win in windows])
-    grams, gram_counts = word_ngrams(list(vocabulary))
+    words, owner = windows.word.astype(np.int32), windows.window
+    grams, gram_counts = ngrams_of(vocabulary)
     gram_word = np.repeat(np.arange(len(vocabulary), dtype=np.int32), gram_counts)
+    starts = np.cumsum(gram_counts) - gram_counts
     per_document = np.bincount(document, minlength=len(labels)).astype(float)
     window_label = labels[document]
-    # An n-gram's evidence: in how many documents it is, and its usual share of one.
+    # An n-gram's evidence: in how many documents it is, and its usual share of a window.
     documents = _document_counts(words, document[owner], grams, gram_word, len(vocabulary))
-    share_of_word = np.bincount(words, (1 / WINDOW / per_document[document])[owner], len(vocabulary)) / gram_counts
-    usual = np.bincount(grams, share_of_word[gram_word], BUCKETS) / np.maximum(documents, 1)
-    curvature = np.maximum((documents + PRIOR_DOCUMENTS) * usual**2, 1e-30)
+    times = np.bincount(words, minlength=len(vocabulary)).astype(float)
+    share = np.bincount(grams, (times / WINDOW / gram_counts)[gram_word], BUCKETS)
+    usual = share / np.maximum(np.bincount(grams, times[gram_word], BUCKETS), 1)
+    # All n-grams of a window move at once; as their shares add up to one at most, a share,
+    # not its square, bounds how the loss bends along each of them.
+    curvature = np.maximum((documents + PRIOR_DOCUMENTS) * usual / 4, 1e-30)
     shrink = PRIOR_DOCUMENTS / (documents + PRIOR_DOCUMENTS)
 
     random = np.random.default_rng(seed)
     vectors = random.normal(0, 0.1, (BUCKETS, DIMENSIONS))
     # Two output rows and their biases; clean is row 0.
     output, bias = random.normal(0, 0.3, (2, DIMENSIONS)), np.zeros(2)
-
-    def logits() -> np.ndarray:
-        by_gram = vectors @ output.T
-        columns = []
-        for k in (0, 1):
-            by_word = np.bincount(gram_word, by_gram[grams, k], len(vocabulary)) / gram_counts
-            columns.append(np.bincount(owner, by_word[words], len(windows)) / WINDOW + bias[k])
-        return np.stack(columns, axis=1)
+    moved = np.zeros_like(vectors)
+    # Both labels weigh the same, however many documents have them.
+    balance = len(labels) / 2 / np.maximum(np.bincount(labels, minlength=2), 1)
 
     for step in range(1, _STEPS + 1):
-        z = logits()
-        toxic = 1 / (1 + np.exp(-np.clip(z[:, 1] - z[:, 0], -60, 60)))
+        contrast = output[1] - output[0]
+        by_gram = (vectors @ contrast).astype(np.float32)
+        by_word = np.add.reduceat(by_gram[grams], starts) / gram_counts
+        logit = np.bincount(owner, by_word[words], windows.count) / WINDOW + bias[1] - bias[0]
+        toxic = 1 / (1 + np.exp(-np.clip(logit, -60, 60)))
         weight = 1 / per_document[document]
         if step > _WARM_UP:
-            order = np.lexsort((toxic, document))
+            order = np.lexsort((logit, document))
             last = np.flatnonzero(np.append(np.diff(document[order]) != 0, True))
-            worst = np.zeros(len(windows), bool)
+            worst = np.zeros(windows.count, bool)
             worst[order[last]] = True
             weight = np.where(worst, 1.0, np.where(window_label == 1, 0.0, weight))
+        weight = weight * balance[window_label]
         # Softmax over two labels: the errors of the rows are opposite.
         error = (toxic - window_label) * weight
         by_word = np.bincount(words, (error / WINDOW)[owner], len(vocabulary)) / gram_counts
-        by_gram = np.bincount(grams, by_word[gram_word], BUCKETS)
+        gradient = np.bincount(grams, by_word[gram_word], BUCKETS)
         # Each n-gram moves by its gradient over its curvature, with a prior of documents
         # that speak for zero, so those of a few texts cannot be memorised.
-        contrast = output[1] - output[0]
-        direction = contrast / (contrast @ contrast)
-        pull = (by_gram / curvature) @ vectors
-        vectors -= _RATE * (np.outer(by_gram / curvature, direction) + shrink[:, None] * vectors)
-        pull /= max(1e-12, np.abs(pull).max())
-        output -= _RATE * 0.1 * np.stack([-pull, pull])
-        bias -= _RATE * np.array([-1.0, 1.0]) * error.sum() / weight.sum() * 2
+        towards = gradient @ vectors / weight.sum()
+        scaled = np.outer(gradient / curvature, contrast / (contrast @ contrast))
+        moved = _MOMENTUM * moved + scaled + _DECAY * shrink[:, None] * vectors
+        vectors -= _RATE * moved
+        output -= _OUTPUT_RATE * np.stack([-towards, towards])
+        bias -= np.array([-1.0, 1.0]) * error.sum() / weight.sum()
     return Model(vectors @ (output[1] - output[0]), float(bias[1] - bias[0]))
 
 
-def _sampled():
-    """``doc_id, toxic, text`` to at most ``SAMPLE_WINDOWS`` windows a document, evenly spaced."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for doc, toxic, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                windows = windows_of(words_of(text))
-                take = np.linspace(0, len(windows) - 1, min(SAMPLE_WINDOWS, len(windows)))
-                rows += [(doc, toxic, " ".join(windows[round(k)])) for k in take.tolist()]
-            doc, toxic, window = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.record_batch(
-                [pa.array(doc, pa.int64()), pa.array(toxic, pa.int32()), pa.array(window, pa.string())],
-                ["doc_id", "toxic", "window"],
-            )
-
-    return run
-
-
 def learn(docs: DataFrame, labels: DataFrame, seed: int = 5) -> Model:
     """A model from ``doc_id, text`` and ``doc_id, toxic``.
 
-    The sample is bounded by its three constants and taken by a hash of the id, so the
-    driver never holds more, whatever the tables' size.  Null labels teach nothing, nor do
+    The sample is bounded in rows by its two constants and taken by a hash of the id; of
+    its rows the whole text teaches.  Null labels teach nothing, nor do
     ids with both labels.  Without examples of both labels the model scores everything 0.5
     or below.
     """
@@ -231,21 +275,26 @@ def learn(docs: DataFrame, labels: DataFrame, seed: int = 5) -> Model:
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
         .join(sample, "doc_id")
         .select("doc_id", "toxic", "text")
-        .mapInArrow(_sampled(), "doc_id long, toxic int, window string")
-        .orderBy("doc_id", "window")
+        .orderBy("doc_id", "text")
         .toArrow()
     )
-    ids, document = np.unique(rows["doc_id"].to_numpy(), return_inverse=True)
+    ids, text_document = np.unique(rows["doc_id"].to_numpy(), return_inverse=True)
     labels_found = np.zeros(len(ids), np.int64)
-    labels_found[document] = rows["toxic"].to_numpy()
+    labels_found[text_document] = rows["toxic"].to_numpy()
     if len(set(labels_found.tolist())) < 2:
         return Model(np.zeros(BUCKETS), -1.0)
-    windows = [w.split(" ") for w in rows["window"].to_pylist()]
-    model = train(windows, document, labels_found, seed)
-    # The sample holds relatively more toxic documents than the labels do.
-    clean, toxic = (max(1, known.where(f"toxic = {k}").count()) for k in (0, 1))
-    drawn = np.bincount(labels_found, minlength=2)
-    return Model(model.ngram_logits, model.bias + float(np.log(toxic / clean * drawn[0] / drawn[1])))
+    numbers: dict[str, int] = {}
+    codes, lengths = array("i"), []
+    # One text at a time, so that only distinct words are held as strings.
+    for text in rows["text"]:
+        found = [numbers.setdefault(w, len(numbers)) for w in words_of(text.as_py())]
+        codes.extend(found)
+        lengths.append(len(found))
+    windows = Windows.apart(np.frombuffer(codes, np.int32).astype(np.int64), np.array(lengths, np.int64))
+    if not numbers:
+        return Model(np.zeros(BUCKETS), -1.0)
+    document = np.repeat(text_document, np.diff(np.append(windows.first, windows.count)))
+    return train(list(numbers), windows, document, labels_found, seed)
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -264,10 +313,7 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
         scorer = Scorer(*shared(trained))
         for whole in batches:
             for batch in row_slices(whole, column=at):
-                texts = batch.column(at).to_pylist()
-                # All new words of a slice are looked up together.
-                scorer.learn_words({w for t in texts for w in words_of(t)})
-                scores = pa.array([scorer.score(t) for t in texts], pa.float64())
+                scores = pa.array(scorer.score_all(batch.column(at).to_pylist()), pa.float64())
                 yield pa.record_batch([*batch.columns[:at], scores], names=[*batch.schema.names[:at], "score"])
 
     scored = source.mapInArrow(run, ", ".join([*fields, "score double"]))

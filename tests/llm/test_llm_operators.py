@@ -458,6 +458,48 @@ def test_toxicity_learns_words_and_misspellings(spark, docs_of):
     assert [found[i].predicted for i in range(1, 6)] == [0, 0, 1, 1, 0]
 
 
+def test_windows_are_bags_of_distinct_words():
+    random = np.random.default_rng(4)
+    lengths = np.array([0, 1, 15, 16, 17, 31, 32, 33, 48, 49, 100, 0, 333])
+    codes = random.integers(0, 12, lengths.sum())
+    for build, step in ((toxicity.Windows.of, toxicity.HALF), (toxicity.Windows.apart, toxicity.WINDOW)):
+        windows = build(codes, lengths)
+        found = [set() for _ in range(windows.count)]
+        for word, window in zip(windows.word.tolist(), windows.window.tolist(), strict=True):
+            assert word not in found[window]
+            found[window].add(word)
+        expected, first = [], []
+        for start, n in zip(np.cumsum(lengths) - lengths, lengths, strict=True):
+            text = codes[start : start + n].tolist()
+            first.append(len(expected))
+            last = n - toxicity.HALF if step == toxicity.HALF else n
+            expected += [set(text[at : at + toxicity.WINDOW]) for at in range(0, max(1, last), step)]
+        assert found == expected and windows.first.tolist() == first
+
+
+def test_toxicity_scores_match_a_plain_scorer(spark, sf_dir):
+    """Each word by its own n-grams, each window word by word, each text by its worst window."""
+    random = np.random.default_rng(6)
+    model = toxicity.Model(random.normal(0, 30, toxicity.BUCKETS), -1.5)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "!!"), (-4, "one " * 500), (-5, LONG)], docs.schema)
+    docs = docs.limit(60).union(odd)
+
+    def plain(text):
+        words, step = toxicity.words_of(text or ""), toxicity.HALF
+        logit = {w: float(model.ngram_logits[toxicity.word_ngrams([w])[0]].mean()) for w in set(words)}
+        sums = [
+            sum(logit[w] for w in set(words[at : at + toxicity.WINDOW]))
+            for at in range(0, max(1, len(words) - step), step)
+        ]
+        return 1 / (1 + math.exp(-max(-60, min(60, max(sums) / toxicity.WINDOW + model.bias))))
+
+    found = by_id(toxicity.score(docs.repartition(3), model))
+    for r in docs.collect():
+        assert math.isclose(found[r.doc_id].score, plain(r.text), rel_tol=1e-9, abs_tol=1e-12)
+        assert found[r.doc_id].predicted == int(found[r.doc_id].score >= 0.5)
+
+
 def test_fingerprints_match_sets_of_paragraphs(spark, sf_dir, docs_of):
     many = "\n".join(f"line {i % 700}" for i in range(1500))
     tables = [docs_of(None, "", "a\nb\nb\nc", many, many + "\nlast", "x" * 5000, "a\nb\nb\nc"),
