@@ -32,7 +32,7 @@ class TooManyRemovals(RuntimeError):
 def metadata_source(labels: DataFrame, infos: DataFrame) -> DataFrame:
     """Landed metadata of ids that are only touched this run."""
     filled = infos.where("has_info")
-    return diff.rows_in(filled, diff.with_label(labels, diff.TOUCH)).withColumn("seq", F.lit(0))
+    return diff.rows_of(filled, diff.with_label(labels, diff.TOUCH)).withColumn("seq", F.lit(0))
 
 
 def run_refresh(
@@ -60,7 +60,7 @@ def run_refresh(
     scheduled = diff.with_label(labels, diff.NEW, diff.RETRY)
     described = (diff.NEW, diff.RETRY, diff.TOUCH) if refresh_metadata else (diff.NEW, diff.RETRY)
     readable = landed.readable(landed.infos)
-    infos = stage(diff.rows_in(readable, diff.with_label(labels, *described)), "infos")
+    infos = stage(diff.rows_of(readable, diff.with_label(labels, *described)), "infos")
     chosen, outcomes, fetched = staged_outcomes(landed, scheduled, infos)
     result = summaries.refresh_counts({**counts, **fetched})
 

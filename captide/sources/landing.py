@@ -147,7 +147,7 @@ def joined_texts(chosen: DataFrame, texts: DataFrame) -> DataFrame:
     ``chosen`` is staged, so its size is known and a small one is broadcast; beyond that
     a filter of its files is made at run time and applied to the texts as they are read.
     """
-    named = chosen.where(F.col("file").isNotNull()).join(texts, "file")
+    named = chosen.where(F.col("file") != "").join(texts, "file")
     empty = chosen.where(F.col("file").isNull()).withColumn("raw_vtt", F.lit(""))
     return named.select(*chosen.columns, "raw_vtt").unionByName(empty)
 

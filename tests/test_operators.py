@@ -200,3 +200,29 @@ def test_repeated_ids_are_merged_before_they_are_shuffled(spark):
             frame.count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_small_id_lists_filter_large_tables_before_they_are_shuffled(spark):
+    from captide.sources import landing
+    from captide.sources.staging import stage
+
+    labels = stage(spark.range(50).selectExpr("cast(id as string) video_id", "if(id < 9, 'new', 'touch') label"), "labels")
+    texts = stage(spark.range(500).selectExpr("cast(id as string) video_id", "cast(id as string) file", "'x' raw_vtt"), "texts")
+    chosen = stage(labels.where("label = 'new'").selectExpr("video_id", "'en' source_language", "video_id file"), "chosen")
+    bloom = "spark.sql.optimizer.runtime.bloomFilter"
+    settings = {
+        f"{bloom}.applicationSideScanSizeThreshold": "1", f"{bloom}.creationSideThreshold": "1MB",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        of_new = diff.rows_of(texts, diff.with_label(labels, diff.NEW))
+        loaded = landing.joined_texts(chosen, texts.select("file", "raw_vtt"))
+        for rows, found in ((of_new, 9), (loaded, 9)):
+            plan = rows._jdf.queryExecution().optimizedPlan().toString()
+            assert "might_contain" in plan and rows.count() == found
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
