@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from captide.functions.text import is_blank
-from captide.schema import FETCH_STATUSES, KEYS, REQUIRED, SCHEMAS, VIDEOS
+from captide.schema import FETCH_STATUSES, KEYS, PART, REQUIRED, SCHEMAS, VIDEOS
 
 # Leftovers that must not appear in cleaned text.  Digits and white
 # space are ASCII here, unlike in cleaning.
@@ -120,6 +120,36 @@ def repeated_keys(table: str, rows: DataFrame) -> DataFrame:
     return rows.groupBy(*KEYS[table]).count().where("count > 1")
 
 
+def partition_fingerprints(table: str, rows: DataFrame) -> DataFrame:
+    """Per partition of a table the number of its keys and two order-free marks of them.
+
+    The marks are a sum and an exclusive or over a hash of each key: the same rows in any
+    order and any files give the same, a repeated, missing or other key does not.
+    """
+    digest = F.md5(F.concat_ws("\x01", *[F.col(k) for k in KEYS[table]]).cast("binary"))
+    mark = F.conv(F.substring(digest, 1, 12), 16, 10).cast("long")
+    return (
+        rows.select(PART, mark.alias("mark"))
+        .groupBy(PART)
+        .agg(
+            F.count("*").alias("n"),
+            F.bit_xor("mark").alias("folded"),
+            F.sum(F.col("mark").cast("decimal(38,0)")).cast("string").alias("total"),
+        )
+    )
+
+
+def changed_partitions(before: DataFrame, now: DataFrame) -> DataFrame:
+    """Partitions whose fingerprints differ, with the numbers of keys on both sides."""
+    marks = ("n", "folded", "total")
+    both = before.select(PART, F.struct(*marks).alias("was")).join(
+        now.select(PART, F.struct(*marks).alias("is")), PART, "full_outer"
+    )
+    return both.where(~F.col("was").eqNullSafe(F.col("is"))).select(
+        PART, F.coalesce("was.n", F.lit(0)).alias("keys_before"), F.coalesce("is.n", F.lit(0)).alias("keys_now")
+    )
+
+
 def checked_columns(table: str) -> list[Column]:
     """A table's columns, where reading a value the table does not allow is an error."""
     columns = []

@@ -22,7 +22,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from captide.operators.merge import timestamp
-from captide.operators.quality import ConstraintViolation, checked_columns, repeated_keys
+from captide.operators.quality import (
+    ConstraintViolation,
+    changed_partitions,
+    checked_columns,
+    partition_fingerprints,
+    repeated_keys,
+)
 from captide.schema import BRONZE, KEYS, PART, PART_KEYS, RUN_LOG, SCHEMAS, SILVER
 from captide.sources.staging import stage, stage_counted
 
@@ -121,9 +127,7 @@ class Store:
 
     def read_for(self, table: str, ids: DataFrame) -> DataFrame:
         """Rows of the partitions that listed videos belong to; few ids read little of a large table."""
-        found = ids.select(part_of(table, self.parts[table])).distinct().collect()  # one row per partition
-        rows = self.partitioned(table)
-        return (rows.where(F.col(PART).isin([r[PART] for r in found])) if found else rows.limit(0)).drop(PART)
+        return self._in_parts(table, self._parts_of(ids.select(part_of(table, self.parts[table])))).drop(PART)
 
     def tables(self) -> dict[str, DataFrame]:
         return {t: self.read(t) for t in SCHEMAS}
@@ -172,19 +176,20 @@ class Store:
 
     def insert(self, table: str, staged: DataFrame) -> None:
         """Append staged rows, whose keys must be new."""
-        keys = list(KEYS[table])
-        held = self._of_parts(table, staged).join(staged.select(*keys), keys, "left_semi")
+        keys, parts = list(KEYS[table]), self._parts_of(staged)
+        held = self._in_parts(table, parts).join(staged.select(*keys), keys, "left_semi")
         if not held.isEmpty():
             raise ConstraintViolation(f"{table}: keys already present")
         self._write(table, staged, overwrite=False)
+        self._record(table, parts)
 
     def replace(self, table: str, staged: DataFrame) -> None:
         """Put staged rows in the place of stored ones with equal keys; new keys are appended.
 
         Only the partitions that hold such a key are written again.
         """
-        keys = list(KEYS[table])
-        stored = self._of_parts(table, staged)
+        keys, parts = list(KEYS[table]), self._parts_of(staged)
+        stored = self._in_parts(table, parts)
         # At most one row per partition of the table.
         hits = stored.join(staged.select(*keys), keys, "left_semi").select(PART).distinct().collect()
         touched = F.col(PART).isin([r[PART] for r in hits])
@@ -194,13 +199,41 @@ class Store:
         fresh = staged.where(~touched) if hits else staged
         if not fresh.isEmpty():
             self._write(table, fresh, overwrite=False)
+        self._record(table, parts)
+
+    def _parts_of(self, staged: DataFrame) -> list[int]:
+        return sorted(r[PART] for r in staged.select(PART).distinct().collect())  # at most one per partition
 
-    def _of_parts(self, table: str, staged: DataFrame) -> DataFrame:
-        """Stored rows of the partitions that staged rows belong to."""
-        parts = [r[PART] for r in staged.select(PART).distinct().collect()]
+    def _in_parts(self, table: str, parts: list[int]) -> DataFrame:
         rows = self.partitioned(table)
         return rows.where(F.col(PART).isin(parts)) if parts else rows.limit(0)
 
+    # -- audits ----------------------------------------------------------------
+
+    def _record(self, table: str, parts: list[int]) -> None:
+        """Keep the fingerprints of partitions just written."""
+        found = partition_fingerprints(table, self._in_parts(table, parts))
+        rows = found.withColumns({"table": F.lit(table), "recorded": F.current_timestamp()})
+        rows.write.mode("append").parquet(f"{self.root}/fingerprints")
+
+    def recorded(self, table: str) -> DataFrame:
+        """The last fingerprints of a table's partitions."""
+        kept = self.spark.read.schema(f"{PART} int, n long, folded long, total string, table string, recorded timestamp")
+        rows = kept.parquet(f"{self.root}/fingerprints").where(F.col("table") == table)
+        last = F.max_by(F.struct("n", "folded", "total"), "recorded").alias("last")
+        return rows.groupBy(PART).agg(last).select(PART, "last.*")
+
+    def audit(self, table: str, parts: list[int]) -> list[int]:
+        """Of the given partitions, those that are not as the last run left them or repeat a key.
+
+        A run checks what it is about to touch; no other partition is read.
+        """
+        rows = self._in_parts(table, parts)
+        before = self.recorded(table).where(F.col(PART).isin(parts))
+        changed = changed_partitions(before, partition_fingerprints(table, rows)).select(PART)
+        repeated = rows.groupBy(PART, *KEYS[table]).count().where("count > 1").select(PART)
+        return sorted(r[PART] for r in changed.union(repeated).distinct().collect())  # at most one per partition
+
     # -- logs ------------------------------------------------------------------
 
     def log_failures(self, failures: DataFrame, run_ts: datetime | str) -> None:

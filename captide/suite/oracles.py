@@ -592,6 +592,14 @@ UNION ALL SELECT 'valid_fetch_status', count(*) FILTER (
   fetch_status NOT IN ('ok', 'no_subtitles', 'unavailable', 'rate_limited')) FROM t
 UNION ALL SELECT 'unique_key', count(*) FROM (
   SELECT video_id FROM t GROUP BY video_id HAVING count(*) > 1)""",
+    "partition_fingerprints": """
+WITH m AS (SELECT CAST(o_custkey % 16 AS INTEGER) AS part,
+  CAST('0x' || left(md5(CAST(o_orderkey AS VARCHAR)), 12) AS BIGINT) AS mark FROM orders)
+SELECT part, count(*) AS n, bit_xor(mark) AS folded, CAST(sum(mark) AS VARCHAR) AS total FROM m GROUP BY part""",
+    "changed_partitions": """
+WITH n AS (SELECT CAST(o_custkey % 16 AS INTEGER) AS part, count(*) AS n FROM orders GROUP BY 1)
+SELECT part, n AS keys_before, CASE part WHEN 3 THEN 2 * n WHEN 5 THEN n ELSE 0 END AS keys_now
+FROM n WHERE part IN (3, 5, 7)""",
     "ingest_videos": f"""
 WITH {outcomes("new")}
 SELECT video_id, {", ".join(META)}, fetch_status, {stamp("ingested_at")} AS ingested_at FROM videos

@@ -505,6 +505,30 @@ def constraint_audit(spark, sf_dir):
     return quality.constraint_audit(VIDEOS, rows)
 
 
+def _orders_in_parts(spark, sf_dir) -> DataFrame:
+    orders = I.table(spark, sf_dir, "orders")
+    return orders.select(
+        F.col("o_orderkey").cast("string").alias("video_id"), F.pmod("o_custkey", F.lit(16)).cast("int").alias("part")
+    )
+
+
+@query
+def partition_fingerprints(spark, sf_dir):
+    """Keys and order-free marks per partition of the orders."""
+    return quality.partition_fingerprints(VIDEOS, _orders_in_parts(spark, sf_dir))
+
+
+@query
+def changed_partitions(spark, sf_dir):
+    """Partitions with a planted repeat, a lost key and another key; the rest are as before."""
+    rows = _orders_in_parts(spark, sf_dir)
+    repeated = rows.where("part = 3")
+    other = F.when(F.col("part") == 5, F.concat("video_id", F.lit("x"))).otherwise(F.col("video_id"))
+    after = rows.where("part <> 7").withColumn("video_id", other).unionByName(repeated)
+    before, now = (quality.partition_fingerprints(VIDEOS, r) for r in (rows, after))
+    return quality.changed_partitions(before, now)
+
+
 # -- jobs ---------------------------------------------------------------------------
 
 

@@ -13,6 +13,7 @@ from captide.plans.transform import run_transform, select_transcripts
 from captide.plans.validate import run_validate
 from captide.schema import BRONZE, MEMBERSHIP, SILVER, VIDEOS
 from captide.sources.landing import IncompleteSnapshot
+from captide.sources.staging import stage
 from captide.sources.store import Store
 
 T1, T2, T3 = "2026-01-01 00:00:00", "2026-01-02 00:00:00", "2026-01-03 00:00:00"
@@ -345,6 +346,22 @@ def test_a_run_reads_and_writes_its_playlist_alone(spark, tmp_path):
     assert active(store, "PL3") == ["all", "more", "v3"] and active(store, "PL1") == ["all", "v1"]
 
 
+def test_audit_reads_touched_partitions_and_finds_what_changed(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"), buckets=4)
+    ids = [f"v{n}" for n in range(20)]
+    ingest(store, tmp_path / "a", ids)
+    rows = store.partitioned(VIDEOS)
+    parts = sorted(r.part for r in rows.select("part").distinct().collect())
+    assert store.audit(VIDEOS, parts) == []
+    first = parts[0]
+    planted = stage(rows.where(f"part = {first}").limit(1), "planted")
+    store._write(VIDEOS, planted, overwrite=False)
+    assert store.audit(VIDEOS, parts) == [first]
+    assert store.audit(VIDEOS, parts[1:]) == []
+    plan = plan_of(store._in_parts(VIDEOS, parts[1:2]))
+    assert "part#" in plan.split("PartitionFilters: [", 1)[1].split("]")[0]
+
+
 def test_few_ids_read_few_partitions(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"), buckets=32)
     ids = [f"v{n}" for n in range(40)]
@@ -378,8 +395,6 @@ def test_no_text_is_read_before_its_file_is_chosen(store, tmp_path):
         "v1": CAPTION + "auf Deutsch\n", "v3": CAPTION + "v3\n", "v4": "",
     }
     packed = landed.captions.select("file").withColumn("raw_vtt", F.col("file"))
-    from captide.sources.staging import stage
-
     joined = plan.bronze_rows(stage(chosen, "chosen"), plan.packed_texts(stage(packed, "packed")), T1)
     assert "raw_vtt" not in shuffled_columns(plan_of(joined))
     assert [r.name for r in landing.rejected_names(landed.captions).collect()] == ["Some title [v3] (2).vtt"]
