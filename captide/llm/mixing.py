@@ -169,13 +169,20 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     Documents of one source and length are dealt to hash ranges, more of them the larger
     the table is, so that one range of the commonest length is a bounded part of it.
     """
-    plain = numbered(docs)
+    return _mixed(_sized(docs, seed), [f"c{i}" for i in range(len(docs.columns))])
+
+
+def _sized(docs: DataFrame, seed: int) -> DataFrame:
+    """Numbered rows with their source's key, size, seeded order and hash range."""
     doc_id, text, source = (F.col(column_place(docs, c)) for c in ("doc_id", "text", "source"))
     ranges = max(_LEAST_RANGES, docs.count() // _RANGE_ROWS)
     order = F.xxhash64(F.lit(seed), doc_id, text)
-    rows = plain.withColumns(
+    return numbered(docs).withColumns(
         {"key": _source_key(source), "size": words_of(text), "order": order, "range": F.pmod(order, F.lit(ranges))}
     )
+
+
+def _mixed(rows: DataFrame, keep: list[str]) -> DataFrame:
     counts = stage(
         rows.groupBy(F.col("key").alias("source_key"), "size", "range").agg(F.count("*").alias("n")), "lengths"
     )
@@ -206,7 +213,7 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     place = F.row_number().over(W.partitionBy("key", "size", "range").orderBy("order"))
     partly = joined.where("rest > 0 AND rest < n").withColumn("once_more", place <= F.col("rest"))
     return whole.unionByName(partly).select(
-        *plain.columns,
+        *keep,
         "size",
         "source_size",
         "target",
@@ -216,8 +223,10 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     )
 
 
-def mix_report(docs: DataFrame) -> DataFrame:
-    return mix(docs.select("doc_id", "text", "source")).select(
+def mix_report(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """``doc_id, size, source_size, target, taken`` per document; texts are read once, for their sizes."""
+    rows = _sized(docs.select("doc_id", "text", "source"), seed)
+    return _mixed(stage(rows.drop("c1"), "sizes"), ["c0"]).select(
         F.col("c0").alias("doc_id"),
         "size",
         "source_size",
