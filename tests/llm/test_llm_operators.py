@@ -250,6 +250,77 @@ def test_language_mixture(spark, docs_of):
     assert found[4].languages == ["en"]
 
 
+def trigrams_by_hand(text):
+    """Bins of a text's letter trigrams; other characters between two words leave one gap, or two."""
+    letters = "".join(c if c.isalpha() else "\0" for c in text.lower())
+    if not letters.strip("\0"):
+        return []
+    letters = "\0" + re.sub("\0{2,}", "\0\0", letters.strip("\0")) + "\0"
+    bins = []
+    for a, b, c in zip(letters, letters[1:], letters[2:]):
+        value = ord(a) * 0x9E3779B1 & 0xFFFFFFFF
+        value = (value ^ ord(b)) * 0x85EBCA6B & 0xFFFFFFFF
+        value = (value ^ ord(c)) * 0xC2B2AE35 & 0xFFFFFFFF
+        bins.append((value ^ value >> 15) % language.BINS)
+    return bins
+
+
+def languages_by_hand(labelled, text):
+    """Expectation-maximisation over whole lists of trigrams, and sets of languages widened while that pays."""
+    profiles = {}
+    for name in sorted({lang for lang, _ in labelled if lang is not None}):
+        counts = Counter(b for lang, t in labelled if lang == name for b in trigrams_by_hand(t or ""))
+        total = sum(counts.values()) + language.SMOOTHING * language.BINS
+        profiles[name] = lambda b, c=counts, n=total: (c[b] + language.SMOOTHING) / n
+    bins = trigrams_by_hand(text or "")
+    if not bins:
+        return []
+
+    def mixture(names):
+        share = [1 / len(names)] * len(names)
+        rows = [[profiles[n](b) for n in names] for b in bins]
+        for _ in range(language._ROUNDS if len(names) > 1 else 0):
+            new = [0.0] * len(names)
+            for row in rows:
+                whole = sum(p * s for p, s in zip(row, share))
+                for k, p in enumerate(row):
+                    new[k] += p * share[k] / whole / len(bins)
+            moved, share = max(abs(a - b) for a, b in zip(new, share)), new
+            if moved < language._TOLERANCE:
+                break
+        return share, sum(math.log(sum(p * s for p, s in zip(row, share))) for row in rows)
+
+    names = list(profiles)
+    share, _ = mixture(names)
+    order = sorted(names, key=lambda n: (-share[names.index(n)], n))
+    price = 0.5 * math.log(max(len(bins) / language._OVERLAP, 2.0))
+    chosen = order[:1]
+    share, fit = mixture(chosen)
+    for name in order[1:]:
+        wider, better = mixture([*chosen, name])
+        if better / language._OVERLAP - price <= fit / language._OVERLAP:
+            break
+        chosen, share, fit = [*chosen, name], wider, better + 0.0
+        fit = better - price * language._OVERLAP
+    return sorted(zip(chosen, share), key=lambda x: (-x[1], x[0]))
+
+
+def test_languages_match_plain_expectation_maximisation(spark, sf_dir, docs_of):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").select("lang", "text").limit(60).collect()
+    labelled = [(r.lang, r.text) for r in rows[:40]] + [(None, "x"), ("zz", None)]
+    profiles = language.learn(spark.createDataFrame(labelled, "lang string, text string").repartition(3))
+    texts = [r.text[:400] for r in rows[40:]] + [rows[0].text[:200] + next(r.text for r in rows if r.lang != rows[0].lang)[:200]]
+    texts += [None, "", "1 2", "a", "é", "--a--b c", "x" * 300]
+    found = by_id(language.predict(docs_of(*texts), profiles))
+    for i, text in enumerate(texts, 1):
+        expected = languages_by_hand([r for r in labelled if r[0] != "zz"], text)
+        assert found[i].languages == [n for n, _ in expected], text
+        assert np.allclose(found[i].shares, [s for _, s in expected], atol=1e-9)
+        assert (found[i].lang_pred, round(found[i].score, 9)) == (
+            (expected[0][0], round(min(1.0, expected[0][1]), 9)) if expected else ("und", 0.0)
+        )
+
+
 ASSIGN = re.compile(
     r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|"""
     r"""[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
