@@ -13,12 +13,8 @@ SETTINGS = {
     # batch to tens of megabytes instead of hundreds.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # A run's ids against stored tables: a join that has to shuffle filters the large side
-    # by a Bloom filter of the ids first, for id lists of up to some ten million.
+    # by a Bloom filter of the ids first.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
-    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "512MB",
-    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "40000000",
-    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "536870912",
 }
 
 

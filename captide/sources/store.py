@@ -43,7 +43,9 @@ class Store:
 
     ``buckets`` is the number of partitions of the id tables, ``text_buckets`` that of the
     two transcript tables; choose it so that one partition of transcripts fits an executor
-    core's share of memory.  Both are saved when the store is created.
+    core's share of memory.  Both are saved when the store is created.  A handle sees what
+    was there when it first read a table, and what its session writes; later runs of
+    others are seen by a new handle.
     """
 
     def __init__(
@@ -63,6 +65,7 @@ class Store:
                 raise ValueError(f"{table} is stored in {n} partitions, not {asked[table]}")
         shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.parts = {t: stored.get(t) or n or shuffles for t, n in asked.items()}
+        self._found, self._opened = bool(stored), set()
         self._prefix = f"{database}.captide_{hashlib.sha1(self.root.encode()).hexdigest()[:10]}"
 
     # -- layout ----------------------------------------------------------------
@@ -83,7 +86,7 @@ class Store:
 
     def create(self) -> None:
         """Start an empty store; does nothing when one exists."""
-        if not self._layout():
+        if not self._found and not self._layout():
             for table, schema in SCHEMAS.items():
                 columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
                 empty = self.spark.range(0).select(*columns, F.lit(0).alias(PART))
@@ -109,11 +112,14 @@ class Store:
     # -- reading ---------------------------------------------------------------
 
     def partitioned(self, table: str) -> DataFrame:
-        """A table with its partition column, as it is now."""
-        if not self._layout():
+        """A table with its partition column, as it was when first read here and written since."""
+        self._found = self._found or bool(self._layout())
+        if not self._found:
             raise FileNotFoundError(f"no store at {self.root}")
         name = self._name(table)
-        self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        if table not in self._opened:
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            self._opened.add(table)
         return self.spark.table(name)
 
     def read(self, table: str) -> DataFrame:
@@ -181,7 +187,6 @@ class Store:
         if not held.isEmpty():
             raise ConstraintViolation(f"{table}: keys already present")
         self._write(table, staged, overwrite=False)
-        self._record(table, parts)
 
     def replace(self, table: str, staged: DataFrame) -> None:
         """Put staged rows in the place of stored ones with equal keys; new keys are appended.
@@ -199,7 +204,6 @@ class Store:
         fresh = staged.where(~touched) if hits else staged
         if not fresh.isEmpty():
             self._write(table, fresh, overwrite=False)
-        self._record(table, parts)
 
     def _parts_of(self, staged: DataFrame) -> list[int]:
         return sorted(r[PART] for r in staged.select(PART).distinct().collect())  # at most one per partition
@@ -210,8 +214,8 @@ class Store:
 
     # -- audits ----------------------------------------------------------------
 
-    def _record(self, table: str, parts: list[int]) -> None:
-        """Keep the fingerprints of partitions just written."""
+    def record(self, table: str, parts: list[int]) -> None:
+        """Keep the fingerprints of partitions as they are now, for a later audit."""
         found = partition_fingerprints(table, self._in_parts(table, parts))
         rows = found.withColumns({"table": F.lit(table), "recorded": F.current_timestamp()})
         rows.write.mode("append").parquet(f"{self.root}/fingerprints")
@@ -224,9 +228,9 @@ class Store:
         return rows.groupBy(PART).agg(last).select(PART, "last.*")
 
     def audit(self, table: str, parts: list[int]) -> list[int]:
-        """Of the given partitions, those that are not as the last run left them or repeat a key.
+        """Of the given partitions, those that are not as they were recorded or repeat a key.
 
-        A run checks what it is about to touch; no other partition is read.
+        No other partition is read.
         """
         rows = self._in_parts(table, parts)
         before = self.recorded(table).where(F.col(PART).isin(parts))

@@ -352,6 +352,7 @@ def test_audit_reads_touched_partitions_and_finds_what_changed(spark, tmp_path):
     ingest(store, tmp_path / "a", ids)
     rows = store.partitioned(VIDEOS)
     parts = sorted(r.part for r in rows.select("part").distinct().collect())
+    store.record(VIDEOS, parts)
     assert store.audit(VIDEOS, parts) == []
     first = parts[0]
     planted = stage(rows.where(f"part = {first}").limit(1), "planted")
