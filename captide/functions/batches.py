@@ -13,7 +13,7 @@ repeat to repeat, not from word to word.
 from __future__ import annotations
 
 import html
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
 import numpy as np
@@ -58,7 +58,7 @@ _MARKUP = (
 )
 
 # Texts worked on together; bounds memory whatever the batch size.
-_SLICE_BYTES = 4 << 20
+_SLICE_BYTES = 1 << 20
 
 
 def _find_repeats(codes: np.ndarray, text_end: np.ndarray, max_ngram: int):
@@ -121,12 +121,31 @@ def _collapse_slice(texts: pa.Array, max_ngram: int) -> pa.Array:
     return pc.binary_join(kept, pa.scalar(" ", pa.large_string())).cast(texts.type)
 
 
-def _in_slices(texts: pa.Array, work) -> pa.Array:
-    rows = max(1, len(texts) * _SLICE_BYTES // max(1, texts.nbytes))
-    parts = [work(texts.slice(at, rows)) for at in range(0, len(texts), rows)]
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Consecutive texts of at most ``_SLICE_BYTES`` together, or one longer text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = before = 0
+    while at < len(texts):
+        stop = max(at + 1, int(np.searchsorted(ends, before + _SLICE_BYTES, "right")))
+        yield texts.slice(at, stop - at)
+        at, before = stop, int(ends[stop - 1])
+
+
+def _in_slices(texts: pa.Array, work: Callable[[pa.Array], pa.Array]) -> pa.Array:
+    parts = [work(part) for part in _slices(texts)]
     return pa.concat_arrays(parts) if parts else texts
 
 
+def slice_by_slice(
+    arrays: Iterator[pa.Array], work: Callable[[pa.Array], pa.Array]
+) -> Iterator[pa.Array]:
+    """Results of ``work`` on a slice at a time, so that none is held for a whole batch."""
+    for texts in arrays:
+        yield from map(work, _slices(texts))
+        # Not held while the next batch is read.
+        del texts
+
+
 def _rewritten(texts: pa.Array, rewrite) -> pa.Array:
     for pattern in _MARKUP:
         texts = pc.replace_substring_regex(texts, pattern, "")

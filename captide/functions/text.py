@@ -4,11 +4,14 @@ Markup removal works on whole texts instead of splitting into lines: every
 pattern stays inside one line by its character classes, so no per-line arrays are
 built.  ``strip_markup`` is built from Spark's own expressions.  What needs entity
 decoding or phrase collapse has to visit Python once, and then does all its
-cleaning there, on Arrow batches with the same patterns.
+cleaning there, on Arrow batches with the same patterns; results leave a slice at a
+time, so that a worker holds a batch and not its results too.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
@@ -70,8 +73,8 @@ def clean_captions(raw: Column) -> Column:
     """Raw caption file text to prose with a line break before each speaker mark."""
 
     @F.arrow_udf("string")
-    def clean(texts: pa.Array) -> pa.Array:
-        return batches.clean(texts)
+    def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return batches.slice_by_slice(texts, batches.clean)
 
     return clean(raw)
 
@@ -80,8 +83,8 @@ def collapse_words(text: Column, max_ngram: int = MAX_NGRAM) -> Column:
     """``collapse_phrases`` for a text that is single-spaced already."""
 
     @F.arrow_udf("string")
-    def collapse(texts: pa.Array) -> pa.Array:
-        return batches.collapse(texts, max_ngram)
+    def collapse(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return batches.slice_by_slice(texts, lambda part: batches.collapse(part, max_ngram))
 
     return collapse(text)
 
@@ -95,8 +98,8 @@ def transcript_text(raw: Column) -> Column:
     """``collapse_phrases(clean_captions(raw))`` in one pass."""
 
     @F.arrow_udf("string")
-    def finish(texts: pa.Array) -> pa.Array:
-        return batches.finish(texts)
+    def finish(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return batches.slice_by_slice(texts, batches.finish)
 
     return finish(raw)
 

@@ -19,6 +19,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
+# Rows of a part of a table dealt out.
+_PART_ROWS = 4000
+
 
 def query(run: Query) -> Query:
     QUERIES[run.__name__] = run
@@ -37,13 +40,16 @@ def stamped(rows: DataFrame) -> DataFrame:
     )
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows dealt to all cores before expensive text work.
+def spread(rows: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """Rows dealt to all cores before expensive text work, and to more parts as they grow in number.
 
     The benchmark tables are single files of one row group, which one task would read and
-    clean; stored transcripts come in many partitions and need no such step.
+    clean; stored transcripts come in many partitions and need no such step.  A Python
+    worker holds up to two batches of its part, so parts of few rows keep it small.  ``of``
+    is a plain table that has no fewer rows, where to count ``rows`` would be work.
     """
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+    parts = -(-(rows if of is None else of).count() // _PART_ROWS)
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, parts))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -602,7 +608,7 @@ def refresh_silver(spark, sf_dir):
     """Silver after transforming the pending captions."""
     silver = I.transcripts_silver(spark, sf_dir)
     pending = transform.select_transcripts(I.transcripts_bronze(spark, sf_dir), silver)
-    return stamped(merge.replace_rows(silver, transform.silver_rows(spread(pending), I.RUN_TS)))
+    return stamped(merge.replace_rows(silver, transform.silver_rows(spread(pending, documents(spark, sf_dir)), I.RUN_TS)))
 
 
 # -- reading ------------------------------------------------------------------------

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from captide.suite import queries
 from captide.suite.oracles import ORACLES
 from captide.suite.queries import QUERIES
 
@@ -49,5 +50,15 @@ def test_query(spark, duck, name):
     assert ordered(tuple(r) for r in frame.select(*columns).collect()) == ordered(expected)
 
 
+def test_parts_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(queries, "_PART_ROWS", 50)
+    cores = spark.sparkContext.defaultParallelism
+    assert queries.spread(spark.range(0)).rdd.getNumPartitions() == cores
+    for rows, of in ((1001, None), (7, spark.range(1001))):
+        dealt = queries.spread(spark.range(rows), of)
+        assert dealt.rdd.getNumPartitions() == 21
+        assert sorted(r.id for r in dealt.collect()) == list(range(rows))
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0

@@ -163,5 +163,29 @@ def test_long_text_and_small_slices(monkeypatch):
         assert batches.collapse(pa.array(texts)).to_pylist() == want
 
 
+def test_slices_are_bounded_whatever_the_order(monkeypatch):
+    monkeypatch.setattr(batches, "_SLICE_BYTES", 100)
+    found, work = [], batches._collapse_slice
+    monkeypatch.setattr(batches, "_collapse_slice", lambda part, n: found.append(part) or work(part, n))
+    texts = [""] * 500 + ["a" * 60, None, "b" * 39] + ["c c " * 20 + "c"] * 20 + ["d" * 300, "e"]
+    got = batches.collapse(pa.array(texts)).to_pylist()
+    assert got == [t if t is None else repeats_once(t) for t in texts]
+    assert [t for part in found for t in part.to_pylist()] == texts
+    assert all(len(part) == 1 or sum(len(t or "") for t in part.to_pylist()) <= 100 for part in found)
+
+
+def test_results_leave_slice_by_slice(spark, monkeypatch):
+    texts = ["a a b"] * 5000
+    monkeypatch.setattr(batches, "_SLICE_BYTES", 10)
+    sizes = [len(part) for part in batches.slice_by_slice(iter([pa.array(texts)] * 2), batches.collapse)]
+    assert sizes == [2] * 5000
+    assert list(batches.slice_by_slice(iter([pa.array([], pa.string())]), batches.collapse)) == []
+    for clean in (X.collapse_words, X.clean_captions, X.transcript_text):
+        rows = spark.createDataFrame([(i, t) for i, t in enumerate(["b b", None, "", "&amp;"])], "i int, t string")
+        got = dict(rows.coalesce(1).select("i", clean(F.col("t")).alias("t")).collect())
+        assert got[1] is None and got[2] == ""
+        assert got[3] == ("&amp;" if clean is X.collapse_words else "&")
+
+
 def test_word_count(spark):
     assert apply(spark, X.word_count, ["", "a", "a b c"]) == [0, 1, 3]
