@@ -209,7 +209,11 @@ class Encoder:
         return found
 
     def _asked(self, piece: str) -> bytes:
-        spelt = piece.encode().decode("latin-1").translate(self._letters)
+        if piece.isascii() and piece.isprintable():
+            # Of these only the space has another letter.
+            spelt = piece.replace(" ", self._letters[32])
+        else:
+            spelt = piece.encode().decode("latin-1").translate(self._letters)
         return array(self._kind, [t.id for t in self._model.tokenize(spelt)]).tobytes()
 
     def _cut_up(self, text: str) -> bytes:
@@ -266,13 +270,16 @@ class Encoder:
         lists = pc.split_pattern(texts, " ")
         counts = np.diff(lists.offsets.to_numpy())
         told = lists.flatten().dictionary_encode()
-        at, words = told.indices.to_numpy(), told.dictionary.to_pylist()
+        at, words = told.indices.to_numpy(), told.dictionary.to_numpy(zero_copy_only=False).tolist()
         known, spaced, blanks = self._chunks, self._spaced, self._blanks
         encoded = list(map(known.get, words))
         odd = np.zeros(len(words), bool)
         for k in [k for k, ids in enumerate(encoded) if ids is None]:
-            odd[k] = not words[k] or words[k][0] in blanks
-            encoded[k] = b"" if odd[k] else spaced(words[k])
+            word = words[k]
+            if not word or word[0] in blanks:
+                odd[k], encoded[k] = True, b""
+            else:
+                encoded[k] = spaced(word)
         # The first chunk of a text has no space before it.
         first = np.cumsum(counts) - counts
         heads = [self._cut_up(words[k]) for k in at[first]]

@@ -140,6 +140,15 @@ def test_ids_are_those_of_the_library_for_whole_texts(spark, sf_dir):
     assert encoder.encode_all(pa.array([], pa.string())) == []
 
 
+def test_pieces_are_spelt_alike_whether_plain_or_not():
+    encoder, whole = records.Encoder(TOKENIZER), library()
+    ends = ["", "\x7f", "\t", "\0", "\x1f", "\xa0", "\xad", "é", "~", " "]
+    texts = [f"{a}plain {b}word{a} {a}{b}" for a in ends for b in ends]
+    expected = [whole.encode(text, add_special_tokens=False).ids for text in texts]
+    for found in (encoder.encode_all(pa.array(texts)), [encoder.encode(text) for text in texts]):
+        assert [np.frombuffer(ids, "<u2").tolist() for ids in found] == expected
+
+
 def test_a_small_memory_changes_nothing(monkeypatch, spark, sf_dir):
     texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
     expected = records.Encoder(TOKENIZER).encode_all(pa.array(texts))
