@@ -6,10 +6,14 @@ in exchanges.
 
 A task packs some documents at a time: their words once each, as hashes, and the texts as
 places in that list.  Packs are written.  Each pack sends its distinct n-grams, as hashes
-dealt into buckets, and gets back their corpus counts; a second exchange adds up how many
+dealt into buckets, and gets back their corpus counts; a last exchange adds up how many
 different words follow each context.  From these a task builds its pack's own part of the
 automaton, and each text is traversed once.  No n-gram meets more rows than there are packs.
 
+What is exchanged is a multiple of the input, so it goes in rounds, words and pairs first and
+triples next; the shuffle files of a round are dropped once its sums are written.  Hashes go
+sorted, as differences, and their high bytes, counts and sums compressed.
+
 Probabilities are absolute-discounted and interpolated: a counted n-gram is an arc; otherwise
 the failure arc's weight is added and the shorter context asked, down to the root, which
 holds every word, known or not.  An n-gram is told by 62 bits of a hash and its length.
@@ -17,16 +21,18 @@ holds every word, known or not.  An n-gram is told by 62 bits of a hash and its
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from captide.llm.common import WordHashes, crc_fold, lowered_words, mix, row_slices, stage, text_column
+from captide.llm.common import crc_fold, lowered_words, mix, row_slices, stage, text_column
+from captide.sources.staging import dropped_shuffles
 
 ORDER = 3
 SMOOTHING = 0.1
@@ -34,25 +40,50 @@ DISCOUNT = 0.75
 # The end of a text, which no word can be as it holds a blank.
 END = b" end"
 # Buckets of an exchange: at least so many, and one more for each so many tokens.
-_BUCKETS, _BUCKET_TOKENS = 8192, 1 << 16
+_BUCKETS, _BUCKET_TOKENS = 512, 1 << 18
+# Text of a pack; bounds a task's memory.
+_PACK_BYTES = 5 << 20
 # n-grams added up together inside a task.
 _KEYS_AT_ONCE = 400_000
 
-_PACK = "pack long, docs array<long>, held_out array<boolean>, lengths array<int>, codes binary, words array<long>, tokens long, taught long"
-_ASKED = "bucket long, pack long, keys binary, n binary"
-_TOLD = "bucket long, pack long, sums binary, firsts binary, words long"
+_PACK = "pack long, docs array<long>, held_out array<boolean>, lengths array<int>, codes binary, words binary, distinct long, tokens long, taught long"
+_ASKED = "bucket long, pack long, size int, asked binary"
+_TOLD = "bucket long, pack long, size int, told binary, words long"
+# Rounds of the exchange: words and pairs, triples, followers of contexts.
+_SHORT, _LONG, _FOLLOWERS = range(3)
+# Bytes of a difference of sorted hashes that are as good as random, the low ones.
+_RANDOM_BYTES = 5
+
+
+def _planes(values: np.ndarray) -> np.ndarray:
+    """A row for each byte of the numbers, the lowest first: high ones are alike and compress."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T
+
+
+def _numbers(planes: np.ndarray, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _shrunk(planes: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(planes), "zstd", asbytes=True)
+
+
+def _grown(shrunk: bytes, planes: int, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(shrunk, planes * n, "zstd"), np.uint8).reshape(planes, n)
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``doc_id, text, held_out`` to packs; codes go by descending frequency in the pack."""
-    hashes, part, serial = WordHashes(), TaskContext.get().partitionId(), 0
+    part, serial = TaskContext.get().partitionId(), 0
     for whole in batches:
-        for batch in row_slices(whole):
+        for batch in row_slices(whole, most=_PACK_BYTES):
             texts = [lowered_words(t) + [END] for t in batch.column(1).to_pylist()]
             lengths = np.array([len(t) for t in texts], np.int32)
-            tokens = hashes.of([w for t in texts for w in t])
-            words, codes, counts = np.unique(tokens, return_inverse=True, return_counts=True)
-            order = np.argsort(-counts, kind="stable")
+            tokens = pa.array([w for t in texts for w in t], pa.large_binary()).dictionary_encode()
+            hashes = [xxhash.xxh3_64_intdigest(w) for w in tokens.dictionary.to_pylist()]
+            words, codes = np.unique(np.array(hashes, np.uint64), return_inverse=True)
+            codes = codes[tokens.indices.to_numpy()]
+            order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
             place = np.empty(len(order), np.int32)
             place[order] = np.arange(len(order), dtype=np.int32)
             codes = place[codes]
@@ -63,45 +94,40 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array([batch.column(0)], pa.list_(pa.int64())),
                     pa.array([held], pa.list_(pa.bool_())),
                     pa.array([lengths], pa.list_(pa.int32())),
-                    pa.array([zlib.compress(codes.tobytes(), 1)], pa.binary()),
-                    pa.array([words[order].view(np.int64)], pa.list_(pa.int64())),
+                    pa.array([_shrunk(_planes(codes))], pa.binary()),
+                    # Words of the same frequency are in order, so their differences are short.
+                    pa.array([_shrunk(_planes(np.diff(words[order], prepend=np.uint64(0))))], pa.binary()),
+                    pa.array([len(words)], pa.int64()),
                     pa.array([lengths.sum()], pa.int64()),
                     pa.array([lengths[~held].sum()], pa.int64()),
                 ],
-                ["pack", "docs", "held_out", "lengths", "codes", "words", "tokens", "taught"],
+                ["pack", "docs", "held_out", "lengths", "codes", "words", "distinct", "tokens", "taught"],
             )
             serial += 1
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Numbers byte by byte, all first bytes first, so that high bytes compress."""
-    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
-
-
-def _numbers(planes: bytes, kind: type) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, -1).T).view(kind).ravel()
-
-
 def _joined(parts: list[np.ndarray], kind: type) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, kind)
 
 
 class Pack:
-    """Texts of a pack as places in its lists of distinct words, pairs and triples."""
+    """Texts of a pack as places in its lists of distinct words, pairs and triples.
+
+    The list of n-grams of more than ``longest`` words is empty.
+    """
 
-    def __init__(self, row: dict):
+    def __init__(self, row: dict, longest: int = ORDER):
         self.lengths = np.array(row["lengths"], np.int64)
         self.starts = np.concatenate(([0], np.cumsum(self.lengths)[:-1]))
-        self.codes = np.frombuffer(zlib.decompress(row["codes"]), np.int32)
-        self.words = np.array(row["words"], np.int64).view(np.uint64)
+        self.codes = _numbers(_grown(row["codes"], 4, row["tokens"]), np.int32)
+        self.words = np.cumsum(_numbers(_grown(row["words"], 8, row["distinct"]), np.uint64), dtype=np.uint64)
         self.teaches = np.repeat(~np.array(row["held_out"], bool), self.lengths)
         # Of each token, how many of its text stand before it.
         place = np.arange(len(self.codes), dtype=np.int32) - np.repeat(self.starts.astype(np.int32), self.lengths)
         n_words = len(self.words)
         # Of each token, the place of the pair and the triple that end in it, or -1.
         self.pairs, self.pair = self._ending(self.codes, np.flatnonzero(place >= 1))
-        self.triples, self.triple = self._ending(self.pair, np.flatnonzero(place >= 2))
+        self.triples, self.triple = self._ending(self.pair, np.flatnonzero((place >= 2) & (longest > 2)))
         self.sizes = np.cumsum([n_words, len(self.pairs)])
 
     def _ending(self, before: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,53 +164,67 @@ class Pack:
 def _asked(pack: int, keys: np.ndarray, n: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     """Sorted keys of a pack and their numbers, a row for each bucket."""
     bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-    cuts, n = np.flatnonzero(np.diff(bucket, prepend=-1)), n.astype(np.int32)
+    cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    steps = np.diff(keys, prepend=np.uint64(0))
+    steps[cuts] = keys[cuts]
+    low, high = np.split(np.ascontiguousarray(_planes(steps)), [_RANDOM_BYTES])
+    high = np.concatenate((high, _planes(n.astype(np.int32))))
     ends = np.append(cuts, len(keys))[1:].tolist()
+    rows = [low[:, a:b].tobytes() + _shrunk(high[:, a:b]) for a, b in zip(cuts.tolist(), ends, strict=True)]
     yield pa.record_batch(
         [
             pa.array(bucket[cuts], pa.int64()),
             pa.array(np.full(len(cuts), pack), pa.int64()),
-            pa.array([_planes(keys[a:b]) for a, b in zip(cuts.tolist(), ends, strict=True)], pa.binary()),
-            pa.array([_planes(n[a:b]) for a, b in zip(cuts.tolist(), ends, strict=True)], pa.binary()),
+            pa.array(np.diff(cuts, append=len(keys)), pa.int32()),
+            pa.array(rows, pa.binary()),
         ],
-        ["bucket", "pack", "keys", "n"],
+        ["bucket", "pack", "size", "asked"],
     )
 
 
+def _read_asked(asked: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of a row and their numbers."""
+    cut = _RANDOM_BYTES * size
+    low, high = np.frombuffer(asked[:cut], np.uint8), _grown(asked[cut:], 12 - _RANDOM_BYTES, size)
+    planes = np.concatenate((low.reshape(_RANDOM_BYTES, size), high))
+    return np.cumsum(_numbers(planes[:8], np.uint64), dtype=np.uint64), _numbers(planes[8:], np.int32)
+
+
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows asked, by bucket, to each key's sum, and marks of the row that speaks for the key."""
 
     def told(rows: list[tuple]) -> pa.RecordBatch:
-        parts = [_numbers(r[2], np.uint64) for r in rows]
+        parts, numbers = zip(*[r[2] for r in rows], strict=True)
         keys, first, inverse = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
-        n = np.concatenate([_numbers(r[3], np.int32) for r in rows])
+        n = np.concatenate(numbers)
         sums = np.bincount(inverse, n, len(keys)).astype(np.int64)
         speaks = np.zeros(len(n), bool)
         speaks[first[sums > 0]] = True
-        words = speaks & (keys[inverse] & np.uint64(3) == 1)
+        words = speaks & (keys & np.uint64(3) == 1)[inverse]
         ends = np.cumsum([len(p) for p in parts])
         cuts = list(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True))
-        sums = sums[inverse]
+        # The mark stands in the lowest bit.
+        planes = np.ascontiguousarray(_planes(sums[inverse] << 1 | speaks))
         return pa.record_batch(
             [
                 pa.array([r[0] for r in rows], pa.int64()),
                 pa.array([r[1] for r in rows], pa.int64()),
-                pa.array([_planes(sums[a:b]) for a, b in cuts], pa.binary()),
-                pa.array([np.packbits(speaks[a:b]).tobytes() for a, b in cuts], pa.binary()),
+                pa.array([len(p) for p in parts], pa.int32()),
+                pa.array([_shrunk(planes[:, a:b]) for a, b in cuts], pa.binary()),
                 pa.array([int(words[a:b].sum()) for a, b in cuts], pa.int64()),
             ],
-            ["bucket", "pack", "sums", "firsts", "words"],
+            ["bucket", "pack", "size", "told", "words"],
         )
 
     rows, held = [], 0
     for batch in batches:
         for row in zip(*batch.columns, strict=True):
-            row = tuple(v.as_py() for v in row)
-            if held >= _KEYS_AT_ONCE and row[0] != rows[-1][0]:
+            bucket, pack, size, asked = (v.as_py() for v in row)
+            if held >= _KEYS_AT_ONCE and bucket != rows[-1][0]:
                 yield told(rows)
                 rows, held = [], 0
-            rows.append(row)
-            held += len(row[2]) // 8
+            rows.append((bucket, pack, _read_asked(asked, size)))
+            held += size
     if rows:
         yield told(rows)
 
@@ -194,33 +234,39 @@ def _exchanged(asked: DataFrame) -> DataFrame:
     return asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_added, _TOLD)
 
 
-def _counted(buckets: int):
-    """Packs to their distinct n-grams and how often each is in training texts."""
+def _counted(buckets: int, step: int):
+    """Packs to their distinct n-grams of a round and how often each is in training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
                 (row,) = batch.slice(at, 1).to_pylist()
-                pack = Pack(row)
-                keys = pack.keys()
+                pack = Pack(row, ORDER if step == _LONG else ORDER - 1)
+                skipped = pack.sizes[1] if step == _LONG else 0
+                keys, n = pack.keys()[skipped:], pack.taught()[skipped:]
                 order = np.argsort(keys)
-                yield from _asked(row["pack"], keys[order], pack.taught()[order], buckets)
+                yield from _asked(row["pack"], keys[order], n[order], buckets)
 
     return run
 
 
-def _told(told: pa.Table, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each key's sum, and whether this pack speaks for it."""
-    told = told.sort_by("bucket")
-    parts = [_numbers(s, np.int64) for s in told["sums"].to_pylist()]
-    marks = [
-        np.unpackbits(np.frombuffer(f, np.uint8), count=len(p)).astype(bool)
-        for f, p in zip(told["firsts"].to_pylist(), parts, strict=True)
-    ]
+def _told(told: pa.Table, step: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key's sum in a round, and whether this pack speaks for it."""
+    rows = told.filter(pc.equal(told["step"], step)).sort_by("bucket")
+    each = zip(rows["told"].to_pylist(), rows["size"].to_pylist(), strict=True)
+    parts = [_numbers(_grown(told, 8, size), np.int64) for told, size in each]
     order = np.argsort(keys)
-    sums, firsts = np.empty(len(keys), np.int64), np.empty(len(keys), bool)
-    sums[order], firsts[order] = _joined(parts, np.int64), _joined(marks, bool)
-    return sums, firsts
+    found = np.empty(len(keys), np.int64)
+    found[order] = _joined(parts, np.int64)
+    return found >> 1, found & 1 > 0
+
+
+def _told_counts(told: pa.Table, pack: Pack, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each n-gram's count, and whether this pack speaks for it."""
+    cut = pack.sizes[1]
+    rounds = _told(told, _SHORT, keys[:cut]), _told(told, _LONG, keys[cut:])
+    counts, firsts = (np.concatenate(parts) for parts in zip(*rounds, strict=True))
+    return counts, firsts
 
 
 def _open(counts: np.ndarray, n_contexts: int) -> np.ndarray:
@@ -236,7 +282,7 @@ def _followed(buckets: int):
         for row in pack.to_pylist():
             texts = Pack(row)
             keys = texts.keys()
-            counts, firsts = _told(told, keys)
+            counts, firsts = _told_counts(told, texts, keys)
             spoken = np.bincount(texts.contexts()[firsts[texts.sizes[0] :]], minlength=texts.sizes[1])
             asked = _open(counts, texts.sizes[1])
             asked = asked[np.argsort(keys[asked])]
@@ -341,11 +387,10 @@ def _scored(total: int, distinct: int):
         for row in pack.to_pylist():
             texts = Pack(row)
             keys = texts.keys()
-            again = told["again"].to_numpy()
-            counts, _ = _told(told.filter(pa.array(~again)), keys)
+            counts, _ = _told_counts(told, texts, keys)
             followers = counts[: texts.sizes[1]].clip(0, 1)
             asked = _open(counts, texts.sizes[1])
-            followers[asked], _ = _told(told.filter(pa.array(again)), keys[asked])
+            followers[asked], _ = _told(told, _FOLLOWERS, keys[asked])
             automaton = Automaton.of_pack(texts, counts, followers, total, distinct)
             known = counts[texts.codes]
             root = automaton.root(known)
@@ -385,15 +430,19 @@ def score(docs: DataFrame, folds: int = 10, held_out_fold: int = 0) -> DataFrame
         # Neither fold for a null id: it is not held out, and it teaches nothing either.
         F.coalesce(fold == held_out_fold, F.lit(True)).alias("apart"),
     )
-    packs = stage(source.mapInArrow(_packed, _PACK), "packs")
-    sizes = packs.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "taught")]).first()
-    buckets = max(_BUCKETS, sizes.tokens // _BUCKET_TOKENS)
-    counts = stage(_exchanged(packs.mapInArrow(_counted(buckets), _ASKED)), "counts")
-    distinct = counts.agg(F.coalesce(F.sum("words"), F.lit(0)).alias("n")).first().n
-    by_pack = packs.groupBy("pack")
-    contexts = by_pack.cogroup(counts.groupBy("pack")).applyInArrow(_followed(buckets), _ASKED)
-    followers = stage(_exchanged(contexts), "followers")
-    told = counts.withColumn("again", F.lit(False)).union(followers.withColumn("again", F.lit(True)))
+    with dropped_shuffles(docs.sparkSession):
+        packs = stage(source.mapInArrow(_packed, _PACK), "packs")
+        sizes = packs.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "taught")]).first()
+        buckets = max(_BUCKETS, sizes.tokens // _BUCKET_TOKENS)
+
+        def exchanged(asked: DataFrame, step: int) -> DataFrame:
+            return stage(_exchanged(asked).withColumn("step", F.lit(step)), f"round_{step}")
+
+        short, long = (exchanged(packs.mapInArrow(_counted(buckets, step), _ASKED), step) for step in (_SHORT, _LONG))
+        distinct = short.agg(F.coalesce(F.sum("words"), F.lit(0)).alias("n")).first().n
+        counts, by_pack = short.union(long), packs.groupBy("pack")
+        contexts = by_pack.cogroup(counts.groupBy("pack")).applyInArrow(_followed(buckets), _ASKED)
+        told = counts.union(exchanged(contexts, _FOLLOWERS))
     scored = by_pack.cogroup(told.groupBy("pack")).applyInArrow(
         _scored(int(sizes.taught), int(distinct)),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "

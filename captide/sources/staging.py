@@ -8,12 +8,15 @@ size to choose a strategy by.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Used by local sessions that name no folder, whose tasks all see this machine's disk.
 _LOCAL_FOLDER = "file:///tmp/checkpoints/captide"
+# Spark's setting to drop a query's shuffle files when the query ends.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
@@ -34,6 +37,23 @@ def stage(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@contextmanager
+def dropped_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries made and run inside drop their shuffle files when they end.
+
+    Otherwise those stay on the executors' disks until the driver collects its garbage.
+    """
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, before)
+
+
 def stage_counted(
     rows: DataFrame,
     name: str,

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from plain import blank_words, components_by_hand
 from pyspark.sql import functions as F
@@ -498,6 +499,49 @@ def test_language_model_keeps_rare_ngrams_of_rare_words(docs_of):
         assert found[i].score == pytest.approx(expected, abs=1e-6)
 
 
+def test_language_model_exchange_is_compact():
+    """Rows hold sorted hashes as differences: under 6 bytes a key, and half a byte a sum."""
+    random = np.random.default_rng(3)
+    keys = np.unique(random.integers(0, 2**64, 2_000_000, np.uint64, endpoint=False))
+    n = (random.random(len(keys)) < 0.1).astype(np.int64) + 1
+    (rows,) = ngrams._asked(7, keys, n, 1024)
+    assert rows.num_rows == 1024
+    assert sum(len(r) for r in rows["asked"].to_pylist()) < 6 * len(keys)
+    told = pa.Table.from_batches(ngrams._added([rows]))
+    assert sum(len(r) for r in told["told"].to_pylist()) < 0.5 * len(keys)
+    order = random.permutation(len(keys))
+    told = told.append_column("step", pa.array(np.zeros(1024, np.int32)))
+    sums, firsts = ngrams._told(told.take(random.permutation(1024)), 0, keys[order])
+    assert (sums == n[order]).all() and firsts.all()
+
+
+@pytest.mark.parametrize("keys", [[], [0], [2**64 - 1], [0, 1, 2**40, 2**63, 2**64 - 1]])
+def test_language_model_exchange_of_few_keys(keys):
+    for buckets in (1, 3, 1024, 2**20):
+        keys, n = np.array(keys, np.uint64), np.arange(len(keys)) * 2_000_000_000 // 5
+        (rows,) = ngrams._asked(1, keys, n, buckets)
+        found = [ngrams._read_asked(r["asked"], r["size"]) for r in rows.to_pylist()]
+        assert [k for f in found for k in f[0].tolist()] == keys.tolist()
+        assert [k for f in found for k in f[1].tolist()] == n.tolist()
+        assert rows["bucket"].to_pylist() == sorted({int(k) * buckets >> 64 for k in keys})
+
+
+def test_language_model_drops_its_shuffle_files(spark, docs_of):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        found = files.getAllFiles()
+        names = [found.apply(i).getName() for i in range(found.size())]
+        return {x for x in names if x.startswith("shuffle_") and x.endswith(".data")}
+
+    before = shuffled()
+    scored = ngrams.score(docs_of(*[f"a b{i % 7} c{i}" for i in range(60)]))
+    for _ in range(50):
+        if left := shuffled() - before:
+            time.sleep(0.1)
+    assert not left and scored.count() == 60
+
+
 def test_automaton_probabilities_sum_to_one():
     counts, base = np.array([60, 30, 10]), 4
     grams = {2: {1 * base + 2: 20, 2 * base + 1: 15}, 3: {(1 * base + 2) * base + 1: 12}}
