@@ -141,6 +141,11 @@ def read_texts(chosen: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, schema)
 
 
+def read_captions(spark: SparkSession, path: str) -> DataFrame:
+    """``video_id, source_language, raw_vtt`` of the landed caption files that have content."""
+    return read_texts(list_captions(spark, path)).select("video_id", "source_language", "raw_vtt")
+
+
 def joined_texts(chosen: DataFrame, texts: DataFrame) -> DataFrame:
     """``chosen`` with ``raw_vtt`` from ``file, raw_vtt`` rows; a null file is an empty text.
 
